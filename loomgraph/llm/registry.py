@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import jaccard, packing, secrets, transport, warc
+from . import jaccard, packing, secrets, suffixes, transport, warc
 from .common import read_table
 
 
@@ -16,6 +16,10 @@ def op3_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_repeat_removal(spark, sf_dir):
+    return suffixes.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark, sf_dir):
     return jaccard.join(read_table(spark, sf_dir, "documents"), n=3, pct=90)
 
@@ -29,7 +33,7 @@ def op10_warc_archive(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op2_transport_stream, op3_packing, op8_jaccard_join, op9_secret_scan, op10_warc_archive)}
+    return {f.__name__: f for f in (op2_transport_stream, op3_packing, op4_repeat_removal, op8_jaccard_join, op9_secret_scan, op10_warc_archive)}
 
 
 def oracle_sql():
