@@ -323,3 +323,40 @@ def _report(batches):
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     return repeats(docs).select("did", "raw", "spans").mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs without the parts of characters at their ends."""
+    out = []
+    for s, e in runs:
+        while s < e and raw[s] & 0xC0 == 0x80:
+            s += 1
+        while e > s and e < len(raw) and raw[e] & 0xC0 == 0x80:
+            e -= 1
+        out.append((s, e))
+    return out
+
+
+def _cut(batches):
+    for b in common.slices(batches, text=0):
+        out = []
+        for raw, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            out.append(kept_of(raw, whole_characters(raw, runs_of(spans, len(raw)))).decode("utf-8", "replace") if spans else raw.decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([b.column(2), pa.array(out, pa.string())], ["all", "text"])
+
+
+def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with their repeated bytes cut (of characters only whole ones); texts of which nothing but white
+    space is left go. n_chars, if there, follows; other columns stay. A text without repeats stays as it is, null too."""
+    rest = [c for c in docs.columns if c != text_col]
+    found = repeats(docs, id_col, text_col).select("did", "tkey", "spans").filter("spans is not null").distinct()
+    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    keyed = docs.withColumn("did", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn("tkey", F.xxhash64(raw))
+    joined = keyed.join(found, ["did", "tkey"], "left")
+    changed = joined.filter("spans is not null").select(raw.alias("raw"), "spans", F.struct(*rest).alias("all"))
+    kind = changed.schema["all"].dataType.simpleString()
+    changed = changed.mapInArrow(_cut, f"all {kind}, text string").filter(F.length(F.trim("text")) > 0)
+    more = changed.select(*[F.col(f"all.`{c}`").alias(c) for c in rest], F.col("text").alias(text_col)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        more = more.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
+    return joined.filter("spans is null").select(*docs.columns).union(more)
