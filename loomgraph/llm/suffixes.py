@@ -2,8 +2,8 @@
 
 1. Anchors. Of the K-byte strings in a text, those whose hash is the least in some stretch of WIDTH bytes are
    anchors. Equal stretches have equal anchors at equal places, so two equal strings of WIDTH bytes share one.
-   An occurrence is (anchor hash, hash of its context, document, place); its context is the anchor and, on either
-   side, the WIDTH - K bytes that a stretch with it can reach. All that is written is some 30 bytes per 70 of text.
+   An occurrence is (anchor hash, hash of its context, text's key, place); its context is the anchor and, on either
+   side, the WIDTH - K bytes that a stretch with it can reach. Four numbers per 60 bytes of text are all that is written.
 2. Occurrences with the same anchor and context are one entry with a count. If the count is over 1, all stretches in
    the context repeat. If the anchor has other contexts, the bytes of one occurrence of each go to the index.
 3. Index. Entries come in batches. Each batch is sorted into a suffix array of its anchors' right sides (and a
@@ -11,7 +11,7 @@
    bytes, and becomes a level; levels of equal size merge. Neighbours' common lengths turn into ranks, and two
    stretches are equal if their left and right ranks are: exact, without comparing pairs.
 4. All stretches with an anchor hold it, so the repeated ones cover one interval around it. The intervals go
-   back to all occurrences and, by document, to the texts.
+   back to all occurrences and, by text, to the documents.
 
 Anchors with more contexts than HOT_CONTEXTS don't go to one task's index: their stretches are counted one by one
 with partial sums (windows_of), which gives the same answer for any number of contexts.
@@ -23,6 +23,7 @@ a null doc_id is a document like any other; empty tables give no rows; other col
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from . import common
 
 WIDTH, K = 200, 64
 SIDE = WIDTH - K
-BATCH, HOT_CONTEXTS, ENTRIES_PER_TASK = 4096, 20_000, 60_000
+BATCH, HOT_CONTEXTS, ENTRIES_PER_TASK = 4096, 20_000, 40_000
 U = np.uint64
 
 
@@ -106,22 +107,26 @@ def _laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _occurrences(batches) -> Iterator[pa.RecordBatch]:
-    for b in common.slices(batches, 2 << 20, 2):
-        data, bounds = _laid_out([x or b"" for x in b.column(2).to_pylist()])
+    for b in common.slices(batches, 1 << 20):
+        data, bounds = _laid_out([x or b"" for x in b.column(1).to_pylist()])
         p, h, ctx, left, right = anchors(data, bounds)
         doc = np.searchsorted(bounds, p, "right") - 1
-        take = pa.array(doc)
-        cols = [b.column(0).take(take), b.column(1).take(take), pa.array((p - bounds[doc]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(left.astype(np.uint8).astype(np.int16)), pa.array(right.astype(np.int16))]
-        yield pa.RecordBatch.from_arrays(cols, ["did", "tkey", "pos", "anchor", "ctx", "left", "right"])
+        more = np.array([zlib.crc32(x or b"") & 0x7FFF for x in b.column(1).to_pylist()], np.int64)
+        where = more[doc] << 48 | (p - bounds[doc]) << 16 | left << 8 | right
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(where), pa.array(h.view(np.int64)), pa.array(ctx.view(np.int64))], ["tkey", "at", "anchor", "ctx"])
+
+
+#: An occurrence's `at`: 15 more bits of its text's key, its place, and the bytes of context on the left and right.
+MORE, PLACE, LEFT, RIGHT = "shiftright(at, 48)", "cast(shiftright(at, 16) & 4294967295L as int)", "cast(shiftright(at, 8) & 255 as int)", "cast(at & 255 as int)"
 
 
 def _contexts(batches) -> Iterator[pa.RecordBatch]:
     """Rows (raw text, wanted: array of places) to (anchor, ctx, left bytes, right bytes)."""
-    for b in common.slices(batches, 4 << 20, 0):
+    for b in common.slices(batches, 2 << 20, 0):
         cols: list[list] = [[] for _ in range(5)]
         for raw, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             for w in want:
-                p, n, m = w["pos"], w["left"], w["right"]
+                p, n, m = w["at"] >> 16 & 0xFFFFFFFF, w["at"] >> 8 & 255, w["at"] & 255
                 for c, v in zip(cols, (w["anchor"], w["ctx"], raw[p - n : p], raw[p + K : p + K + m], w["hot"])):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()))], ["anchor", "ctx", "l", "r", "hot"])
@@ -238,7 +243,10 @@ def _index(batches) -> Iterator[pa.RecordBatch]:
     if kept:
         a, c = (np.concatenate(x) for x in zip(*kept))
         hit = family.high >= 0
-        yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (a, c, family.low, family.high)], ["anchor", "ctx", "low", "high"])
+        out = pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (a, c, family.low, family.high)], ["anchor", "ctx", "low", "high"])
+        del family, kept
+        common.give_back()
+        yield out
 
 
 def _windows(batches) -> Iterator[pa.RecordBatch]:
@@ -256,41 +264,47 @@ def windows_of(hot: DataFrame) -> DataFrame:
     return each.join(twice, "digest").groupBy("anchor", "ctx").agg(F.min("reach").cast("long").alias("low"), F.max("reach").cast("long").alias("high"))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
-    """did, tkey, raw, spans of each document: spans are intervals (start, end) of bytes, not yet merged, that
-    cover every byte of a WIDTH-byte string that also starts elsewhere."""
+def keys_of(raw) -> tuple:
+    """A text's key, 79 bits of two hashes in two numbers: equal texts have equal spans, so they share it."""
+    return F.xxhash64(raw).alias("tkey"), (F.crc32(raw).bitwiseAND(0x7FFF)).alias("more")
+
+
+def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
+    """tkey, more (as in keys_of) and spans of each text that has some: spans are intervals (start, end) of bytes, not
+    yet merged, that cover every byte of a WIDTH-byte string that also starts elsewhere."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "suffixes")
-    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    src = docs.select(F.col(id_col).cast("long").alias("did"), raw.alias("raw"))
-    src = src.select(F.coalesce("did", F.lit(-(1 << 63))).alias("did"), F.xxhash64("raw").alias("tkey"), "raw")
-    occ = scratch.save("occurrences", src.filter(F.length("raw") >= WIDTH).mapInArrow(_occurrences, "did long, tkey long, pos int, anchor long, ctx long, left short, right short"))
-    place = F.min(F.struct("did", "tkey", "pos", "left", "right")).alias("at")
-    entries = occ.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), place)
-    per = occ.groupBy("anchor").agg(F.min("ctx").alias("c0"), F.max("ctx").alias("c1"), F.count("*").alias("total")).filter("total > 1")
-    some = scratch.save("entries", entries.join(per.select("anchor", (F.col("c0") != F.col("c1")).alias("several")), "anchor").select("anchor", "ctx", "n", "several", "at"))
+    src = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw")).filter(F.length("raw") >= WIDTH)
+    src = src.select(*keys_of(F.col("raw")), "raw")
+    occ = scratch.save("all", src.select("tkey", "raw").mapInArrow(_occurrences, "tkey long, at long, anchor long, ctx long"))
+    twice = scratch.save("twice", occ.groupBy("anchor").count().filter("count > 1").select("anchor"))
+    # anchors that occur once have no repeated stretch
+    occ = scratch.save("occurrences", occ.join(twice, "anchor", "left_semi"))
+    scratch.drop("all", "twice")
+    per = occ.groupBy("anchor").agg((F.min("ctx") != F.max("ctx")).alias("several"))
+    some = occ.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("tkey", "at")).alias("one"))
+    some = scratch.save("entries", some.join(per, "anchor").select("anchor", "ctx", "n", "several", "one.tkey", "one.at"))
     # the index answers for anchors of several contexts
-    many = some.filter("several").groupBy("anchor").count()
-    hot = many.filter(F.col("count") > hot_contexts).select("anchor", F.lit(True).alias("hot"))
-    asked = some.filter("several").join(hot, "anchor", "left").select("at.did", "at.tkey", F.struct("anchor", "ctx", "at.pos", "at.left", "at.right", F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
-    asked = asked.groupBy("did", "tkey").agg(F.collect_list("w").alias("want"))
-    found = asked.join(src, ["did", "tkey"]).select("raw", "want")
-    ctxs = scratch.save("contexts", found.mapInArrow(_contexts, "anchor long, ctx long, l binary, r binary, hot boolean"))
+    hot = some.filter("several").groupBy("anchor").count().filter(F.col("count") > hot_contexts).select("anchor", F.lit(True).alias("hot"))
+    asked = some.filter("several").join(hot, "anchor", "left").select("tkey", F.expr(MORE).alias("more"), F.struct("anchor", "ctx", "at", F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
+    asked = asked.groupBy("tkey", "more").agg(F.collect_list("w").alias("want"))
+    ctxs = scratch.save("contexts", asked.join(src, ["tkey", "more"]).select("raw", "want").mapInArrow(_contexts, "anchor long, ctx long, l binary, r binary, hot boolean"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), common.pages_of(ctxs.count(), ENTRIES_PER_TASK))
     cold = ctxs.filter("!hot").select("anchor", "ctx", "l", "r").repartition(n, "anchor")
     told = cold.mapInArrow(_index, "anchor long, ctx long, low long, high long")
     told = told.union(windows_of(ctxs.filter("hot").dropDuplicates(["anchor", "ctx"])))
     # a context that occurs twice repeats in all its stretches
-    full = some.filter("n > 1").select("anchor", "ctx", F.greatest(F.lit(0), SIDE - F.col("at.right")).cast("long").alias("low"), F.least(F.lit(SIDE), F.col("at.left")).cast("long").alias("high")).filter("low <= high")
+    full = some.filter("n > 1").select("anchor", "ctx", F.greatest(F.lit(0), SIDE - F.expr(RIGHT)).cast("long").alias("low"), F.least(F.lit(SIDE), F.expr(LEFT)).cast("long").alias("high")).filter("low <= high")
     told = scratch.save("told", told.union(full).groupBy("anchor", "ctx").agg(F.min("low").alias("low"), F.max("high").alias("high")))
     scratch.drop("contexts", "entries")
-    span = F.struct((F.col("pos") - F.col("high")).cast("int").alias("start"), (F.col("pos") + WIDTH - F.col("low")).cast("int").alias("end"))
-    spans = scratch.save("spans", occ.join(told, ["anchor", "ctx"]).select("did", "tkey", span.alias("s")).groupBy("did", "tkey").agg(F.collect_list("s").alias("spans")))
+    span = F.struct((F.expr(PLACE) - F.col("high")).cast("int").alias("start"), (F.expr(PLACE) + WIDTH - F.col("low")).cast("int").alias("end"))
+    spans = occ.join(told, ["anchor", "ctx"]).select("tkey", F.expr(MORE).alias("more"), span.alias("s")).groupBy("tkey", "more").agg(F.collect_list("s").alias("spans"))
+    spans = scratch.save("spans", spans)
     scratch.drop("occurrences", "told")
-    return src.join(spans, ["did", "tkey"], "left")
+    return spans
 
 
-def runs_of(spans, size: int) -> list[tuple[int, int]]:
+def runs_of(spans) -> list[tuple[int, int]]:
     """Maximal runs of the intervals' union."""
     out: list[list[int]] = []
     for s, e in sorted((x["start"], x["end"]) for x in spans or ()):
@@ -311,18 +325,25 @@ def kept_of(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _report(batches):
-    for b in common.slices(batches):
-        cols: list[list] = [[] for _ in range(5)]
-        for d, raw, spans in zip(*(b.column(i).to_pylist() for i in range(3))):
-            runs = runs_of(spans, len(raw))
-            for c, v in zip(cols, (None if d == -(1 << 63) else d, len(raw), sum(e - s for s, e in runs), len(runs), hashlib.sha256(kept_of(raw, runs)).hexdigest())):
+    for b in common.slices(batches, 2 << 20):
+        cols: list[list] = [[] for _ in range(4)]
+        for raw, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            runs = runs_of(spans)
+            for c, v in zip(cols, (len(raw), sum(e - s for s, e in runs), len(runs), hashlib.sha256(kept_of(raw, runs)).hexdigest())):
                 c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.string()])], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.string()]))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def with_spans(docs: DataFrame, text_col: str) -> DataFrame:
+    """Adds tkey, more and spans (null: none) to all rows."""
+    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return docs.select("*", *keys_of(raw)).join(repeats(docs, text_col), ["tkey", "more"], "left")
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    return repeats(docs).select("did", "raw", "spans").mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    found = with_spans(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), "text")
+    return found.select("doc_id", F.col("text").cast("binary").alias("raw"), "spans").mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -341,18 +362,16 @@ def _cut(batches):
     for b in common.slices(batches, text=0):
         out = []
         for raw, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            out.append(kept_of(raw, whole_characters(raw, runs_of(spans, len(raw)))).decode("utf-8", "replace") if spans else raw.decode("utf-8", "replace"))
+            out.append(kept_of(raw, whole_characters(raw, runs_of(spans))).decode("utf-8", "replace") if spans else raw.decode("utf-8", "replace"))
         yield pa.RecordBatch.from_arrays([b.column(2), pa.array(out, pa.string())], ["all", "text"])
 
 
-def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with their repeated bytes cut (of characters only whole ones); texts of which nothing but white
     space is left go. n_chars, if there, follows; other columns stay. A text without repeats stays as it is, null too."""
     rest = [c for c in docs.columns if c != text_col]
-    found = repeats(docs, id_col, text_col).select("did", "tkey", "spans").filter("spans is not null").distinct()
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    keyed = docs.withColumn("did", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn("tkey", F.xxhash64(raw))
-    joined = keyed.join(found, ["did", "tkey"], "left")
+    joined = with_spans(docs, text_col)
     changed = joined.filter("spans is not null").select(raw.alias("raw"), "spans", F.struct(*rest).alias("all"))
     kind = changed.schema["all"].dataType.simpleString()
     changed = changed.mapInArrow(_cut, f"all {kind}, text string").filter(F.length(F.trim("text")) > 0)
