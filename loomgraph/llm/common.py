@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import shutil
@@ -21,7 +22,22 @@ M64 = (1 << 64) - 1
 MIX_A, MIX_B, BASE = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9E3779B97F4A7C15
 
 
+def tune(spark: SparkSession) -> None:
+    """Batches for Python of a few MB: a worker holds one at a time, whatever the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def give_back() -> None:
+    """Returns freed memory to the system; a worker process outlives its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    tune(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +59,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        tune(spark)
         atexit.register(self._forget)
 
     def path(self, name: str) -> str:
@@ -83,6 +100,7 @@ def slices(batches, most_bytes: int = 4 << 20, text: int = 1) -> Iterator[pa.Rec
                 at, held = i, 0
             held += n
         yield b.slice(at)
+    give_back()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -1,18 +1,21 @@
 """N-gram Jaccard join (operator 8): token-group matrix, with a filter that finds each pair of links exactly.
 
 1. Each text becomes its set of word n-grams (64-bit hashes); texts of one set are one node, its smallest id.
-2. Sets that link differ in few n-grams, so of P = H + 1 + spare parts, into which a hash deals all n-grams, some
-   must be alike (H bounds how many n-grams two linked sets of a size class may differ in). Each set gives one
-   signature per part and size class; sets that share one fall into a family. A spare part allows each set to
-   leave out as many parts of few n-grams, which unlike texts would share by chance; a set with more such parts
-   than spares gives them all, so no link is lost.
+2. Sets that link are found by what they must have in common, and sets that share such a signature fall into a family.
+   At EXACT_PCT and above: linked sets differ in few n-grams, so of P = H + 1 + spare parts, into which a hash deals all
+   n-grams, some must be alike (H bounds how many n-grams two linked sets of a size class may differ in). Each set gives
+   one signature per part and size class. A spare part allows each set to leave out as many parts of few n-grams, which
+   unlike texts would share by chance; a set with more such parts than spares gives them all, so no link is lost.
+   Below, such parts would hold too few n-grams to tell texts apart: there, a signature is the set's R least n-grams in
+   one of B random orders, with B so large that a link has no signature in common with a probability of at most
+   MISS (1e-17, below that of two n-grams having the same 64-bit hash).
 3. A family goes to one task, or, if it is large, its blocks pairwise to several. There the token-group matrix
    does the join: similar documents are put into groups, each group has its token union, a document's overlap
    with the union bounds that with any member, and only groups that can hold a link are opened. Documents with
    too many n-grams of their own are out beforehand. Pairs already known to be connected are not compared.
 4. Links are exact set comparisons; components come from common.components.
 
-Only signatures (about a seventh of the n-grams at 0.9) and the sets of families are shuffled; signatures are dealt
+Only signatures (a fraction of the n-grams) and the sets of families are shuffled; signatures are dealt
 by range, so that a frequent one is split, and each partition contracts what it sees to a spanning forest.
 
 Defined results: null and empty texts have empty sets, linked with nothing; a text of fewer words than n is
@@ -22,6 +25,7 @@ has a null component; empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -83,7 +87,7 @@ def class_plan(bounds: list[int], k: int, pct: int) -> tuple[int, int]:
     return differ + 1 + spare, spare
 
 
-def signatures(tokens: np.ndarray, bounds: list[int], pct: int, weak: int = 2) -> np.ndarray:
+def parts_of(tokens: np.ndarray, bounds: list[int], pct: int, weak: int = 2) -> np.ndarray:
     n = len(tokens)
     if not n:
         return np.empty(0, np.uint64)
@@ -106,6 +110,53 @@ def signatures(tokens: np.ndarray, bounds: list[int], pct: int, weak: int = 2) -
     return np.concatenate(out)
 
 
+#: Below EXACT_PCT parts would hold too few n-grams to tell texts apart; bands of least n-grams take their place. Sets of
+#: at most SMALL_TO n-grams have bands of R_SMALL, those over LARGE_FROM (also) bands of R_LARGE.
+EXACT_PCT, SMALL_TO, LARGE_FROM, R_SMALL, R_LARGE, MISS = 86, 50, 40, 3, 6, 1e-17
+
+
+@functools.lru_cache
+def band_count(pct: int, r: int, sizes: range) -> int:
+    """So many bands that two sets at the threshold share none with a probability of at most MISS, at any size."""
+    least = 1.0
+    for u in sizes:
+        i = -(-pct * u // 100)
+        if i < u:
+            least = min(least, math.comb(i, r) / math.comb(u, r)) if i >= r else 0.0
+        if least == 0.0:
+            raise ValueError("pct is too low for bands of least n-grams")
+    return math.ceil(math.log(MISS) / math.log1p(-least))
+
+
+def bands(tokens: np.ndarray, r: int, b: int) -> np.ndarray:
+    """One signature per band: the hash of the set's r least n-grams in the band's order. Two sets have a band in common
+    if the r least of their union lie in both."""
+    if len(tokens) <= r:
+        return common.mix(np.add.reduce(common.mix(tokens ^ SALTS[2]), keepdims=True) + np.uint64(r))
+    salts = common.mix(np.arange(1, b + 1, dtype=np.uint64) * np.uint64(common.BASE) + np.uint64(r))
+    out = np.empty(b, np.uint64)
+    step = max(1, 400_000 // len(tokens))
+    inner = common.mix(tokens ^ SALTS[2])
+    for i in range(0, b, step):
+        h = (tokens ^ salts[i : i + step, None]) * np.uint64(common.MIX_A)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(common.MIX_B)
+        least = np.argpartition(h, r - 1, axis=1)[:, :r]
+        out[i : i + step] = inner[least].sum(1)
+    return common.mix(out + salts)
+
+
+def signatures(tokens: np.ndarray, bounds: list[int], pct: int) -> np.ndarray:
+    """What two sets that link have in common."""
+    if pct >= EXACT_PCT or not len(tokens):
+        return parts_of(tokens, bounds, pct)
+    out = []
+    if len(tokens) <= SMALL_TO:
+        out.append(bands(tokens, R_SMALL, band_count(pct, R_SMALL, range(2, SMALL_TO * 100 // pct + 1))))
+    if len(tokens) > LARGE_FROM:
+        out.append(bands(tokens, R_LARGE, band_count(pct, R_LARGE, range(LARGE_FROM, 400))))
+    return np.concatenate(out)
+
+
 def _describe(batches, n: int, pct: int) -> Iterator[pa.RecordBatch]:
     """doc_id, n_shingles, key (128-bit hash of the set), signatures."""
     shingle, bounds = Shingler(n), size_classes(pct, 1 << 40)
@@ -242,6 +293,8 @@ def _link(batches, pct: int) -> Iterator[pa.RecordBatch]:
                 key, ids, sets = k, [], []
             ids.append(node[i]), sets.append(np.asarray(lists[i].values).view(np.uint64))
     flush()
+    sets.clear()
+    common.give_back()
     for i in range(0, len(rows), 50_000):
         c = list(zip(*rows[i : i + 50_000]))
         yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64())], ["u", "v"])
