@@ -18,7 +18,6 @@ never inputs; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -38,15 +37,31 @@ def words(text: str | None) -> list[str]:
     return [w for w in found if w.isalpha() or any(c.isalpha() for c in w)]
 
 
-def features(word: str, lexicons: dict[str, int]) -> list[int]:
-    """Hashed features; long words count by their first and last 24 letters."""
-    w = word if len(word) <= 48 else word[:24] + word[-24:]
-    s = f"^{w}$"
-    out = [f"w{w}"] + [f"p{w[:k]}" for k in (1, 2, 3)] + [f"s{w[-k:]}" for k in (1, 2, 3, 4)]
-    out += [s[i : i + n] for n in (2, 3) for i in range(len(s) - n + 1)]
-    if (held := lexicons.get(word, 0)) != 0:
-        out += [f"L{k}" for k in range(held.bit_length()) if held >> k & 1]
-    return [zlib.crc32(x.encode()) % BUCKETS for x in out]
+def features(vocabulary: list[str], lexicons: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's hashed features: (how many each word has, all of them in a row). N-grams of 2 to 5 bytes of ^word$
+    (those with ^ or $ are its affixes), the word itself, and the lexicons that hold it; of long words the n-grams of
+    the first and last 24 letters."""
+    marked = [f"^{w}$" if len(w) <= 48 else f"^{w[:24]}{w[-24:]}$" for w in vocabulary]
+    data = np.frombuffer("\n".join(marked).encode() + b"\n", np.uint8)
+    word = np.cumsum(data == 10) - (data == 10)
+    codes, sums = common.mix(np.arange(256, dtype=np.uint64) + np.uint64(77)), np.zeros(len(data), np.uint64)
+    inside, owner, ident = data != 10, [], []
+    for n in range(1, 6):
+        sums = sums * np.uint64(common.MIX_A) if n > 1 else sums
+        sums = sums[: len(data) - n + 1] + codes[data[n - 1 :]]
+        inside = inside[: len(data) - n + 1] & (data[n - 1 :] != 10)
+        if n > 1:
+            at = np.flatnonzero(inside)
+            owner.append(word[at]), ident.append(common.mix(sums[at] + np.uint64(n)) % np.uint64(BUCKETS))
+    first = np.concatenate([[0], np.flatnonzero(data == 10)[:-1] + 1])
+    place = np.arange(len(data)) - np.repeat(first, np.diff(np.concatenate([first, [len(data)]])))
+    whole = np.add.reduceat(common.mix(data.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8))), first)
+    owner.append(np.arange(len(vocabulary))), ident.append(common.mix(whole) % np.uint64(BUCKETS))
+    held = [(i, k) for i, w in enumerate(vocabulary) if (x := lexicons.get(w)) for k in range(x.bit_length()) if x >> k & 1]
+    owner.append(np.array([i for i, _ in held], np.int64)), ident.append(np.array([k for _, k in held], np.uint64))
+    o = np.concatenate(owner)
+    order = np.argsort(o, kind="stable")
+    return np.bincount(o, minlength=len(vocabulary)), np.concatenate(ident)[order].astype(np.int64)
 
 
 class Model:
@@ -55,9 +70,7 @@ class Model:
 
 
 def _emissions(model: Model, vocabulary: list[str]) -> np.ndarray:
-    feats = [features(w, model.lexicons) for w in vocabulary]
-    n = np.array([len(f) for f in feats])
-    flat = np.concatenate(feats).astype(np.int64)
+    n, flat = features(vocabulary, model.lexicons)
     at = np.concatenate([[0], np.cumsum(n)[:-1]])
     return np.add.reduceat(model.weights[flat], at) / np.sqrt(n)[:, None]
 
@@ -127,7 +140,10 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Mod
     model = Model(labels, np.zeros((BUCKETS, size)), np.zeros((size, size)), np.zeros(size), lexicons)
     sums = [np.full(x.shape, 1e-6) for x in (model.weights, model.trans, model.first)]
     stretches = [(w[i : i + 24], number[lang]) for w, lang in held for i in range(0, len(w), 24)]
-    known: dict[str, list[int]] = {}
+    everything = sorted({w for ws, _ in held for w in ws})
+    number_of = {w: k for k, w in enumerate(everything)}
+    each, all_flat = features(everything, lexicons)
+    all_at = np.concatenate([[0], np.cumsum(each)])
     for _ in range(epochs):
         order = rng.permutation(len(stretches))
         cuts = np.cumsum(rng.integers(1, 4, len(order)))
@@ -142,20 +158,15 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Mod
             begins = np.zeros(len(text), bool)
             begins[starts[new[at : at + len(part)]]] = True
             begins[0] = True
-            vocabulary = list(dict.fromkeys(text))
-            for w in vocabulary:
-                if w not in known:
-                    known[w] = features(w, lexicons)
-            feats = [known[w] for w in vocabulary]
-            n = np.array([len(f) for f in feats])
-            flat = np.concatenate(feats).astype(np.int64)
-            emit = np.add.reduceat(model.weights[flat], np.concatenate([[0], np.cumsum(n)[:-1]])) / np.sqrt(n)[:, None]
-            ident = {w: k for k, w in enumerate(vocabulary)}
-            ids = np.array([ident[w] for w in text])
+            used_words, ids = np.unique([number_of[w] for w in text], return_inverse=True)
+            n = each[used_words]
+            at_word = np.concatenate([[0], np.cumsum(n)[:-1]])
+            flat = all_flat[np.repeat(all_at[used_words] - at_word, n) + np.arange(n.sum())]
+            emit = np.add.reduceat(model.weights[flat], at_word) / np.sqrt(n)[:, None]
             post = posteriors(emit[ids], begins, model.trans, model.first)
             err = -post
             err[np.arange(len(text)), gold] += 1
-            word_err = np.zeros((len(vocabulary), size))
+            word_err = np.zeros((len(used_words), size))
             np.add.at(word_err, ids, err)
             spread = np.repeat(word_err / np.sqrt(n)[:, None], n, axis=0)
             used, where = np.unique(flat, return_inverse=True)

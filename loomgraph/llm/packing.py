@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,36 +28,49 @@ WINDOW, END_ID, DOCS_PER_GROUP = 4096, 2, 4096
 #: Text of these characters only is lower-cased and cut at white space alike by Python and by the tokenizer.
 UNSAFE = re.compile("[^\t-\r -~¡-¬®-įı-ſ]")
 
+#: How the tokenizer cuts a word (fixed value).
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
 
 class WordEncoder:
     """Ids of whole texts. This tokenizer's pieces never cross white space, so a text's ids are its words' ids in
     a row; words are looked up in a bounded memory and new ones are encoded by the tokenizer itself. Texts with
     characters that UNSAFE finds, or with what may be a special token, go to it whole."""
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 300_000):
         common.env_single_thread()
         from tokenizers import Tokenizer
 
         self.tok, self.known, self.most = Tokenizer.from_file(path), {}, most_words
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if UNSAFE.search(text) or "<|" in text:
-            return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.lower().split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        self.older: dict[str, bytes] = {}
+        self.last = np.zeros(self.tok.get_vocab_size() + 1, bool)
+        self.last[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _ids_of(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of words, by one call over all in a row: each of a word's pre-tokens ends in exactly one piece that
+        ends a word, so the pieces are dealt out by counting those. If the counts don't agree, word by word."""
+        ids = np.asarray(self.tok.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        count = np.cumsum([1 if w.isalpha() else len(PRE_TOKEN.findall(w)) for w in new])
+        if len(ends) != count[-1] or (np.diff(count, prepend=0) == 0).any():
+            return {w: np.asarray(e.ids, "<u4").tobytes() for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False))}
+        raw, cut = ids.tobytes(), (ends[count - 1] * 4).tolist()
+        return {w: raw[s:e] for w, s, e in zip(new, [0, *cut], cut)}
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit numbers."""
+        whole = [bool(t) and (UNSAFE.search(t) is not None or "<|" in t) for t in texts]
+        words = [t.lower().split() if t and not odd else [] for t, odd in zip(texts, whole)]
+        new = set().union(*words).difference(self.known)
+        if len(self.known) + len(new) > self.most:  # what is used again comes back from the older half
+            self.older, self.known = self.known, {}
+            new = set().union(*words)
+        known, old = self.known, self.older
+        known.update((w, old[w]) for w in new.intersection(old))
+        new = sorted(new.difference(old))
+        for i in range(0, len(new), 500):
+            known.update(self._ids_of(new[i : i + 500]))
+        return [np.asarray(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if odd else b"".join([known[w] for w in ws]) for t, odd, ws in zip(texts, whole, words)]
 
 
 def pieces(batches, path: str, window: int, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -64,8 +78,8 @@ def pieces(batches, path: str, window: int, end_id: int) -> Iterator[pa.RecordBa
     enc, end = WordEncoder(path), np.uint32(end_id).astype("<u4").tobytes()
     for b in common.slices(batches):
         ids, start, length, crc, total = [], [], [], [], []
-        for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            raw = enc.encode(text or "") + end
+        for d, raw in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):
+            raw += end
             n = len(raw) // 4
             for at in range(0, n, window):
                 part = raw[at * 4 : (at + window) * 4]

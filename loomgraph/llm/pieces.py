@@ -5,8 +5,8 @@ its UTF-8 bytes' pieces. Forward Viterbi gives each place the score of the best
 for a search backward from the end, so A* yields the n best segmentations in order and opens nothing else.
 
 No piece goes on from a non-space into a space (checked when the model is read; otherwise the whole text is one
-lattice), so the lattice falls apart at such places: each distinct word is searched once and remembered within a
-bound, and the n best of a text are the best ways to take alternatives in the n - 1 words that lose least by it.
+lattice), nor over two characters that no piece has in a row; so the lattice falls apart at such places: the best way
+through each distinct part and its distance to the next are remembered within a bound, and the n best of a text are the best ways to take alternatives in the n - 1 words that lose least by it.
 
 A unigram model's scores are log-probabilities. A BPE model has merge ranks instead; they become log-probabilities by
 Zipf's law, and bytes and pieces without a rank get the least of all. Nothing is trained.
@@ -41,6 +41,9 @@ class Vocabulary:
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_pieces: list[tuple[int, float]], names: list[bytes | None]):
         self.pieces, self.bytes, self.names = pieces, byte_pieces, names
         self.longest = max(map(len, pieces), default=1)
+        self.pairs = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
+        self.cuts: dict[str, list[str]] = {}
+        self.heads = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
         self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
     @classmethod
@@ -74,73 +77,140 @@ class Vocabulary:
         return b"".join([names[i] or b"" for i in ids])[1:].decode("utf-8", "replace")
 
 
+def best_and_gap(word: str, vocab: Vocabulary) -> tuple[float, tuple[int, ...], float]:
+    """Score and ids of the best segmentation, and what the second best loses by (inf: there is none): forward Viterbi,
+    then a backward pass, after which the best way over an edge is known for each edge."""
+    size, pieces, heads, longest = len(word), vocab.pieces, vocab.heads, vocab.longest
+    best, back, edges = [0.0] + [-math.inf] * size, [None] * (size + 1), []
+    for i in range(size):
+        single, here = False, best[i]
+        for j in range(i + 1, min(size, i + longest) + 1):
+            part = word[i:j]
+            if part not in heads:
+                break
+            hit = pieces.get(part)
+            if hit is not None:
+                single = single or j == i + 1
+                s = hit[1]
+                edges.append((i, j, s))
+                if here + s > best[j]:
+                    best[j], back[j] = here + s, (i, (hit[0],))
+        if not single:
+            raw = [vocab.bytes[b] for b in word[i].encode("utf-8", "surrogatepass")]
+            s = sum(x for _, x in raw)
+            edges.append((i, i + 1, s))
+            if here + s > best[i + 1]:
+                best[i + 1], back[i + 1] = here + s, (i, tuple(k for k, _ in raw))
+    ids, on, at = (), {}, size
+    while at:
+        i, piece = back[at]
+        ids, on[i], at = piece + ids, at, i
+    after, second = [-math.inf] * size + [0.0], -math.inf
+    for i, j, s in reversed(edges):
+        rest = s + after[j]
+        if rest > after[i]:
+            after[i] = rest
+        if best[i] + rest > second and on.get(i) != j:
+            second = best[i] + rest
+    return best[size], ids, best[size] - second
+
+
 def n_best(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
     """The n best segmentations of the word: (score, ids), best first."""
-    size, pieces = len(word), vocab.pieces
-    edges: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]  # by end: start, score, ids
+    size, pieces, heads = len(word), vocab.pieces, vocab.heads
+    edges: list[list[tuple]] = [[] for _ in range(size + 1)]  # by end: (-best to here over the edge, ids, start, score)
     best = [0.0] + [-math.inf] * size
     for i in range(size):
-        ways = []
+        single, here = False, best[i]
         for j in range(i + 1, min(size, i + vocab.longest) + 1):
-            if (hit := pieces.get(word[i:j])) is not None:
-                ways.append((j, hit[1], (hit[0],)))
-        if not ways or ways[0][0] != i + 1:
+            part = word[i:j]
+            if part not in heads:
+                break
+            if (hit := pieces.get(part)) is not None:
+                single = single or j == i + 1
+                to = here + hit[1]
+                edges[j].append((-to, (hit[0],), i, hit[1]))
+                if to > best[j]:
+                    best[j] = to
+        if not single:
             raw = [vocab.bytes[b] for b in word[i].encode("utf-8", "surrogatepass")]
-            ways.append((i + 1, sum(s for _, s in raw), tuple(k for k, _ in raw)))
-        for j, s, ids in ways:
-            edges[j].append((i, s, ids))
-            if best[i] + s > best[j]:
-                best[j] = best[i] + s
-    # agenda: (-estimate, ids from here to the end, place, score from here to the end)
-    agenda: list[tuple] = [(-best[size], (), size, 0.0)]
+            s = sum(x for _, x in raw)
+            edges[i + 1].append((-here - s, tuple(k for k, _ in raw), i, s))
+            best[i + 1] = max(best[i + 1], here + s)
+    for ways in edges:
+        ways.sort()
+    # agenda: (-estimate, place whose edges are to be tried, number of the edge, ids and score from there to the end);
+    # edges stand in falling order of their estimate, so the next is only looked at once the one before it is out
+    agenda: list[tuple] = [(edges[size][0][0], size, 0, (), 0.0)]
     out: list[tuple[float, tuple[int, ...]]] = []
     while agenda and (len(out) < n or -agenda[0][0] >= out[n - 1][0] - 1e-9):
-        estimate, ids, at, after = heapq.heappop(agenda)
-        if at == 0:
+        _, at, k, ids, after = heapq.heappop(agenda)
+        ways = edges[at]
+        if k + 1 < len(ways):
+            heapq.heappush(agenda, (ways[k + 1][0] - after, at, k + 1, ids, after))
+        _, piece, i, s = ways[k]
+        ids, after = piece + ids, after + s
+        if i == 0:
             out.append((after, ids))
             if len(out) > 8 * n:  # far more ties than asked for
                 break
-            continue
-        for i, s, piece in edges[at]:
-            heapq.heappush(agenda, (-(best[i] + s + after), piece + ids, i, s + after))
+        else:
+            heapq.heappush(agenda, (edges[i][0][0] - after, i, 0, ids, after))
     out.sort(key=lambda x: (-round(x[0], 9), x[1]))
     return out[:n]
 
 
 class Encoder:
+    """N-best segmentations of texts. Of a word all that is needed as a rule is its best one and how far the next is; A*
+    runs on the words whose alternatives a text's n best can hold."""
+
     def __init__(self, vocab: Vocabulary, n: int):
-        self.vocab, self.n, self.known = vocab, n, {}
+        self.vocab, self.n, self.known, self.older = vocab, n, {}, {}
 
-    def _word(self, word: str):
-        got = self.known.get(word)
+    def _word(self, word: str) -> tuple[float, bytes, float]:
+        got = self.older.get(word)
         if got is None:
-            if len(self.known) > MOST_WORDS:
-                self.known.clear()
-            ways = n_best(word, self.vocab, self.n)
-            got = [(s, np.array(ids, "<i4").tobytes()) for s, ids in ways]
-            if len(word) < 64:
-                self.known[word] = got
+            score, ids, gap = best_and_gap(word, self.vocab)
+            if gap < 1e-9:  # of equal ones the first by ids
+                score, ids = n_best(word, self.vocab, 1)[0]
+            got = (score, np.array(ids, "<i4").tobytes(), gap)
+        if len(self.known) > MOST_WORDS:
+            self.older, self.known = self.known, {}
+        self.known[word] = got
         return got
 
+    def _cut(self, whole: str) -> list[str]:
+        """Parts over whose ends no piece can reach: before spaces, and between characters that no piece has in a row."""
+        parts = []
+        for w in SEGMENT.findall(whole) if self.vocab.apart else [whole]:
+            known = self.vocab.cuts.get(w)
+            if known is None:
+                at = [0, *(k + 1 for k in range(len(w) - 1) if w[k : k + 2] not in self.vocab.pairs), len(w)]
+                known = [w[s:e] for s, e in zip(at, at[1:])]
+                if len(self.vocab.cuts) < MOST_WORDS:
+                    self.vocab.cuts[w] = known
+            parts += known
+        return parts
+
     def __call__(self, text: str | None) -> list[tuple[float, bytes]]:
         """The n best segmentations of the text: (score, ids as little-endian 32-bit numbers)."""
         if not text:
             return [(0.0, b"")]
-        whole = SPACE + text.replace(" ", SPACE)
-        ways = [self._word(w) for w in (SEGMENT.findall(whole) if self.vocab.apart else [whole])]
-        first = [w[0][1] for w in ways]
-        total = math.fsum([w[0][0] for w in ways])
-        gaps = heapq.nsmallest(self.n - 1, ((w[0][0] - w[1][0], k) for k, w in enumerate(ways) if len(w) > 1))
-        where = [k for _, k in gaps]
-        combos = sorted((round(sum(ways[k][0][0] - ways[k][c][0] for k, c in zip(where, pick)), 9), pick) for pick in itertools.product(*(range(len(ways[k])) for k in where)))
+        parts = self._cut(SPACE + text.replace(" ", SPACE))
+        found = [self.known.get(w) or self._word(w) for w in parts]
+        first = [f[1] for f in found]
+        total = math.fsum([f[0] for f in found])
+        where = [k for gap, k in heapq.nsmallest(self.n - 1, ((f[2], k) for k, f in enumerate(found))) if gap < math.inf]
+        ways = [n_best(parts[k], self.vocab, self.n) for k in where]
+        combos = sorted((round(sum(w[0][0] - w[c][0] for w, c in zip(ways, pick)), 9), pick) for pick in itertools.product(*(range(len(w)) for w in ways)))
         out = []
         for lost, pick in combos[: self.n]:
-            parts = first
+            take = first
             if any(pick):
-                parts = first.copy()
-                for k, c in zip(where, pick):
-                    parts[k] = ways[k][c][1]
-            out.append((total - lost, b"".join(parts)))
+                take = first.copy()
+                for k, w, c in zip(where, ways, pick):
+                    take[k] = np.array(w[c][1], "<i4").tobytes()
+            out.append((total - lost, b"".join(take)))
         return out
 
 
