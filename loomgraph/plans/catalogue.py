@@ -1,19 +1,371 @@
-"""Registered queries of the engine's own operators, with DuckDB SQL to hold them against."""
+"""Registered queries of the engine's own operators, each over its whole table, with DuckDB SQL to hold them against.
+
+The tables lack dates, quantities, Markdown and Cyrillic text, so queries for those put a fixed fragment before each text,
+on both sides.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
+from ..functions import fixed as V
+from ..operators import chunk, clean, graph, normalize, tokenize, vectorize
+from . import pipeline
+
+QUERIES, ORACLES = {}, {}
+
+
+def query(oracle: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return put
+
+
+def _t(spark, sf, name):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _docs(spark, sf, before=""):
+    d = _t(spark, sf, "documents")
+    return d.withColumn("text", F.concat(F.lit(before), F.col("text"))) if before else d
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query("SELECT doc_id, md5(regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g')) AS h FROM documents")
+def clean_control_chars(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(clean.control_chars(F.col("text")).cast("binary")).alias("h"))
+
+
+@query("SELECT page_id, md5(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g')) AS h FROM pages")
+def clean_html_comments(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.md5(clean.comments(F.col("html")).cast("binary")).alias("h"))
+
+
+@query("SELECT page_id, md5(regexp_replace(html, '(?s)</?[a-zA-Z][^>]*>', ' ', 'g')) AS h FROM pages")
+def clean_html_tags(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.md5(clean.tags(F.col("html")).cast("binary")).alias("h"))
+
+
+_MD = "![i](d) see [t](u) and [r][x].\n[x]: http://e\n"
+
+
+@query(f"SELECT doc_id, md5('' || ' see t and r.' || chr(10) || chr(10) || text) AS h FROM documents WHERE NOT regexp_matches(text, '[\\[\\]!<]') ")
+def clean_links_images(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").rlike(r"[\[\]!<]")).withColumn("text", F.concat(F.lit(_MD), F.col("text")))
+    return d.select("doc_id", F.md5(clean.links(clean.images(F.col("text"))).cast("binary")).alias("h"))
+
+
+@query(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace('H' || chr(10) || 'q' || chr(10) || 'item' || chr(10) || 'b s c' || chr(10) || text, '\*\*([^*\n]+)\*\*', '\1', 'g'), '~~([^~\n]+)~~', '\1', 'g'), '`([^`\n]*)`', '\1', 'g')) AS h
+FROM documents WHERE NOT regexp_matches(text, '(?m)^ {0,3}(#|>|[-*+_]|[0-9]+[.])') AND NOT contains(text, chr(92))""")
+def clean_markup(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").rlike(r"(?m)^ {0,3}(#|>|[-*+_]|[0-9]+[.])") & ~F.col("text").contains("\\"))
+    return d.select("doc_id", F.md5(clean.markup(F.concat(F.lit("# H\n> q\n- item\n**b** ~~s~~ `c`\n"), F.col("text"))).cast("binary")).alias("h"))
+
+
+@query("SELECT doc_id, md5(chr(10) || chr(10) || chr(10) || '12345' || chr(10) || 'x 5' || chr(10) || regexp_replace(text, '(?m)^ {0,3}[0-9]{1,4}[.]?$', '', 'g')) AS h FROM documents WHERE NOT regexp_matches(text, '(?im)^ {0,3}([-–—] ?)?((с|p|стр)\\. ?|page ?|страница ?)?[0-9]{1,4}( ?/ ?[0-9]{1,4})?( ?[-–—])$')")
+def clean_page_numbers(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").rlike(r"(?im)^ {0,3}([-–—] ?)?((с|p|стр)\. ?|page ?|страница ?)?[0-9]{1,4}( ?/ ?[0-9]{1,4})?( ?[-–—])$"))
+    return d.select("doc_id", F.md5(clean.page_numbers(F.concat(F.lit("- 12 -\nСтр. 5\np. 3/10\n12345\nx 5\n"), F.col("text"))).cast("binary")).alias("h"))
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
+b AS (SELECT doc_id, trim(line, ' ' || chr(9) || chr(13)) AS s, count(*) AS n FROM l GROUP BY 1, 2),
+o AS (SELECT doc_id, s FROM b WHERE n >= 6 AND length(s) BETWEEN 1 AND 80 AND length(s) - length(replace(s, '|', '')) < 2 AND (length(s) >= 8 OR regexp_matches(s, '[0-9]')))
+SELECT l.doc_id, count(*) AS lines, sum(length(l.line))::BIGINT AS chars FROM l LEFT JOIN o ON l.doc_id = o.doc_id AND trim(l.line, ' ' || chr(9) || chr(13)) = o.s WHERE o.s IS NULL GROUP BY 1""")
+def clean_repeated_lines(spark, sf):
+    d = clean.repeated_lines(_docs(spark, sf), "doc_id", "text").withColumn("l", F.split("text", "\n", -1))
+    return d.select("doc_id", F.size("l").cast("long").alias("lines"), F.length(F.array_join("l", "")).cast("long").alias("chars"))
+
+
+@query("SELECT doc_id, md5(regexp_replace('1,5 x 2,75' || text, '([0-9]),([0-9])', '\\1.\\2', 'g')) AS h FROM documents WHERE NOT regexp_matches(text, '[0-9],[0-9],')")
+def clean_decimal_comma(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").rlike("[0-9],[0-9],"))
+    return d.select("doc_id", F.md5(clean.decimal_comma(F.concat(F.lit("1,5 x 2,75"), F.col("text"))).cast("binary")).alias("h"))
+
+
+@query("SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace('a    b  ' || chr(10) || chr(10) || chr(10) || chr(10) || text, '(?m)[ \\t]+$', '', 'g'), '([^ \\n\\t])[ ]{3,}', '\\1 ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) || chr(10)) AS h FROM documents WHERE NOT contains(text, chr(9))")
+def clean_whitespace(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").contains("\t"))
+    return d.select("doc_id", F.md5(clean.whitespace(F.concat(F.lit("a    b  \n\n\n\n"), F.col("text"))).cast("binary")).alias("h"))
+
+
+@query("SELECT doc_id, lower(text) = lower(text) AS same, 4 AS kept FROM documents WHERE NOT contains(text, '$') AND NOT contains(text, chr(92))")
+def protect_roundtrip(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").contains("$") & ~F.col("text").contains("\\"))
+    d = d.withColumn("text", F.concat(F.lit("$a$ $$x\ny$$$b$ \\(c\\) $ d $"), F.col("text")))
+    t, b = C.protect(F.col("text"), C.no_blocks(), V.DISPLAY_MATH, "display")
+    d = d.select("doc_id", F.col("text").alias("raw"), t.alias("t"), b.alias("b"))
+    t, b = C.protect(F.col("t"), F.col("b"), V.INLINE_MATH, "inline")
+    return d.select("doc_id", (C.restore(t, b) == F.col("raw")).alias("same"), F.size(b).alias("kept"))
+
+
+@query()
+def clean_documents(spark, sf):
+    return clean.clean(_docs(spark, sf).select(F.col("doc_id"), "text"), "doc_id")
+
+
+@query()
+def clean_lowercase_stop_words(spark, sf):
+    d = _docs(spark, sf, "The NASA probe and X80 steel.\n")
+    return d.select("doc_id", F.md5(clean.stop_words(clean.lowercase(F.col("text")), ("the", "and", "of")).cast("binary")).alias("h"))
+
+
+@query("SELECT page_id, 'h' AS kind, '| A | B |  |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| 1 | x |  |' || chr(10) || '|  | y\\|z | w |' AS md FROM pages")
+def html_table_to_md(spark, sf):
+    src = "<table><tr><th>A</th><th colspan=2>B</th></tr><tr><td rowspan=2>1</td><td>x<img src=a></td></tr><tr><td>y|z</td><td>w</td></tr></table>"
+    return _t(spark, sf, "pages").select("page_id", F.lit("h").alias("kind"), C.strip(clean.html_tables(F.concat(F.lit(src), F.left("html", F.lit(0))))).alias("md"))
+
+
+@query("SELECT doc_id, md5('2020-03-05 2020-05-13 31.02.2020 2020-03-05 г. 5 марта 2020 ' || text) AS h FROM documents WHERE NOT regexp_matches(text, '[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}')")
+def norm_dates(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").rlike("[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}"))
+    return d.select("doc_id", F.md5(normalize.dates(F.concat(F.lit("05.03.2020 05.13.2020 31.02.2020 5 март 2020 г. 5 марта 2020 "), F.col("text"))).cast("binary")).alias("h"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity::INTEGER::VARCHAR || ',5 1.2.3' AS t FROM lineitem")
+def norm_decimal(spark, sf):
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", normalize.decimal_dots(F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".5 1.2.3"))).alias("t"))
+
+
+@query("SELECT l_orderkey, l_linenumber, (l_quantity::INTEGER * 1000)::VARCHAR || ' 0,0002' AS t FROM lineitem")
+def norm_scientific(spark, sf):
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", normalize.scientific(F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("·10^3 2e-4"))).alias("t"))
+
+
+@query("SELECT l_orderkey, l_linenumber, (l_quantity::INTEGER * 1000000)::VARCHAR || ' kg/m/s**2, ' || (l_quantity::INTEGER + 273)::VARCHAR || ',15 K; m' AS t FROM lineitem")
+def norm_units(spark, sf):
+    n = F.col("l_quantity").cast("int").cast("string")
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", normalize.units(F.concat(n, F.lit(" МПа, "), n, F.lit(" °C; мм"))).alias("t"))
+
+
+@query("SELECT doc_id, 'IF-стали, TRIP, PSL и ppm' || right(text, 0) AS t FROM documents")
+def norm_abbreviations(spark, sf):
+    return _docs(spark, sf).select("doc_id", normalize.abbreviations(F.concat(F.lit("Interstitial-Free стали, Transformation Induced Plasticity, Product Specification Level и ррт"), F.left("text", F.lit(0)))).alias("t"))
+
+
+def _part_tables(spark, sf):
+    p = _t(spark, sf, "part")
+    row = F.format_string("| %d | %s | %d мм |", "p_partkey", "p_brand", "p_size")
+    return p.groupBy(F.col("p_brand").alias("source_file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("r")))), lambda x: x["r"]), "\n").alias("body")).select("source_file", F.concat(F.lit("Intro\n| key | brand | size |\n| --- | --- | --- |\n"), F.col("body"), F.lit("\nEnd")).alias("text"))
+
+
+def _part_cells(spark, sf):
+    return normalize.table_cells(normalize.table_blocks(_part_tables(spark, sf), "source_file", "text"), "source_file")
+
+
+@query("SELECT p_brand AS source_file, count(*) * 3 AS cells, sum(p_partkey)::BIGINT AS keys, round(sum(p_size) / 1000.0, 4)::DOUBLE AS size_m FROM part GROUP BY 1")
+def table_cells(spark, sf):
+    c = _part_cells(spark, sf)
+    return c.groupBy("source_file").agg(F.count("*").alias("cells"), F.sum(F.when(F.col("name") == "key", F.col("num"))).cast("long").alias("keys"), F.round(F.sum(F.when(F.col("name") == "size", F.col("num"))), 4).alias("size_m"))
+
+
+@query("SELECT DISTINCT p_brand AS source_file, c.name, c.dtype, c.unit FROM part, (VALUES ('key', 'float64', NULL), ('brand', 'object', NULL), ('size', 'float64', 'm')) AS c(name, dtype, unit)")
+def table_typing(spark, sf):
+    return normalize.table_columns(_part_cells(spark, sf), "source_file").select("source_file", "name", "dtype", "unit")
+
+
+@query("SELECT p_brand AS source_file, count(*)::INTEGER AS n FROM part GROUP BY 1")
+def table_records(spark, sf):
+    return normalize.table_records(_part_cells(spark, sf), "source_file").select("source_file", F.size("rows").alias("n"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Nb' WHEN 1 THEN 'Mn' WHEN 2 THEN 'Ti' ELSE p_name END AS label, p_partkey % 4 <> 3 AS valid, 'A_B_' || p_partkey AS kind FROM part")
+def label_rules(spark, sf):
+    raw = F.element_at(F.array(F.lit(" «ниобий» "), F.lit("MN"), F.lit("titanium"), F.col("p_name")), (F.col("p_partkey") % 4 + 1).cast("int"))
+    label = graph.canonical_label(graph.clean_label(raw))
+    return _t(spark, sf, "part").select("p_partkey", label.alias("label"), graph.is_label(label).alias("valid"), graph.type_name(F.concat(F.lit(" a b-"), F.col("p_partkey"))).alias("kind"))
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN false WHEN 1 THEN false WHEN 2 THEN false WHEN 3 THEN true ELSE false END AS valid FROM nation")
+def label_validity(spark, sf):
+    raw = F.element_at(F.array(*map(F.lit, ["процесс", "Таблица 1", "20 мм", "Сталь марки", "steel"])), (F.col("n_nationkey") % 5 + 1).cast("int"))
+    return _t(spark, sf, "nation").select("n_nationkey", graph.is_label(raw).alias("valid"))
+
+
+@query("SELECT item_id, count(d.doc_id) AS docs FROM benchmark b LEFT JOIN documents d ON d.doc_id % 10 = b.item_id % 10 AND contains(regexp_replace(lower(d.text), '\\s+', ' ', 'g'), trim(regexp_replace(lower(b.text), '\\s+', ' ', 'g'))) GROUP BY 1")
+def quote_support(spark, sf):
+    b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("quote"))
+    d = _docs(spark, sf).select("doc_id", "text")
+    return b.join(d, (F.col("doc_id") % 10 == F.col("item_id") % 10) & graph.supported(F.col("quote"), F.col("text")), "left").groupBy("item_id").agg(F.count("doc_id").alias("docs"))
+
+
+@query("SELECT doc_id, greatest(1, length(text) // 4)::INTEGER AS tokens FROM documents")
+def chunk_fallback_length(spark, sf):
+    return _docs(spark, sf).select("doc_id", chunk.token_length(F.col("text")).alias("tokens"))
+
+
+@query()
+def chunk_recursive(spark, sf):
+    return chunk.chunks(_docs(spark, sf), "doc_id", "text", 200, 0.15)
+
+
+@query()
+def char_chunks(spark, sf):
+    return chunk.char_chunks(_docs(spark, sf), "doc_id", "text")
+
+
+@query()
+def chunk_quality(spark, sf):
+    return chunk.size_stats(chunk.chunks(_docs(spark, sf), "doc_id", "text"))
+
+
+@query()
+def broken_sentences(spark, sf):
+    d = _docs(spark, sf)
+    return chunk.broken_sentences(d, chunk.chunks(d, "doc_id", "text"), "doc_id", "text")
+
+
+@query("SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> ''))::INTEGER AS n FROM documents WHERE NOT regexp_matches(text, '[A-Z]\\.\\s')")
+def sentence_split(spark, sf):
+    return _docs(spark, sf).filter(~F.col("text").rlike(r"[A-Z]\.\s")).select("doc_id", F.size(tokenize.sentences(F.col("text"))).alias("n"))
+
+
+@query("SELECT doc_id, len(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?'))::INTEGER AS n FROM documents WHERE NOT contains(text, '[')")
+def word_tokens(spark, sf):
+    return _docs(spark, sf).filter(~F.col("text").contains("[")).select("doc_id", F.size(tokenize.words(F.col("text"))).alias("n"))
+
+
+@query("""WITH w AS (SELECT DISTINCT source, unnest(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?')) AS word FROM documents WHERE NOT contains(text, '['))
+SELECT count(DISTINCT word) AS words FROM w WHERE length(word) >= 3""")
+def distinct_words(spark, sf):
+    t = _docs(spark, sf).filter(~F.col("text").contains("[")).select(tokenize.words(F.col("text")).alias("tokens"))
+    return tokenize.vocabulary_check(t, t.select(F.lit("x").alias("word")).limit(0), ()).select("words")
+
+
+@query("SELECT source, doc_id, coalesce(sum(n) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_table FROM (SELECT source, doc_id, length(text) % 3 AS n FROM documents)")
+def global_table_index(spark, sf):
+    d = _docs(spark, sf).select("source", "doc_id", (F.length("text") % 3).alias("n"))
+    return tokenize.global_index(d, "source", "doc_id", "n").select("source", "doc_id", F.col("first_table").cast("long").alias("first_table"))
+
+
+@query("SELECT doc_id, 1 AS formulas, 1 AS numunits, 2 AS abbreviations, true AS round_trip FROM documents WHERE NOT regexp_matches(text, '[$\\[|\\\\0-9]')")
+def token_masks(spark, sf):
+    d = _docs(spark, sf).filter(~F.col("text").rlike(r"[$\[|\\0-9]")).withColumn("text", F.concat(F.lit("IF-стали и API: $x^2$ при 20 мм. "), F.regexp_replace("text", r"(?<![\w-])[A-Za-z]{1,4}(?![\w-])", "w")))
+    t = tokenize.tokenize(d.select(F.col("doc_id"), F.lit(0).alias("chunk_index"), "text"), "doc_id")
+    return t.select("doc_id", F.size("formulas").alias("formulas"), F.size("numunits").alias("numunits"), F.size("abbreviations").alias("abbreviations"), "round_trip")
+
+
+_TOKENS = "SELECT source, doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents"
+
+
+def _tokens(spark, sf):
+    return _docs(spark, sf).select("source", "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("pos", "token"))
+
+
+@query(f"""WITH t AS ({_TOKENS}), tf AS (SELECT source, doc_id, token, count(*) AS tf FROM t GROUP BY ALL), s AS (SELECT source, doc_id, count(*) AS len FROM t GROUP BY ALL),
+df AS (SELECT source, token, count(*) AS df FROM tf GROUP BY ALL), n AS (SELECT source, count(*) AS n FROM s GROUP BY ALL)
+SELECT tf.source, tf.doc_id, tf.token, round(tf.tf / s.len * (ln((1 + n.n) / (1 + df.df)) + 1), 4) AS value FROM tf JOIN s ON tf.source = s.source AND tf.doc_id = s.doc_id JOIN df ON tf.source = df.source AND tf.token = df.token JOIN n ON tf.source = n.source""")
+def tfidf_vectors(spark, sf):
+    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id").select("source", "doc_id", "token", F.round("value", 4).alias("value"))
+
+
+@query(f"""WITH t AS ({_TOKENS}), tf AS (SELECT source, doc_id, token, count(*) AS tf FROM t GROUP BY ALL), s AS (SELECT source, doc_id, count(*) AS len FROM t GROUP BY ALL),
+df AS (SELECT source, token, count(*) AS df FROM tf GROUP BY ALL), n AS (SELECT source, count(*) AS n, avg(len) AS av FROM s GROUP BY ALL)
+SELECT tf.source, tf.doc_id, tf.token, round(ln((n.n - df.df + 0.5) / (df.df + 0.5) + 1) * tf.tf * 2.5 / (tf.tf + 1.5 * (0.25 + 0.75 * s.len / n.av)), 4) AS value FROM tf JOIN s ON tf.source = s.source AND tf.doc_id = s.doc_id JOIN df ON tf.source = df.source AND tf.token = df.token JOIN n ON tf.source = n.source""")
+def bm25_vectors(spark, sf):
+    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id", "bm25").select("source", "doc_id", "token", F.round("value", 4).alias("value"))
+
+
+@query(f"WITH t AS ({_TOKENS}) SELECT source, count(DISTINCT token) - 1 AS last_id FROM t GROUP BY 1")
+def vocab_ids(spark, sf):
+    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id").groupBy("source").agg(F.max("id").cast("long").alias("last_id"))
+
+
+@query(f"WITH t AS ({_TOKENS}), tf AS (SELECT source, token AS term, count(*) AS tf FROM t GROUP BY ALL) SELECT source, term, tf FROM tf QUALIFY row_number() OVER (PARTITION BY source ORDER BY tf DESC, term) <= 20")
+def tfidf_top_terms(spark, sf):
+    """Top 20 terms of each source, ranked in two steps, so that a common source is not ranked by one task alone."""
+    from pyspark.sql import Window
+
+    tok = _tokens(spark, sf).groupBy("source", F.col("token").alias("term")).agg(F.count("*").alias("tf"))
+    w = Window.partitionBy("source").orderBy(F.desc("tf"), "term")
+    return tok.withColumn("r", F.row_number().over(w)).filter("r <= 20").drop("r")
+
+
+@query("SELECT doc_id, CASE WHEN len(regexp_extract_all(text, '[A-Za-z]+')) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents")
+def hash_vector_norm(spark, sf):
+    v = vectorize.hash_vector(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))
+    return _docs(spark, sf).select("doc_id", v.alias("v")).select("doc_id", F.round(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), 2).alias("norm"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity::INTEGER + 0.5::DOUBLE AS value, 'мм' AS unit FROM lineitem")
+def numunit_index(spark, sf):
+    x = vectorize.numbers(F.array(F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(",5 мм"))))
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.element_at(x, 1)["value"].alias("value"), F.element_at(x, 1)["unit"].alias("unit"))
+
+
+@query("SELECT p_brand AS source_file, count(*)::INTEGER AS n, 1.0::DOUBLE AS match_score FROM part GROUP BY 1")
+def table_matching(spark, sf):
+    t = _part_tables(spark, sf)
+    raw = t.select("source_file", F.lit("raw::0").alias("key"), F.lit(0).alias("global_index"), "text")
+    m = vectorize.match_tables(raw, t.select("source_file", F.lit(0).alias("table_index"), "text"), "source_file")
+    body = t.select("source_file", vectorize.parse_markdown(F.regexp_replace("text", "^Intro\n|\nEnd$", "")).alias("p"))
+    return m.join(body, "source_file").select("source_file", F.size("p.rows").alias("n"), "match_score")
+
+
+def _replies(spark, sf):
+    """A replayed extraction: orders as chunks, customers and priorities as entities."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    a, b = F.concat(F.lit("Сталь "), F.col("o_custkey") % 97), F.concat(F.lit("Свойство "), F.left("o_orderpriority", F.lit(1)))
+    ent = lambda n, t: F.struct(n.alias("name"), F.lit(t).alias("type"), F.lit("").alias("description"), F.array(F.lit("")).alias("aliases"), F.lit("").alias("evidence"))
+    rel = F.struct(a.alias("source"), b.alias("target"), F.when(F.col("o_orderstatus") == "O", "влияет на").when(F.col("o_orderstatus") == "F", "ТРЕБУЕТ").otherwise("НЕТ").alias("type"), F.lit("сталь и свойство").alias("quote"), (F.col("o_orderkey") % 4 + 1).cast("int").alias("weight"))
+    return o.select(F.lit("orders").alias("source_file"), F.col("o_orderkey").alias("chunk_index"), F.lit("Сталь  и свойство").alias("text"), F.array(ent(a, "материал"), ent(b, "свойство")).alias("entities"), F.array(rel).alias("relations"))
+
+
+@query("SELECT 'N' || left(sha1('МАТЕРИАЛ::Сталь ' || (o_custkey % 97)), 16) AS node_id, 'МАТЕРИАЛ' AS node_type FROM orders UNION SELECT 'N' || left(sha1('СВОЙСТВО::Свойство ' || left(o_orderpriority, 1)), 16), 'СВОЙСТВО' FROM orders")
+def graph_nodes(spark, sf):
+    return pipeline.graph_of(_replies(spark, sf))[0].select("node_id", "node_type")
+
+
+_GATED = "SELECT o_orderkey, o_custkey % 97 AS c, left(o_orderpriority, 1) AS p, CASE o_orderstatus WHEN 'O' THEN 'ВЛИЯЕТ_НА' WHEN 'F' THEN 'ТРЕБУЕТ' ELSE 'НЕТ' END AS type, o_orderkey % 4 + 1 AS w FROM orders"
+
+
+@query(f"SELECT count(*) AS edges, sum(n)::BIGINT AS relations FROM (SELECT c, p, count(*) AS n FROM ({_GATED}) WHERE type <> 'НЕТ' AND w >= 2 GROUP BY 1, 2)")
+def graph_edges(spark, sf):
+    return pipeline.graph_of(_replies(spark, sf))[1].agg(F.count("*").alias("edges"), F.sum("relations").alias("relations"))
+
+
+@query(f"SELECT CASE WHEN type = 'НЕТ' THEN 'type' WHEN w < 2 THEN 'weight' ELSE 'kept' END AS reason, count(*) AS n FROM ({_GATED}) GROUP BY 1")
+def graph_drop_reasons(spark, sf):
+    return pipeline.graph_of(_replies(spark, sf))[2].groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT round(count(*) FILTER (type <> 'НЕТ' AND w >= 2) / count(*), 6)::DOUBLE AS value FROM ({_GATED})")
+def relation_acceptance(spark, sf):
+    n, e, g = pipeline.graph_of(_replies(spark, sf))
+    return graph.metrics(n, e, g).filter("metric = 'acceptance'").select(F.round("value", 6).alias("value"))
+
+
+@query(f"SELECT count(*) AS n FROM (SELECT DISTINCT 'c' || c AS x FROM ({_GATED}) WHERE type <> 'НЕТ' AND w >= 2 UNION SELECT DISTINCT 'p' || p FROM ({_GATED}) WHERE type <> 'НЕТ' AND w >= 2)")
+def graph_isolates(spark, sf):
+    n, e, _ = pipeline.graph_of(_replies(spark, sf))
+    return graph.without_isolates(n, e).agg(F.count("*").alias("n"))
+
+
+@query("SELECT conv_id, turn, 1 AS entities, 1 AS relations, 'Nb' AS name FROM conversations")
+def parse_llm_output(spark, sf):
+    reply = F.concat(F.lit('```\n[["E","Nb","ХИМИЧЕСКИЙ_ЭЛЕМЕНТ","","",""],["R","Nb","X","ВЛИЯЕТ_НА","'), F.regexp_replace(F.left("text", F.lit(40)), r'["\\\n\r\t]', " "), F.lit('",3]] ["R","Nb","unfinished'))
+    p = _t(spark, sf, "conversations").select("conv_id", "turn", graph.parsed(reply).alias("p"))
+    return p.select("conv_id", "turn", F.size("p.entities").alias("entities"), F.size("p.relations").alias("relations"), F.element_at("p.entities", 1)["name"].alias("name"))
+
 
-def _tfidf_top_terms(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    tok = docs.select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("term"))
-    return tok.groupBy("source", "term").agg(F.count("*").alias("tf"))
+@query()
+def text_pipeline(spark, sf):
+    """Documents through clearing, normalization, chunking and tokenization to TF-IDF vectors per document."""
+    d = _docs(spark, sf).select(F.col("doc_id").cast("string").alias("source_file"), "text")
+    return pipeline.vectors(pipeline.text_stages(d))
 
 
 def queries():
-    return {"tfidf_top_terms": _tfidf_top_terms}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
