@@ -26,8 +26,7 @@ def mask_terms(text: Column, terms=tuple(V.TERMS)) -> tuple[Column, Column]:
     names = [t for _, _, t in sorted((-len(t), k, t) for k, t in enumerate(dict.fromkeys(terms)))]
     # one pass finds the candidates; longer terms come first in the alternation, so each place has the term that masks it
     found = F.regexp_extract_all(text, F.lit(rf"(?U)(?<![\w-])(?:{'|'.join(C.java(t) for t in names)})(?![\w-])"), F.lit(0))
-    order = F.create_map(*(F.lit(x) for k, t in enumerate(names) for x in (t, k)))
-    ranked = F.array_sort(F.transform(found, lambda t, i: F.struct(F.element_at(order, t).alias("k"), i.alias("i"), t.alias("t"))))
+    ranked = F.array_sort(F.transform(found, lambda t, i: F.struct(C.lookup({t: k for k, t in enumerate(names)}, t).alias("k"), i.alias("i"), t.alias("t"))))
     number = F.map_from_entries(F.transform(ranked, lambda x, n: F.struct(x["i"], n)))
     marked = C.rewrite(text, rf"(?U)(?<![\w-])(?:{'|'.join(C.java(t) for t in names)})(?![\w-])", lambda m, i: F.concat(F.lit("[ABBREV_"), F.element_at(number, i).cast("string"), F.lit("]")))
     return marked, F.transform(ranked, lambda x: x["t"])
@@ -93,7 +92,7 @@ def tokenize(chunked: DataFrame, id_col: str = "source_file", terms=tuple(V.TERM
     said = sentences(F.col("m"))
     back = unmask(unmask(unmask(F.array_join(said, " "), "ABBREV", F.col("abbreviations")), "NUMUNIT", F.col("numunits")), "FORMULA", F.col("formulas"))
     toks = F.flatten(F.transform(said, words))
-    return df.select(id_col, "chunk_index", toks.alias("tokens"), F.size(toks).alias("token_count"), said.alias("sentences"), "tables", "first_table", "formulas", F.transform("formulas", formula_tokens).alias("formula_tokens"), "numunits", "abbreviations", (C.squeeze(back) == C.squeeze(F.col("plain"))).alias("round_trip"))
+    return df.select(id_col, "chunk_index", toks.alias("tokens"), F.size(toks).alias("token_count"), said.alias("sentences"), "tables", "first_table", "formulas", F.transform("formulas", lambda f: formula_tokens(f)).alias("formula_tokens"), "numunits", "abbreviations", (C.squeeze(back) == C.squeeze(F.col("plain"))).alias("round_trip"))
 
 
 def vocabulary_check(tokens: DataFrame, known: DataFrame, terms=tuple(V.TERMS)) -> DataFrame:

@@ -45,10 +45,21 @@ def sparse(tokens: DataFrame, doc: str = "source_file", unit: str = "chunk_index
 
 def hash_vector(tokens: Column, dim: int = DIM) -> Column:
     """V11, V15. Counts by crc32 of the token, of length 1, 6 decimals; zeros without tokens."""
-    at = F.transform(tokens, lambda t: (F.crc32(t.cast("binary")) % dim).cast("int"))
-    pairs = F.aggregate(F.array_sort(at), F.expr("cast(map() as map<int,int>)"), lambda m, k: F.map_concat(F.map_filter(m, lambda a, _: a != k), F.create_map(k, F.coalesce(F.try_element_at(m, k), F.lit(0)) + 1)))
-    norm = F.sqrt(F.aggregate(F.map_values(pairs), F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.coalesce(F.bround(F.try_element_at(pairs, k) / norm, 6), F.lit(0.0)))
+    at = F.array_sort(F.transform(tokens, lambda t: (F.crc32(t.cast("binary")) % dim).cast("int")))
+    none = F.expr("cast(array() as array<struct<k:int,c:int>>)")
+    run = lambda acc: F.concat(acc["out"], F.array(F.struct(acc["k"].alias("k"), acc["c"].alias("c"))))
+    counts = F.aggregate(
+        at,
+        F.struct(F.lit(-1).alias("k"), F.lit(0).alias("c"), none.alias("out")),
+        lambda acc, x: F.when(x == acc["k"], F.struct(acc["k"].alias("k"), (acc["c"] + 1).alias("c"), acc["out"].alias("out"))).otherwise(F.struct(x.alias("k"), F.lit(1).alias("c"), run(acc).alias("out"))),
+        lambda acc: F.filter(run(acc), lambda r: r["k"] >= 0),
+    )
+
+    def spread(x):
+        return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.coalesce(F.bround(F.try_element_at(x["m"], k) / x["norm"], 6), F.lit(0.0)))
+
+    norm = lambda runs: F.sqrt(F.aggregate(runs, F.lit(0.0), lambda a, r: a + r["c"] * r["c"]))
+    return C.bind(C.bind(counts, lambda runs: F.struct(F.map_from_entries(runs).alias("m"), norm(runs).alias("norm"))), spread)
 
 
 def numbers(items: Column) -> Column:

@@ -260,18 +260,18 @@ def _tokens(spark, sf):
     return _docs(spark, sf).select("source", "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("pos", "token"))
 
 
-@query(f"""WITH t AS ({_TOKENS}), tf AS (SELECT source, doc_id, token, count(*) AS tf FROM t GROUP BY ALL), s AS (SELECT source, doc_id, count(*) AS len FROM t GROUP BY ALL),
-df AS (SELECT source, token, count(*) AS df FROM tf GROUP BY ALL), n AS (SELECT source, count(*) AS n FROM s GROUP BY ALL)
-SELECT tf.source, tf.doc_id, tf.token, round(tf.tf / s.len * (ln((1 + n.n) / (1 + df.df)) + 1), 4) AS value FROM tf JOIN s ON tf.source = s.source AND tf.doc_id = s.doc_id JOIN df ON tf.source = df.source AND tf.token = df.token JOIN n ON tf.source = n.source""")
+@query(f"""WITH t AS ({_TOKENS}), tf AS (SELECT source, doc_id, token, count(*) AS tf FROM t GROUP BY source, doc_id, token),
+w AS (SELECT *, sum(tf) OVER (PARTITION BY source, doc_id) AS len, count(*) OVER (PARTITION BY source, token) AS df FROM tf), n AS (SELECT source, count(DISTINCT doc_id) AS n, sum(tf) / count(DISTINCT doc_id) AS av FROM tf GROUP BY source)
+SELECT w.source, doc_id, token, round(round(tf / len * (ln((1 + n) / (1 + df)) + 1), 6) + 1e-9, 4)::DOUBLE AS value FROM w JOIN n ON w.source = n.source""")
 def tfidf_vectors(spark, sf):
-    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id").select("source", "doc_id", "token", F.round("value", 4).alias("value"))
+    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id").select("source", "doc_id", "token", F.round(F.col("value") + 1e-9, 4).alias("value"))
 
 
-@query(f"""WITH t AS ({_TOKENS}), tf AS (SELECT source, doc_id, token, count(*) AS tf FROM t GROUP BY ALL), s AS (SELECT source, doc_id, count(*) AS len FROM t GROUP BY ALL),
-df AS (SELECT source, token, count(*) AS df FROM tf GROUP BY ALL), n AS (SELECT source, count(*) AS n, avg(len) AS av FROM s GROUP BY ALL)
-SELECT tf.source, tf.doc_id, tf.token, round(ln((n.n - df.df + 0.5) / (df.df + 0.5) + 1) * tf.tf * 2.5 / (tf.tf + 1.5 * (0.25 + 0.75 * s.len / n.av)), 4) AS value FROM tf JOIN s ON tf.source = s.source AND tf.doc_id = s.doc_id JOIN df ON tf.source = df.source AND tf.token = df.token JOIN n ON tf.source = n.source""")
+@query(f"""WITH t AS ({_TOKENS}), tf AS (SELECT source, doc_id, token, count(*) AS tf FROM t GROUP BY source, doc_id, token),
+w AS (SELECT *, sum(tf) OVER (PARTITION BY source, doc_id) AS len, count(*) OVER (PARTITION BY source, token) AS df FROM tf), n AS (SELECT source, count(DISTINCT doc_id) AS n, sum(tf) / count(DISTINCT doc_id) AS av FROM tf GROUP BY source)
+SELECT w.source, doc_id, token, round(round(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / av)), 6) + 1e-9, 4)::DOUBLE AS value FROM w JOIN n ON w.source = n.source""")
 def bm25_vectors(spark, sf):
-    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id", "bm25").select("source", "doc_id", "token", F.round("value", 4).alias("value"))
+    return vectorize.sparse(_tokens(spark, sf), "source", "doc_id", "bm25").select("source", "doc_id", "token", F.round(F.col("value") + 1e-9, 4).alias("value"))
 
 
 @query(f"WITH t AS ({_TOKENS}) SELECT source, count(DISTINCT token) - 1 AS last_id FROM t GROUP BY 1")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 def markdown(spark: SparkSession, folder: str) -> DataFrame:
     """S1, S3b. (source_file, text) of *.md, each file whole."""
-    return spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(folder).select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("text"))
+    return spark.read.text(folder, wholetext=True, pathGlobFilter="*.md").select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("text"))
 
 
 def artifacts(spark: SparkSession, folder: str, suffix: str, without: str | None = None) -> DataFrame:
