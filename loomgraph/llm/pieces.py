@@ -5,8 +5,9 @@ its UTF-8 bytes' pieces. Forward Viterbi gives each place the score of the best
 for a search backward from the end, so A* yields the n best segmentations in order and opens nothing else.
 
 No piece goes on from a non-space into a space (checked when the model is read; otherwise the whole text is one
-lattice), nor over two characters that no piece has in a row; so the lattice falls apart at such places: the best way
-through each distinct part and its distance to the next are remembered within a bound, and the n best of a text are the best ways to take alternatives in the n - 1 words that lose least by it.
+lattice), nor over two characters that no piece has in a row; so the lattice falls apart before spaces and at such places:
+the best way through each distinct word and part, and its distance to the next, are remembered within a bound, and the n
+best of a text are the best ways to take alternatives in the n - 1 words (of long ones, parts) that lose least by it.
 
 A unigram model's scores are log-probabilities. A BPE model has merge ranks instead; they become log-probabilities by
 Zipf's law, and bytes and pieces without a rank get the least of all. Nothing is trained.
@@ -31,19 +32,28 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SPACE, MOST_WORDS = "▁", 200_000
+SPACE, MOST_WORDS, LONG_WORD = "▁", 300_000, 48
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+ENCODERS: dict = {}
+
+
 class Vocabulary:
     """Pieces with log-probabilities, byte pieces, and how far a piece reaches."""
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], byte_pieces: list[tuple[int, float]], names: list[bytes | None]):
+    def __init__(self, pieces: dict[str, tuple[int, float]], byte_pieces: list[tuple[int, float]], names: list[bytes]):
         self.pieces, self.bytes, self.names = pieces, byte_pieces, names
         self.longest = max(map(len, pieces), default=1)
         self.pairs = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
-        self.cuts: dict[str, list[str]] = {}
         self.heads = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        self.trie: dict = {}  # by character: (the next characters' steps, the piece's id or None, its score)
+        self.alone = {p for p in pieces if len(p) == 1}
+        tops: dict[str, dict] = {"": self.trie}
+        for head in sorted(self.heads):
+            i, score = pieces.get(head, (None, 0.0))
+            tops[head] = {}
+            tops[head[:-1]][head[-1]] = (tops[head], None if i is None else (i,), score)
         self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
     @classmethod
@@ -61,7 +71,7 @@ class Vocabulary:
             floor = -math.log(n + 2) - norm
             score = [-math.log(order[i] + 2) - norm if i in order else floor for i in range(n)]
         pieces = {sp.id_to_piece(i): (i, score[i]) for i in plain}
-        names: list[bytes | None] = [None] * n
+        names = [b""] * n
         for p, (i, _) in pieces.items():
             names[i] = p.replace(SPACE, " ").encode()
         raw = [(0, 0.0)] * 256
@@ -73,46 +83,42 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text that the ids stand for, without the space put before it."""
-        names = self.names
-        return b"".join([names[i] or b"" for i in ids])[1:].decode("utf-8", "replace")
+        return b"".join(map(self.names.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
 def best_and_gap(word: str, vocab: Vocabulary) -> tuple[float, tuple[int, ...], float]:
-    """Score and ids of the best segmentation, and what the second best loses by (inf: there is none): forward Viterbi,
-    then a backward pass, after which the best way over an edge is known for each edge."""
-    size, pieces, heads, longest = len(word), vocab.pieces, vocab.heads, vocab.longest
-    best, back, edges = [0.0] + [-math.inf] * size, [None] * (size + 1), []
+    """Score and ids of the best segmentation, and what the second best loses by (inf: there is none): forward Viterbi
+    with the two best scores at each place."""
+    size, root, alone = len(word), vocab.trie, vocab.alone
+    best, second, back = [0.0] + [-math.inf] * size, [-math.inf] * (size + 1), [None] * (size + 1)
     for i in range(size):
-        single, here = False, best[i]
-        for j in range(i + 1, min(size, i + longest) + 1):
-            part = word[i:j]
-            if part not in heads:
+        here, next_best, below, j = best[i], second[i], root, i
+        for char in word[i:]:
+            step = below.get(char)
+            if step is None:
                 break
-            hit = pieces.get(part)
-            if hit is not None:
-                single = single or j == i + 1
-                s = hit[1]
-                edges.append((i, j, s))
-                if here + s > best[j]:
-                    best[j], back[j] = here + s, (i, (hit[0],))
-        if not single:
+            below, ids, s = step
+            j += 1
+            if ids is not None:
+                to, old = here + s, best[j]
+                if to > old:
+                    other = next_best + s
+                    best[j], back[j], second[j] = to, (i, ids), old if old > other else other
+                elif to > second[j]:
+                    second[j] = to
+        if word[i] not in alone:  # its bytes
             raw = [vocab.bytes[b] for b in word[i].encode("utf-8", "surrogatepass")]
-            s = sum(x for _, x in raw)
-            edges.append((i, i + 1, s))
-            if here + s > best[i + 1]:
-                best[i + 1], back[i + 1] = here + s, (i, tuple(k for k, _ in raw))
-    ids, on, at = (), {}, size
+            s, j = sum(x for _, x in raw), i + 1
+            to, old = here + s, best[j]
+            if to > old:
+                best[j], back[j], second[j] = to, (i, tuple(k for k, _ in raw)), max(old, next_best + s)
+            else:
+                second[j] = max(second[j], to)
+    ids, at = (), size
     while at:
-        i, piece = back[at]
-        ids, on[i], at = piece + ids, at, i
-    after, second = [-math.inf] * size + [0.0], -math.inf
-    for i, j, s in reversed(edges):
-        rest = s + after[j]
-        if rest > after[i]:
-            after[i] = rest
-        if best[i] + rest > second and on.get(i) != j:
-            second = best[i] + rest
-    return best[size], ids, best[size] - second
+        at, piece = back[at]
+        ids = piece + ids
+    return best[size], ids, best[size] - second[size]
 
 
 def n_best(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -165,44 +171,63 @@ class Encoder:
     runs on the words whose alternatives a text's n best can hold."""
 
     def __init__(self, vocab: Vocabulary, n: int):
-        self.vocab, self.n, self.known, self.older = vocab, n, {}, {}
+        self.vocab, self.n, self.known, self.older, self.parts, self.older_parts = vocab, n, {}, {}, {}, {}
+        # before a pick of alternatives come all picks of no worse ones, so the n best have at most n of those
+        self.picks = [[p for p in itertools.product(range(n), repeat=k) if math.prod(c + 1 for c in p) <= n] for k in range(n)]
+        self.ways: dict[str, list] = {}
 
-    def _word(self, word: str) -> tuple[float, bytes, float]:
-        got = self.older.get(word)
+    def _ways(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
+        """The n best of a word."""
+        if len(self.ways) > MOST_WORDS // 8:
+            self.ways = {}
+        got = self.ways[word] = n_best(word, self.vocab, self.n)
+        return got
+
+    def _part(self, part: str) -> tuple[float, bytes, float]:
+        """Score, ids and gap of what no piece reaches out of."""
+        got = self.older_parts.get(part)
         if got is None:
-            score, ids, gap = best_and_gap(word, self.vocab)
+            score, ids, gap = best_and_gap(part, self.vocab)
             if gap < 1e-9:  # of equal ones the first by ids
-                score, ids = n_best(word, self.vocab, 1)[0]
+                score, ids = n_best(part, self.vocab, 1)[0]
             got = (score, np.array(ids, "<i4").tobytes(), gap)
+        if len(self.parts) > MOST_WORDS:
+            self.older_parts, self.parts = self.parts, {}
+        self.parts[part] = got
+        return got
+
+    def _word(self, word: str) -> tuple[float, bytes, float]:
+        got = self.older.get(word)
+        if got is None:
+            parts, cut = self.parts, self._cut(word)
+            of = [parts.get(p) or self._part(p) for p in cut]
+            got = of[0] if len(of) == 1 else (math.fsum([f[0] for f in of]), b"".join([f[1] for f in of]), min([f[2] for f in of]))
         if len(self.known) > MOST_WORDS:
             self.older, self.known = self.known, {}
         self.known[word] = got
         return got
 
-    def _cut(self, whole: str) -> list[str]:
-        """Parts over whose ends no piece can reach: before spaces, and between characters that no piece has in a row."""
-        parts = []
-        for w in SEGMENT.findall(whole) if self.vocab.apart else [whole]:
-            known = self.vocab.cuts.get(w)
-            if known is None:
-                at = [0, *(k + 1 for k in range(len(w) - 1) if w[k : k + 2] not in self.vocab.pairs), len(w)]
-                known = [w[s:e] for s, e in zip(at, at[1:])]
-                if len(self.vocab.cuts) < MOST_WORDS:
-                    self.vocab.cuts[w] = known
-            parts += known
-        return parts
+    def _cut(self, word: str) -> list[str]:
+        """A word in parts over whose ends no piece can reach: between characters that no piece has in a row."""
+        pairs = self.vocab.pairs
+        at = [0, *(k + 1 for k in range(len(word) - 1) if word[k : k + 2] not in pairs), len(word)]
+        return [word[s:e] for s, e in zip(at, at[1:])]
 
     def __call__(self, text: str | None) -> list[tuple[float, bytes]]:
         """The n best segmentations of the text: (score, ids as little-endian 32-bit numbers)."""
         if not text:
             return [(0.0, b"")]
-        parts = self._cut(SPACE + text.replace(" ", SPACE))
+        whole = SPACE + text.replace(" ", SPACE)
+        parts = SEGMENT.findall(whole) if self.vocab.apart else [whole]
+        if len(max(parts, key=len)) > LONG_WORD:
+            parts = [p for w in parts for p in (self._cut(w) if len(w) > LONG_WORD else (w,))]
         found = [self.known.get(w) or self._word(w) for w in parts]
         first = [f[1] for f in found]
         total = math.fsum([f[0] for f in found])
-        where = [k for gap, k in heapq.nsmallest(self.n - 1, ((f[2], k) for k, f in enumerate(found))) if gap < math.inf]
-        ways = [n_best(parts[k], self.vocab, self.n) for k in where]
-        combos = sorted((round(sum(w[0][0] - w[c][0] for w, c in zip(ways, pick)), 9), pick) for pick in itertools.product(*(range(len(w)) for w in ways)))
+        where = [k for gap, k in heapq.nsmallest(self.n - 1, zip([f[2] for f in found], range(len(found)))) if gap < math.inf]
+        ways = [self.ways.get(parts[k]) or self._ways(parts[k]) for k in where]
+        picks = [pick for pick in self.picks[len(ways)] if all(map(int.__lt__, pick, map(len, ways)))]
+        combos = sorted((round(sum([w[0][0] - w[c][0] for w, c in zip(ways, pick)]), 9), pick) for pick in picks)
         out = []
         for lost, pick in combos[: self.n]:
             take = first
@@ -214,20 +239,39 @@ class Encoder:
         return out
 
 
+def alike(vocab: Vocabulary, a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two rows of ids stand for the same bytes, from where they differ."""
+    m = min(len(a), len(b))
+    if len(differ := np.flatnonzero(a[:m] != b[:m])):
+        first = int(differ[0])
+    else:
+        first = m
+    differ = np.flatnonzero(a[len(a) - m + first :] != b[len(b) - m + first :])
+    same = m - first - 1 - int(differ[-1]) if len(differ) else m - first
+    name = vocab.names.__getitem__
+    return b"".join(map(name, a[first : len(a) - same].tolist())) == b"".join(map(name, b[first : len(b) - same].tolist()))
+
+
 def segmentations(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per document and segmentation: id_col, rank (from 1), score, n_pieces, ids_crc32, decodes (whether the
     ids decode to the text) and, if with_ids, ids. No shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        vocab = Vocabulary.load(model_path)
-        enc = Encoder(vocab, n)
+        if (model_path, n) not in ENCODERS:  # a worker keeps its memory of words from task to task
+            ENCODERS.clear()
+            ENCODERS[model_path, n] = Encoder(Vocabulary.load(model_path), n)
+        enc = ENCODERS[model_path, n]
+        vocab = enc.vocab
         for b in common.slices(batches, 2 << 20):
             rows = []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                best = None
                 for r, (score, raw) in enumerate(enc(text), 1):
                     ids = np.frombuffer(raw, "<i4")
-                    rows.append((i, r, score, len(ids), zlib.crc32(raw), vocab.decode(ids.tolist()) == (text or "")) + ((ids,) if with_ids else ()))
+                    if best is None:
+                        best, right = ids, vocab.decode(ids.tolist()) == (text or "")
+                    rows.append((i, r, score, len(ids), zlib.crc32(raw), right and (r == 1 or alike(vocab, best, ids))) + ((ids,) if with_ids else ()))
             c = list(zip(*rows)) if rows else [[]] * (6 + with_ids)
             kinds = [b.column(0).type, pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32())]
             names = [id_col, "rank", "score", "n_pieces", "ids_crc32", "decodes", "ids"]

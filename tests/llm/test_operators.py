@@ -167,6 +167,18 @@ def test_n_best_equals_all_segmentations():
     assert np.allclose([s for s, _ in pieces.Encoder(v, 4)(text)], [s for s, _ in whole])
 
 
+def test_n_best_of_texts_equal_those_of_whole_lattices():
+    v = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    enc = pieces.Encoder(v, 4)
+    for text in ("The quick brown fox, re-encoded: naïve café!", "x" * 60, "a", "  two  spaces ", "日本語 text\n\tend", LONG[:120]):
+        want = pieces.n_best("▁" + text.replace(" ", "▁"), v, 4)
+        got = enc(text)
+        assert len({raw for _, raw in got}) == len(got) and np.allclose([s for s, _ in got], [s for s, _ in want])
+        ids = [np.frombuffer(raw, "<i4") for _, raw in got]
+        assert all(v.decode(i.tolist()) == text and pieces.alike(v, ids[0], i) for i in ids)
+        assert not pieces.alike(v, ids[0], np.append(ids[0], ids[0][-1]))
+
+
 def test_pieces_decode_to_the_text(docs):
     rows = pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), n=3).collect()
     assert all(r["decodes"] for r in rows) and {r["n_pieces"] for r in rows if r["doc_id"] in (9, 10)} == {0}
