@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import gc
 import os
@@ -53,6 +54,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextlib.contextmanager
+def freeing(spark: SparkSession):
+    """Writes in this block remove their shuffle files as soon as they are done; nothing else reads those."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written once into the shared folder and read again, so that lineage ends there and a lost
     executor costs no recomputation. drop() frees a table that later steps don't read."""
@@ -66,7 +79,8 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        with freeing(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         out = self.spark.read.schema(df.schema).parquet(self.path(name))
         self.sweep()
         return out

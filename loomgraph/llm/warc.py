@@ -114,6 +114,8 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
 def through_archive(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     scratch = common.Scratch(spark, "warc")
-    archive(pages, scratch.root)
+    with common.freeing(spark):
+        archive(pages, scratch.root)
     scratch.sweep()
+    scratch.drop("seen")
     return records(spark, scratch.root)
