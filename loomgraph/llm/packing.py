@@ -32,6 +32,9 @@ UNSAFE = re.compile("[^\t-\r -~¡-¬®-įı-ſ]")
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+ENCODERS: dict = {}
+
+
 class WordEncoder:
     """Ids of whole texts. This tokenizer's pieces never cross white space, so a text's ids are its words' ids in
     a row; words are looked up in a bounded memory and new ones are encoded by the tokenizer itself. Texts with
@@ -75,7 +78,10 @@ class WordEncoder:
 
 def pieces(batches, path: str, window: int, end_id: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, start, length, ids_crc32, doc_tokens) of each document's full windows and rest."""
-    enc, end = WordEncoder(path), np.uint32(end_id).astype("<u4").tobytes()
+    if path not in ENCODERS:  # a worker keeps its memory of words from task to task
+        ENCODERS.clear()
+        ENCODERS[path] = WordEncoder(path)
+    enc, end = ENCODERS[path], np.uint32(end_id).astype("<u4").tobytes()
     for b in common.slices(batches):
         ids, start, length, crc, total = [], [], [], [], []
         for d, raw in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):

@@ -210,7 +210,10 @@ class Encoder:
     def _cut(self, word: str) -> list[str]:
         """A word in parts over whose ends no piece can reach: between characters that no piece has in a row."""
         pairs = self.vocab.pairs
-        at = [0, *(k + 1 for k in range(len(word) - 1) if word[k : k + 2] not in pairs), len(word)]
+        at = [k + 1 for k in range(len(word) - 1) if word[k : k + 2] not in pairs]
+        if not at:
+            return [word]
+        at = [0, *at, len(word)]
         return [word[s:e] for s, e in zip(at, at[1:])]
 
     def __call__(self, text: str | None) -> list[tuple[float, bytes]]:
@@ -219,12 +222,12 @@ class Encoder:
             return [(0.0, b"")]
         whole = SPACE + text.replace(" ", SPACE)
         parts = SEGMENT.findall(whole) if self.vocab.apart else [whole]
-        if len(max(parts, key=len)) > LONG_WORD:
+        if max(map(len, parts)) > LONG_WORD:
             parts = [p for w in parts for p in (self._cut(w) if len(w) > LONG_WORD else (w,))]
         found = [self.known.get(w) or self._word(w) for w in parts]
-        first = [f[1] for f in found]
-        total = math.fsum([f[0] for f in found])
-        where = [k for gap, k in heapq.nsmallest(self.n - 1, zip([f[2] for f in found], range(len(found)))) if gap < math.inf]
+        scores, first, gaps = zip(*found)
+        total = math.fsum(scores)
+        where = [k for gap, k in heapq.nsmallest(self.n - 1, zip(gaps, range(len(gaps)))) if gap < math.inf]
         ways = [self.ways.get(parts[k]) or self._ways(parts[k]) for k in where]
         picks = [pick for pick in self.picks[len(ways)] if all(map(int.__lt__, pick, map(len, ways)))]
         combos = sorted((round(sum([w[0][0] - w[c][0] for w, c in zip(ways, pick)]), 9), pick) for pick in picks)
@@ -232,7 +235,7 @@ class Encoder:
         for lost, pick in combos[: self.n]:
             take = first
             if any(pick):
-                take = first.copy()
+                take = list(first)
                 for k, w, c in zip(where, ways, pick):
                     take[k] = np.array(w[c][1], "<i4").tobytes()
             out.append((total - lost, b"".join(take)))
