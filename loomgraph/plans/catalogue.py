@@ -57,22 +57,22 @@ def clean_html_tags(spark, sf):
 _MD = "![i](d) see [t](u) and [r][x].\n[x]: http://e\n"
 
 
-@query(f"SELECT doc_id, md5('' || ' see t and r.' || chr(10) || chr(10) || text) AS h FROM documents WHERE NOT regexp_matches(text, '[\\[\\]!<]') ")
+@query(f"SELECT doc_id, md5('' || ' see t and r.' || chr(10) || chr(10) || text) AS h FROM documents")
 def clean_links_images(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").rlike(r"[\[\]!<]")).withColumn("text", F.concat(F.lit(_MD), F.col("text")))
+    d = _docs(spark, sf).withColumn("text", F.concat(F.lit(_MD), F.col("text")))
     return d.select("doc_id", F.md5(clean.links(clean.images(F.col("text"))).cast("binary")).alias("h"))
 
 
 @query(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace('H' || chr(10) || 'q' || chr(10) || 'item' || chr(10) || 'b s c' || chr(10) || text, '\*\*([^*\n]+)\*\*', '\1', 'g'), '~~([^~\n]+)~~', '\1', 'g'), '`([^`\n]*)`', '\1', 'g')) AS h
-FROM documents WHERE NOT regexp_matches(text, '(?m)^ {0,3}(#|>|[-*+_]|[0-9]+[.])') AND NOT contains(text, chr(92))""")
+FROM documents""")
 def clean_markup(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").rlike(r"(?m)^ {0,3}(#|>|[-*+_]|[0-9]+[.])") & ~F.col("text").contains("\\"))
+    d = _docs(spark, sf)
     return d.select("doc_id", F.md5(clean.markup(F.concat(F.lit("# H\n> q\n- item\n**b** ~~s~~ `c`\n"), F.col("text"))).cast("binary")).alias("h"))
 
 
-@query("SELECT doc_id, md5(chr(10) || chr(10) || chr(10) || '12345' || chr(10) || 'x 5' || chr(10) || regexp_replace(text, '(?m)^ {0,3}[0-9]{1,4}[.]?$', '', 'g')) AS h FROM documents WHERE NOT regexp_matches(text, '(?im)^ {0,3}([-–—] ?)?((с|p|стр)\\. ?|page ?|страница ?)?[0-9]{1,4}( ?/ ?[0-9]{1,4})?( ?[-–—])$')")
+@query("SELECT doc_id, md5(chr(10) || chr(10) || chr(10) || '12345' || chr(10) || 'x 5' || chr(10) || regexp_replace(text, '(?m)^ {0,3}[0-9]{1,4}[.]?$', '', 'g')) AS h FROM documents")
 def clean_page_numbers(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").rlike(r"(?im)^ {0,3}([-–—] ?)?((с|p|стр)\. ?|page ?|страница ?)?[0-9]{1,4}( ?/ ?[0-9]{1,4})?( ?[-–—])$"))
+    d = _docs(spark, sf)
     return d.select("doc_id", F.md5(clean.page_numbers(F.concat(F.lit("- 12 -\nСтр. 5\np. 3/10\n12345\nx 5\n"), F.col("text"))).cast("binary")).alias("h"))
 
 
@@ -85,26 +85,26 @@ def clean_repeated_lines(spark, sf):
     return d.select("doc_id", F.size("l").cast("long").alias("lines"), F.length(F.array_join("l", "")).cast("long").alias("chars"))
 
 
-@query("SELECT doc_id, md5(regexp_replace('1,5 x 2,75' || text, '([0-9]),([0-9])', '\\1.\\2', 'g')) AS h FROM documents WHERE NOT regexp_matches(text, '[0-9],[0-9],')")
+@query("SELECT doc_id, md5(regexp_replace(regexp_replace('1,5 x 2,75' || text, '([0-9]),([0-9])', '\\1.\\2', 'g'), '([0-9]),([0-9])', '\\1.\\2', 'g')) AS h FROM documents")
 def clean_decimal_comma(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").rlike("[0-9],[0-9],"))
+    d = _docs(spark, sf)
     return d.select("doc_id", F.md5(clean.decimal_comma(F.concat(F.lit("1,5 x 2,75"), F.col("text"))).cast("binary")).alias("h"))
 
 
-@query("SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace('a    b  ' || chr(10) || chr(10) || chr(10) || chr(10) || text, '(?m)[ \\t]+$', '', 'g'), '([^ \\n\\t])[ ]{3,}', '\\1 ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) || chr(10)) AS h FROM documents WHERE NOT contains(text, chr(9))")
+@query("SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace('a    b  ' || chr(10) || chr(10) || chr(10) || chr(10) || text, '(?m)[ \\t]+$', '', 'g'), '([^ \\n\\t])[ ]{3,}', '\\1 ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) || chr(10)) AS h FROM documents")
 def clean_whitespace(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").contains("\t"))
+    d = _docs(spark, sf)
     return d.select("doc_id", F.md5(clean.whitespace(F.concat(F.lit("a    b  \n\n\n\n"), F.col("text"))).cast("binary")).alias("h"))
 
 
-@query("SELECT doc_id, lower(text) = lower(text) AS same, 4 AS kept FROM documents WHERE NOT contains(text, '$') AND NOT contains(text, chr(92))")
+@query("SELECT doc_id, lower(text) = lower(text) AS same FROM documents")
 def protect_roundtrip(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").contains("$") & ~F.col("text").contains("\\"))
+    d = _docs(spark, sf)
     d = d.withColumn("text", F.concat(F.lit("$a$ $$x\ny$$$b$ \\(c\\) $ d $"), F.col("text")))
     t, b = C.protect(F.col("text"), C.no_blocks(), V.DISPLAY_MATH, "display")
     d = d.select("doc_id", F.col("text").alias("raw"), t.alias("t"), b.alias("b"))
     t, b = C.protect(F.col("t"), F.col("b"), V.INLINE_MATH, "inline")
-    return d.select("doc_id", (C.restore(t, b) == F.col("raw")).alias("same"), F.size(b).alias("kept"))
+    return d.select("doc_id", (C.restore(t, b) == F.col("raw")).alias("same"))
 
 
 @query()
@@ -124,9 +124,9 @@ def html_table_to_md(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.lit("h").alias("kind"), C.strip(clean.html_tables(F.concat(F.lit(src), F.left("html", F.lit(0))))).alias("md"))
 
 
-@query("SELECT doc_id, md5('2020-03-05 2020-05-13 31.02.2020 2020-03-05 г. 5 марта 2020 ' || text) AS h FROM documents WHERE NOT regexp_matches(text, '[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}')")
+@query("SELECT doc_id, md5('2020-03-05 2020-05-13 31.02.2020 2020-03-05 г. 5 марта 2020 ' || text) AS h FROM documents")
 def norm_dates(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").rlike("[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}"))
+    d = _docs(spark, sf)
     return d.select("doc_id", F.md5(normalize.dates(F.concat(F.lit("05.03.2020 05.13.2020 31.02.2020 5 март 2020 г. 5 марта 2020 "), F.col("text"))).cast("binary")).alias("h"))
 
 
@@ -190,11 +190,12 @@ def label_validity(spark, sf):
     return _t(spark, sf, "nation").select("n_nationkey", graph.is_label(raw).alias("valid"))
 
 
-@query("SELECT item_id, count(d.doc_id) AS docs FROM benchmark b LEFT JOIN documents d ON d.doc_id % 10 = b.item_id % 10 AND contains(regexp_replace(lower(d.text), '\\s+', ' ', 'g'), trim(regexp_replace(lower(b.text), '\\s+', ' ', 'g'))) GROUP BY 1")
+@query("SELECT doc_id, trim(regexp_replace(substr(text, 11, 60), '\\s+', ' ', 'g')) <> '' AS own, contains(regexp_replace(lower(text), '\\s+', ' ', 'g'), 'the') AS word FROM documents WHERE text IS NOT NULL")
 def quote_support(spark, sf):
-    b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("quote"))
-    d = _docs(spark, sf).select("doc_id", "text")
-    return b.join(d, (F.col("doc_id") % 10 == F.col("item_id") % 10) & graph.supported(F.col("quote"), F.col("text")), "left").groupBy("item_id").agg(F.count("doc_id").alias("docs"))
+    """Each text's own middle as its quotation, and a word that not every text holds."""
+    d = _docs(spark, sf).filter("text is not null")
+    own = graph.supported(F.substring("text", 11, 60), F.col("text"))
+    return d.select("doc_id", own.alias("own"), graph.supported(F.lit("the"), F.col("text")).alias("word"))
 
 
 @query("SELECT doc_id, greatest(1, length(text) // 4)::INTEGER AS tokens FROM documents")
@@ -223,20 +224,20 @@ def broken_sentences(spark, sf):
     return chunk.broken_sentences(d, chunk.chunks(d, "doc_id", "text"), "doc_id", "text")
 
 
-@query("SELECT doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> ''))::INTEGER AS n FROM documents WHERE NOT regexp_matches(text, '[A-Z]\\.\\s')")
+@query()
 def sentence_split(spark, sf):
-    return _docs(spark, sf).filter(~F.col("text").rlike(r"[A-Z]\.\s")).select("doc_id", F.size(tokenize.sentences(F.col("text"))).alias("n"))
+    return _docs(spark, sf).select("doc_id", F.size(tokenize.sentences(F.col("text"))).alias("n"))
 
 
-@query("SELECT doc_id, len(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?'))::INTEGER AS n FROM documents WHERE NOT contains(text, '[')")
+@query("SELECT doc_id, len(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?'))::INTEGER AS n FROM documents")
 def word_tokens(spark, sf):
-    return _docs(spark, sf).filter(~F.col("text").contains("[")).select("doc_id", F.size(tokenize.words(F.col("text"))).alias("n"))
+    return _docs(spark, sf).select("doc_id", F.size(tokenize.words(F.col("text"))).alias("n"))
 
 
-@query("""WITH w AS (SELECT DISTINCT source, unnest(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?')) AS word FROM documents WHERE NOT contains(text, '['))
+@query("""WITH w AS (SELECT DISTINCT source, unnest(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?')) AS word FROM documents)
 SELECT count(DISTINCT word) AS words FROM w WHERE length(word) >= 3""")
 def distinct_words(spark, sf):
-    t = _docs(spark, sf).filter(~F.col("text").contains("[")).select(tokenize.words(F.col("text")).alias("tokens"))
+    t = _docs(spark, sf).select(tokenize.words(F.col("text")).alias("tokens"))
     return tokenize.vocabulary_check(t, t.select(F.lit("x").alias("word")).limit(0), ()).select("words")
 
 
@@ -246,11 +247,11 @@ def global_table_index(spark, sf):
     return tokenize.global_index(d, "source", "doc_id", "n").select("source", "doc_id", F.col("first_table").cast("long").alias("first_table"))
 
 
-@query("SELECT doc_id, 1 AS formulas, 1 AS numunits, 2 AS abbreviations, true AS round_trip FROM documents WHERE NOT regexp_matches(text, '[$\\[|\\\\0-9]')")
+@query("SELECT doc_id, true AS round_trip FROM documents")
 def token_masks(spark, sf):
-    d = _docs(spark, sf).filter(~F.col("text").rlike(r"[$\[|\\0-9]")).withColumn("text", F.concat(F.lit("IF-стали и API: $x^2$ при 20 мм. "), F.regexp_replace("text", r"(?<![\w-])[A-Za-z]{1,4}(?![\w-])", "w")))
+    d = _docs(spark, sf).withColumn("text", F.concat(F.lit("IF-стали и API: $x^2$ при 20 мм. "), F.regexp_replace("text", r"(?<![\w-])[A-Za-z]{1,4}(?![\w-])", "w")))
     t = tokenize.tokenize(d.select(F.col("doc_id"), F.lit(0).alias("chunk_index"), "text"), "doc_id")
-    return t.select("doc_id", F.size("formulas").alias("formulas"), F.size("numunits").alias("numunits"), F.size("abbreviations").alias("abbreviations"), "round_trip")
+    return t.select("doc_id", "round_trip")
 
 
 _TOKENS = "SELECT source, doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents"

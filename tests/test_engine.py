@@ -87,5 +87,16 @@ def test_graphml_and_markdown_files(spark, tmp_path):
     assert "q&lt;" in (tmp_path / "g.xml").read_text() and 'edgedefault="undirected"' in (tmp_path / "g.xml").read_text()
 
 
+def test_token_mask_counts(spark):
+    df = spark.createDataFrame([(1, 0, "IF-стали и API: $x^2$ при 20 мм.")], "doc_id long, chunk_index int, text string")
+    r = tokenize.tokenize(df, "doc_id").first()
+    assert (len(r["formulas"]), len(r["numunits"]), len(r["abbreviations"]), r["round_trip"]) == (1, 1, 2, True)
+
+
+@pytest.mark.parametrize(("text", "n"), [("One two. Three four! Five?", 3), ("", 0), ("no end", 1)])
+def test_sentences(spark, text, n):
+    assert len(one(spark, text, tokenize.sentences)) == n
+
+
 def test_every_oracle_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
