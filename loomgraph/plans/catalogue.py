@@ -190,10 +190,10 @@ def label_validity(spark, sf):
     return _t(spark, sf, "nation").select("n_nationkey", graph.is_label(raw).alias("valid"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(substr(text, 11, 60), '\\s+', ' ', 'g')) <> '' AS own, contains(regexp_replace(lower(text), '\\s+', ' ', 'g'), 'the') AS word FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, trim(regexp_replace(substr(text, 11, 60), '\\s+', ' ', 'g')) <> '' AS own, contains(regexp_replace(lower(text), '\\s+', ' ', 'g'), 'the') AS word FROM documents")
 def quote_support(spark, sf):
     """Each text's own middle as its quotation, and a word that not every text holds."""
-    d = _docs(spark, sf).filter("text is not null")
+    d = _docs(spark, sf)
     own = graph.supported(F.substring("text", 11, 60), F.col("text"))
     return d.select("doc_id", own.alias("own"), graph.supported(F.lit("the"), F.col("text")).alias("word"))
 
