@@ -1,4 +1,6 @@
 """Registered queries of the engine's own operators, each over its whole table, with DuckDB SQL to hold them against.
+The SQL of norm_abbreviations and html_table_to_md holds a fragment alone; norm_abbreviations_text and html_table_pages,
+without SQL, take the whole texts and pages.
 
 The tables lack dates, quantities, Markdown and Cyrillic text, so queries for those put a fixed fragment before each text,
 on both sides.
@@ -124,6 +126,13 @@ def html_table_to_md(spark, sf):
     return _t(spark, sf, "pages").select("page_id", F.lit("h").alias("kind"), C.strip(clean.html_tables(F.concat(F.lit(src), F.left("html", F.lit(0))))).alias("md"))
 
 
+@query()
+def html_table_pages(spark, sf):
+    """As html_table_to_md, whose SQL holds the fragment alone, but over each whole page."""
+    src = "<table><tr><th>A</th><th colspan=2>B</th></tr><tr><td rowspan=2>1</td><td>x<img src=a></td></tr><tr><td>y|z</td><td>w</td></tr></table>"
+    return _t(spark, sf, "pages").select("page_id", F.md5(clean.html_tables(F.concat(F.lit(src), F.col("html"))).cast("binary")).alias("h"))
+
+
 @query("SELECT doc_id, md5('2020-03-05 2020-05-13 31.02.2020 2020-03-05 г. 5 марта 2020 ' || text) AS h FROM documents")
 def norm_dates(spark, sf):
     d = _docs(spark, sf)
@@ -151,6 +160,13 @@ def norm_abbreviations(spark, sf):
     return _docs(spark, sf).select("doc_id", normalize.abbreviations(F.concat(F.lit("Interstitial-Free стали, Transformation Induced Plasticity, Product Specification Level и ррт"), F.left("text", F.lit(0)))).alias("t"))
 
 
+@query()
+def norm_abbreviations_text(spark, sf):
+    """As norm_abbreviations, whose SQL holds the fragment alone, but over each whole text."""
+    d = _docs(spark, sf, "Interstitial-Free стали, Transformation Induced Plasticity, Product Specification Level и ррт. ")
+    return d.select("doc_id", F.md5(normalize.abbreviations(F.col("text")).cast("binary")).alias("h"))
+
+
 def _part_tables(spark, sf):
     p = _t(spark, sf, "part")
     row = F.format_string("| %d | %s | %d мм |", "p_partkey", "p_brand", "p_size")

@@ -1,5 +1,8 @@
 """The engine's own operators by hand-written cases."""
 
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,5 +101,37 @@ def test_sentences(spark, text, n):
     assert len(one(spark, text, tokenize.sentences)) == n
 
 
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def test_abbreviations_of_whole_texts(spark, tmp_path):
+    head = "Interstitial-Free стали, Transformation Induced Plasticity, Product Specification Level и ррт. "
+    words = list(V.ABBREVIATIONS)
+    texts = {1: "far " * 500 + words[0] + ", x" + words[0] + " " + words[-1] + ".", 2: "none", 3: ""}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def plain(t):
+        for w, short in V.ABBREVIATIONS.items():
+            t = re.sub(rf"(?<!\w){re.escape(w)}(?!\w)", lambda _: short, t)
+        return t
+
+    assert plain(texts[1]) != texts[1]
+    got = {r["doc_id"]: r["h"] for r in catalogue.queries()["norm_abbreviations_text"](spark, str(tmp_path)).collect()}
+    assert got == {k: md5(plain(head + t)) for k, t in texts.items()}
+
+
+def test_html_tables_of_whole_pages(spark, tmp_path):
+    head = "\n\n| A | B |  |\n| --- | --- | --- |\n| 1 | x |  |\n|  | y\\|z | w |\n\n"
+    filler = "<p>" + "word " * 500 + "</p>"
+    pages = {
+        1: (filler + "<TABLE class=t><tr><td>p</td><td>q&amp;r</td></tr><tr><td colspan=2>s</td></tr></TABLE>end", filler + "\n\n| p | q&r |\n| --- | --- |\n| s |  |\n\nend"),
+        2: (filler, filler), 3: ("a<table></table>b", "a\n\n<table></table>\n\nb"), 4: ("", ""),
+    }
+    spark.createDataFrame([(k, h) for k, (h, _) in pages.items()], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["h"] for r in catalogue.queries()["html_table_pages"](spark, str(tmp_path)).collect()}
+    assert got == {k: md5(head + md) for k, (_, md) in pages.items()}
+
+
 def test_every_oracle_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
