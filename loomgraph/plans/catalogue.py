@@ -366,11 +366,18 @@ def graph_isolates(spark, sf):
     return graph.without_isolates(n, e).agg(F.count("*").alias("n"))
 
 
+def _quoting_reply(text):
+    """A cut-off reply whose one whole relation quotes the text between guillemets, escaped as JSON."""
+    quote = F.to_json(F.array(F.concat(F.lit("«"), F.coalesce(text, F.lit("")), F.lit("»"))))
+    return F.concat(F.lit('```\n[["E","Nb","ХИМИЧЕСКИЙ_ЭЛЕМЕНТ","","",""],["R","Nb","X","ВЛИЯЕТ_НА",'), quote.substr(F.lit(2), F.length(quote) - 2), F.lit(',3]] ["R","Nb","unfinished'))
+
+
 @query("SELECT conv_id, turn, 1 AS entities, 1 AS relations, 'Nb' AS name FROM conversations")
 def parse_llm_output(spark, sf):
-    reply = F.concat(F.lit('```\n[["E","Nb","ХИМИЧЕСКИЙ_ЭЛЕМЕНТ","","",""],["R","Nb","X","ВЛИЯЕТ_НА","'), F.regexp_replace(F.left("text", F.lit(40)), r'["\\\n\r\t]', " "), F.lit('",3]] ["R","Nb","unfinished'))
-    p = _t(spark, sf, "conversations").select("conv_id", "turn", graph.parsed(reply).alias("p"))
-    return p.select("conv_id", "turn", F.size("p.entities").alias("entities"), F.size("p.relations").alias("relations"), F.element_at("p.entities", 1)["name"].alias("name"))
+    """Counts the relations whose parsed quote is the whole text again."""
+    p = _t(spark, sf, "conversations").select("conv_id", "turn", "text", graph.parsed(_quoting_reply(F.col("text"))).alias("p"))
+    whole = F.filter("p.relations", lambda r: r["quote"] == F.concat(F.lit("«"), F.coalesce("text", F.lit("")), F.lit("»")))
+    return p.select("conv_id", "turn", F.size("p.entities").alias("entities"), F.size(whole).alias("relations"), F.element_at("p.entities", 1)["name"].alias("name"))
 
 
 @query()

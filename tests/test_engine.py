@@ -133,5 +133,17 @@ def test_html_tables_of_whole_pages(spark, tmp_path):
     assert got == {k: md5(head + md) for k, (_, md) in pages.items()}
 
 
+def test_replies_hold_the_whole_text(spark, tmp_path, monkeypatch):
+    texts = ['say "x" [1, {"a": [2]}] \\ \\n ' + "far " * 500 + '["E","Ti","T"] end\t', "a\r\nb\u2028\x01é😀", " ", "", None]
+    spark.createDataFrame([(1, k, t) for k, t in enumerate(texts)], "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    run = lambda: sorted(tuple(r) for r in catalogue.queries()["parse_llm_output"](spark, str(tmp_path)).collect())
+    assert run() == [(1, k, 1, 1, "Nb") for k in range(5)]
+    seen, parsed = [], graph.parsed
+    monkeypatch.setattr(graph, "parsed", lambda reply: seen.append(reply) or parsed(reply))
+    run()
+    got = [graph.parse_reply(r["x"]) for r in spark.read.parquet(str(tmp_path / "conversations.parquet")).orderBy("turn").select(seen[0].alias("x")).collect()]
+    assert [r[0][3].strip("«»") for _, r in got] == [t or "" for t in texts]
+
+
 def test_every_oracle_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
