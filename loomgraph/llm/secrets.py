@@ -1,9 +1,11 @@
 """Secret scans (operator 9): patterns, and sliding-window Shannon entropy per character class.
 
 DataFrame functions only. A candidate string is a maximal run of token characters of at least MIN_CANDIDATE;
-its class (hex, mixed, alpha) sets the entropy that some window of WINDOW characters must reach. Entropy comes
+its class (hex, mixed, alpha, lower) sets the entropy that some window of WINDOW characters must reach. Entropy comes
 from counts that change by one character in and one out as the window slides: the sum of c*log2(c) is kept, not
-recomputed. Candidates that ALLOW matches, or that a pattern's span overlaps, are suppressed.
+recomputed. Parts of a candidate that LITERAL matches are left out, and what stands between them is judged by itself;
+one such stretch that is neither short, nor a word or number (ALLOW), makes the whole candidate a span. Candidates that
+a pattern's span overlaps are suppressed.
 
 Defined results: null text is empty, with no spans; repeated rows and null ids give rows of their own; empty
 tables give no rows; other columns of the input are not read by scan().
@@ -27,9 +29,13 @@ KINDS = [*BASE, "entropy"]
 MAYBE = {"assign": r"(?i)(?:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]", "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 MIN_CANDIDATE, WINDOW = 20, 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Bits that a window must reach, by class. Twenty different characters make log2(20) = 4.32.
-LEAST_BITS = {"hex": 3.0, "mixed": 3.6, "alpha": 4.1}
-ALLOW = r"(?i)example|sample|dummy|placeholder|changeme|x{6}|0123456789|abcdefgh|^[a-z]+(?:[-_/=+][a-z]+)*$|^[0-9+/_=-]+$|(.)\1{7}"
+#: Bits that a window must reach, by class. Twenty different characters make log2(20) = 4.32. Of random keys of 20
+#: upper-case letters 99 % reach 3.2 bits, of mixed-case ones more; lower is for lower-case letters that aren't words.
+LEAST_BITS = {"hex": 3.0, "mixed": 3.6, "alpha": 3.2, "lower": 4.1}
+#: Words of lower-case letters but for a capital at their start, and numbers.
+ALLOW = r"^[A-Z]?[a-z]+(?:[-_/=+][A-Z]?[a-z]+)*$|^[0-9+/_=-]+$"
+#: Parts between separators that hold a placeholder or one character eight times, and such runs of separators.
+LITERAL = r"(?i)[+/_=-]?(?<![a-z0-9])[a-z0-9]*?(?:example|sample|dummy|placeholder|changeme|x{6}|0123456789|abcdefgh|([a-z0-9])\1{7})[a-z0-9]*[+/_=-]?|([+/_=-])\2{7,}"
 
 
 def _found(text: Column, pattern: str, group: int) -> Column:
@@ -92,10 +98,13 @@ def scan(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> Dat
     def with_text(m):
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["size"].alias("size"), F.substring(F.col("__text"), m["start"] + 1, m["size"]).alias("s"))
 
+    def secret(s):
+        least = F.when(s.rlike("^[0-9a-fA-F]+$"), LEAST_BITS["hex"]).when(s.rlike("[0-9]") & s.rlike("[A-Za-z]"), LEAST_BITS["mixed"]).when(s.rlike("[A-Z]"), LEAST_BITS["alpha"]).otherwise(LEAST_BITS["lower"])
+        return ~s.rlike(ALLOW) & (peak_entropy(s) >= least)
+
     def suspicious(m):
-        s = m["s"]
-        least = F.when(s.rlike("^[0-9a-fA-F]+$"), LEAST_BITS["hex"]).when(s.rlike("[0-9]") & s.rlike("[A-Za-z]"), LEAST_BITS["mixed"]).otherwise(LEAST_BITS["alpha"])
-        return ~F.exists(taken, lambda t: (t["start"] < m["end"]) & (m["start"] < t["end"])) & ~s.rlike(ALLOW) & (peak_entropy(s) >= least)
+        free = ~F.exists(taken, lambda t: (t["start"] < m["end"]) & (m["start"] < t["end"]))
+        return free & F.exists(F.filter(F.split(m["s"], LITERAL, -1), lambda s: F.length(s) >= WINDOW), secret)
 
     df = df.withColumn(names["entropy"], F.when(F.size("__runs") > 0, F.transform(F.filter(F.transform("__runs", with_text), suspicious), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["size"].alias("size")))).otherwise(empty))
     each = [F.transform(F.col(names[k]), _named(k)) for k in KINDS]

@@ -101,6 +101,14 @@ def test_secrets_equal_plain_search(docs):
     assert "[SECRET]" in {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}[14]
 
 
+def test_secret_keys_of_letters_only_and_beside_placeholders(spark):
+    found = ["qWzRtYuKoPaSdFgHjLxCvBnMeI", "QWZRTYUKOPASDFGHJLXCVBNMEI", "Kq_WzRt-YuKo_PaSdFgHjLxC", "example/Zx9Qv7Lm2Rt5Kp8Wn3Yd", "Zx9Qv7Lm2Rt5Kp8Wn3Yd=sample-dummy", "qwzrtyukopasdfghjlxc=="]
+    clear = ["some-lower-case-words-in-a-row", "Donaudampfschifffahrtsgesellschaft", "12345678901234567890", "exampleZx9Qv7Lm2Rt5Kp8Wn3Yd", "example/some-lower-case-words-here", "=" * 30, "xxxxxxxx-Zx9Qv7Lm", "example-12345678901234567890"]
+    rows = [(k, f"a {x} b") for k, x in enumerate(found + clear)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: f"entropy:2:{2 + len(x)}" if k < len(found) else "" for k, x in enumerate(found + clear)}
+
+
 def test_transport_round_trip_and_errors(docs):
     for r in transport.documents_as_media(docs).collect():
         t = dict(TEXTS)[r["doc_id"]] or ""
