@@ -20,7 +20,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near copies (five-word shingles, similarity of 0.8 or more)."""
+    """Keeps the row of the smallest id of each group of near copies, null ids last (five-word shingles, similarity of 0.8 or more)."""
     return jaccard.keep_one(docs, WORDS, SIMILAR_PCT)
 
 
@@ -40,7 +40,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("language", identified), ("near_duplicates", deduplicated), ("repeats", unrepeated), ("secrets", redacted), ("packing", packed)]
-#: The tokenizer, the trained model and the set joins are beyond SQL; tests hold run() against plain versions.
+#: The tokenizer, the trained model and the set joins are beyond SQL; tests/llm/test_pipeline.py holds run() against plain versions.
 ORACLE_SQL = None
 
 

@@ -337,6 +337,12 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str = "doc_id", tex
 
 
 def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
-    """The documents whose id is the smallest of their component; all columns stay."""
-    kept = join(docs, n, pct).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
+    """One row of each component: that of the smallest id, null ids last; all columns stay. Each row is judged by its own
+    text, also where ids are null or repeated; rows without words all stay."""
+    # written, so that a row's key is the same wherever it is read
+    scratch = common.Scratch(docs.sparkSession, "keep_one")
+    rows = scratch.save("rows", docs.withColumn("__row", F.monotonically_increasing_id()))
+    told = join(rows, n, pct, "__row").select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.isnull("__id").alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    first = told.join(rows.select("__row", F.col("doc_id").alias("__id")), "__row").groupBy("component_id").agg(F.min(order)["row"].alias("__kept"))
+    return rows.join(first, rows["__row"] == first["__kept"], "left_semi").drop("__row")
