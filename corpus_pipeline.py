@@ -15,7 +15,7 @@ WORDS, SIMILAR_PCT = 5, 80
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letters, or no language with a mean probability of a half."""
+    """Drops documents without a language: no letters, or mostly words of uncertain language."""
     return langid.recognised(docs)
 
 

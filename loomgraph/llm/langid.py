@@ -29,6 +29,8 @@ from . import common
 
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 1500
 BUCKETS, LEXICON, EPOCHS, RUN, MOST_WORDS = 1 << 16, 3000, 4, 64, 300_000
+#: Letters whose features are held at a time.
+MOST_LETTERS = 1 << 18
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -39,9 +41,8 @@ def words(text: str | None) -> list[str]:
 
 def features(vocabulary: list[str], lexicons: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Each word's hashed features: (how many each word has, all of them in a row). N-grams of 2 to 5 bytes of ^word$
-    (those with ^ or $ are its affixes), the word itself, and the lexicons that hold it; of long words the n-grams of
-    the first and last 24 letters."""
-    marked = [f"^{w}$" if len(w) <= 48 else f"^{w[:24]}{w[-24:]}$" for w in vocabulary]
+    (those with ^ or $ are its affixes), the word itself, and the lexicons that hold it; long words whole."""
+    marked = [f"^{w}$" for w in vocabulary]
     data = np.frombuffer("\n".join(marked).encode() + b"\n", np.uint8)
     word = np.cumsum(data == 10) - (data == 10)
     codes, sums = common.mix(np.arange(256, dtype=np.uint64) + np.uint64(77)), np.zeros(len(data), np.uint64)
@@ -70,9 +71,14 @@ class Model:
 
 
 def _emissions(model: Model, vocabulary: list[str]) -> np.ndarray:
-    n, flat = features(vocabulary, model.lexicons)
-    at = np.concatenate([[0], np.cumsum(n)[:-1]])
-    return np.add.reduceat(model.weights[flat], at) / np.sqrt(n)[:, None]
+    out, at = [], 0
+    ends = np.cumsum([len(w) for w in vocabulary])
+    while at < len(vocabulary):  # some words at a time, for memory
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MOST_LETTERS, "right")))
+        n, flat = features(vocabulary[at:to], model.lexicons)
+        out.append(np.add.reduceat(model.weights[flat], np.concatenate([[0], np.cumsum(n)[:-1]])) / np.sqrt(n)[:, None])
+        at = to
+    return np.concatenate(out)
 
 
 def posteriors(emit: np.ndarray, new: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -285,8 +291,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def recognised(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents in which one language has a mean probability of at least least; all columns stay. Each is judged in
-    its own row: the text goes through the labeller once and nothing is joined."""
+    """The documents with words, but for those where no language has a mean probability of at least least and most words
+    have none either, so texts in several languages stay; all columns stay. Without any label to learn from, all with words
+    stay. Each is judged in its own row: the text goes through the labeller once and nothing is joined."""
     model = train(docs)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
@@ -295,10 +302,11 @@ def recognised(docs: DataFrame, least: float = 0.5) -> DataFrame:
         label = Labeller(m) if m else None
         for b in common.slices(batches, 2 << 20, at):
             if label is None:
+                yield b.filter(pa.array([bool(words(t)) for t in b.column(at).to_pylist()], pa.bool_()))
                 continue
             each, post = label(b.column(at).to_pylist())
             ends = np.cumsum([0, *map(len, each)])
-            good = [bool(ws) and post[s:e].mean(0).max() >= least for ws, s, e in zip(each, ends, ends[1:])]
+            good = [bool(ws) and bool(post[s:e].mean(0).max() >= least or (post[s:e].max(1) >= least).mean() >= 0.5) for ws, s, e in zip(each, ends, ends[1:])]
             yield b.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -101,6 +101,24 @@ def test_secrets_equal_plain_search(docs):
     assert "[SECRET]" in {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}[14]
 
 
+def test_language_reads_long_words_whole():
+    for w in ("a" * 24 + "middle" + "b" * 24, "x" * 600_000):
+        n, _ = langid.features([w], {})
+        assert n.tolist() == [sum(len(w) + 2 - k + 1 for k in range(2, 6)) + 1]
+    m = langid.fit([("the house and the river", "en"), ("la maison et le fleuve", "fr")] * 5)
+    some = ["house", "lamaisonetlefleuve" * 20_000, "fleuve", "the"]
+    assert np.allclose(langid._emissions(m, some), np.concatenate([langid._emissions(m, [w]) for w in some]))
+
+
+def test_recognised_keeps_mixed_and_unlabelled_texts(spark):
+    of = {"en": "the house is on the hill and the river runs by it", "fr": "la maison est sur la colline et le fleuve coule tout près", "de": "das haus steht auf dem hügel und der fluss fließt daran vorbei"}
+    rows = [(k, t, lang) for k, (lang, t) in enumerate(of.items())] * 5 + [(9, " ".join(of.values()), None), (10, "12 !", None), (11, None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    mixed = langid.recognised(d).filter("doc_id >= 9").collect()
+    assert [r["doc_id"] for r in mixed] == [9]
+    assert sorted({r["doc_id"] for r in langid.recognised(d.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()}) == [0, 1, 2, 9]
+
+
 def test_secret_keys_of_letters_only_and_beside_placeholders(spark):
     found = ["qWzRtYuKoPaSdFgHjLxCvBnMeI", "QWZRTYUKOPASDFGHJLXCVBNMEI", "Kq_WzRt-YuKo_PaSdFgHjLxC", "example/Zx9Qv7Lm2Rt5Kp8Wn3Yd", "Zx9Qv7Lm2Rt5Kp8Wn3Yd=sample-dummy", "qwzrtyukopasdfghjlxc=="]
     clear = ["some-lower-case-words-in-a-row", "Donaudampfschifffahrtsgesellschaft", "12345678901234567890", "exampleZx9Qv7Lm2Rt5Kp8Wn3Yd", "example/some-lower-case-words-here", "=" * 30, "xxxxxxxx-Zx9Qv7Lm", "example-12345678901234567890"]
