@@ -82,6 +82,21 @@ def supported(quote: Column, text: Column) -> Column:
     return (quote_key(quote) != "") & quote_key(text).contains(quote_key(quote))
 
 
+def quoted(quotes: DataFrame, quote_id: str, texts: DataFrame, text_id: str, text_col: str = "text", n: int = 4) -> DataFrame:
+    """G12 over tables: quote_id, text_id of each text that supports a quote. The ends of a quote may stand inside a text's
+    words, those between them are whole words of it; so quotes of n + 2 words or more meet the texts that have their first n
+    inner words in a row, shorter ones meet all texts, and what meets is searched."""
+    q = quotes.select(F.col(quote_id).alias("qid"), quote_key(F.col(text_col)).alias("q")).filter("q != ''").withColumn("w", F.split("q", " "))
+    t = texts.select(F.col(text_id).alias("tid"), quote_key(F.col(text_col)).alias("t")).filter("t is not null")
+    long = q.filter(F.size("w") >= n + 2).select("qid", "q", F.xxhash64(F.slice("w", 2, n)).alias("gram"))
+    words = F.split("t", " ")
+    grams = C.bind(words, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda k: F.xxhash64(F.slice(w, k, n))))
+    few = F.broadcast(long.groupBy("gram").agg(F.collect_list(F.struct("qid", "q")).alias("of")))
+    met = t.select("tid", "t", F.explode(F.array_distinct(grams)).alias("gram")).join(few, "gram").select("tid", "t", F.explode("of").alias("x"))
+    short = t.crossJoin(F.broadcast(q.filter(F.size("w") < n + 2).select(F.struct("qid", "q").alias("x")))).select("tid", "t", "x")
+    return met.union(short).filter(F.col("t").contains(F.col("x.q"))).select(F.col("x.qid").alias(quote_id), F.col("tid").alias(text_id))
+
+
 def node_id(kind: Column, label: Column) -> Column:
     return F.concat(F.lit("N"), F.left(F.sha1(F.concat(kind, F.lit("::"), label).cast("binary")), F.lit(16)))
 

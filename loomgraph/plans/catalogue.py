@@ -214,6 +214,12 @@ def quote_support(spark, sf):
     return d.select("doc_id", own.alias("own"), graph.supported(F.lit("the"), F.col("text")).alias("word"))
 
 
+@query()
+def benchmark_quotes(spark, sf):
+    """Documents that hold a benchmark item as a quotation (quote_support's SQL has each text's own middle alone)."""
+    return graph.quoted(_t(spark, sf, "benchmark"), "item_id", _docs(spark, sf), "doc_id")
+
+
 @query("SELECT doc_id, greatest(1, length(text) // 4)::INTEGER AS tokens FROM documents")
 def chunk_fallback_length(spark, sf):
     return _docs(spark, sf).select("doc_id", chunk.token_length(F.col("text")).alias("tokens"))
@@ -250,11 +256,22 @@ def word_tokens(spark, sf):
     return _docs(spark, sf).select("doc_id", F.size(tokenize.words(F.col("text"))).alias("n"))
 
 
+def _vocabulary(spark, sf):
+    """Words of the documents against those of the benchmark."""
+    t, b = (_t(spark, sf, name).select(tokenize.words(F.col("text")).alias("tokens")) for name in ("documents", "benchmark"))
+    return tokenize.vocabulary_check(t, b.select(F.explode("tokens").alias("word")), ())
+
+
 @query("""WITH w AS (SELECT DISTINCT source, unnest(regexp_extract_all(text, '[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\\-]*|[0-9]+(?:[.,][0-9]+)?')) AS word FROM documents)
 SELECT count(DISTINCT word) AS words FROM w WHERE length(word) >= 3""")
 def distinct_words(spark, sf):
-    t = _docs(spark, sf).select(tokenize.words(F.col("text")).alias("tokens"))
-    return tokenize.vocabulary_check(t, t.select(F.lit("x").alias("word")).limit(0), ()).select("words")
+    return _vocabulary(spark, sf).select("words")
+
+
+@query()
+def unknown_words(spark, sf):
+    """As distinct_words, with how many of them no benchmark item has, which its SQL lacks."""
+    return _vocabulary(spark, sf)
 
 
 @query("SELECT source, doc_id, coalesce(sum(n) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_table FROM (SELECT source, doc_id, length(text) % 3 AS n FROM documents)")
@@ -263,11 +280,20 @@ def global_table_index(spark, sf):
     return tokenize.global_index(d, "source", "doc_id", "n").select("source", "doc_id", F.col("first_table").cast("long").alias("first_table"))
 
 
+def _tokenized(spark, sf):
+    d = _docs(spark, sf, "IF-стали и API: $x^2$ при 20 мм. ")
+    return tokenize.tokenize(d.select(F.col("doc_id"), F.lit(0).alias("chunk_index"), "text"), "doc_id")
+
+
 @query("SELECT doc_id, true AS round_trip FROM documents")
 def token_masks(spark, sf):
-    d = _docs(spark, sf).withColumn("text", F.concat(F.lit("IF-стали и API: $x^2$ при 20 мм. "), F.regexp_replace("text", r"(?<![\w-])[A-Za-z]{1,4}(?![\w-])", "w")))
-    t = tokenize.tokenize(d.select(F.col("doc_id"), F.lit(0).alias("chunk_index"), "text"), "doc_id")
-    return t.select("doc_id", "round_trip")
+    return _tokenized(spark, sf).select("doc_id", "round_trip")
+
+
+@query()
+def token_mask_counts(spark, sf):
+    """As token_masks, with the sizes of the registries, which its SQL lacks."""
+    return _tokenized(spark, sf).select("doc_id", *(F.size(c).alias(c) for c in ("tables", "formulas", "numunits", "abbreviations")), "token_count", "round_trip")
 
 
 _TOKENS = "SELECT source, doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents"

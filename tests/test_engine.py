@@ -145,5 +145,25 @@ def test_replies_hold_the_whole_text(spark, tmp_path, monkeypatch):
     assert [r[0][3].strip("«»") for _, r in got] == [t or "" for t in texts]
 
 
+def test_mask_counts_vocabulary_and_quotes_of_whole_texts(spark, tmp_path):
+    texts = {1: "10 mm and API, API at 5 kg. $y$ end", 2: "Alpha beta  gamma delta EPSILON zeta eta theta", 3: "xalpha beta gamma delta epsilon zetax", 4: "a cat", 5: "none", 6: ""}
+    quotes = {1: "alpha beta gamma delta epsilon zeta", 2: "cat", 3: "beta delta gamma epsilon alpha zeta", 4: "", 5: "alpha beta gamma delta epsilon zeta eta theta iota"}
+    spark.createDataFrame([(k, t, "s") for k, t in texts.items()], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(quotes.items()), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    run = lambda name: catalogue.queries()[name](spark, str(tmp_path)).collect()
+    of = {r["doc_id"]: r for r in run("token_mask_counts")}
+    assert all(r["round_trip"] for r in of.values()) and all(r["round_trip"] for r in run("token_masks"))
+    counts = lambda t: len(re.findall(C.NUMUNIT, t))
+    head = "IF-стали и API: $x^2$ при 20 мм. "
+    assert {k: (r["formulas"], r["numunits"]) for k, r in of.items()} == {k: (1 + (k == 1), counts(head + t)) for k, t in texts.items()}
+    assert of[1]["abbreviations"] == of[5]["abbreviations"] + 2 * ("API" in V.TERMS)
+    plain = lambda ts: {w for t in ts for w in re.findall(r"[A-Za-z][A-Za-z-]*|[0-9]+", t) if len(w) >= 3}
+    w, known = plain(texts.values()), plain(quotes.values())
+    assert [tuple(r) for r in run("unknown_words")] == [(len(w), len(w - known))] and len(w - known) < len(w)
+    key = lambda x: " ".join(x.lower().split())
+    want = {(q, d) for q, x in quotes.items() for d, t in texts.items() if key(x) and key(x) in key(t)}
+    assert sorted(tuple(r) for r in run("benchmark_quotes")) == sorted(want) and len(want) == 3
+
+
 def test_every_oracle_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
