@@ -1,4 +1,4 @@
-"""Tokenization (T1-T13): tables, formulas, quantities and terms to markers, sentences, tokens, vocabulary checks. Native."""
+"""Tokenization (T1-T13, but for T8's pieces, T9's trees and T13's fragments): tables, formulas, quantities and terms to markers, sentences, tokens, vocabulary checks. Native."""
 
 from __future__ import annotations
 
@@ -67,7 +67,9 @@ def bare_formula(f: Column) -> Column:
 
 
 def formula_tokens(f: Column, mode: str = "latex_aware") -> Column:
-    """T9. single: null; latex_aware: commands, names, numbers, signs."""
+    """T9. single: null; latex_aware: commands, names, numbers, signs; no other mode."""
+    if mode not in ("single", "latex_aware"):
+        raise ValueError(f"no such mode of formula tokens: {mode}")
     return F.lit(None).cast("array<string>") if mode == "single" else F.regexp_extract_all(bare_formula(f), F.lit(V.LATEX), F.lit(0))
 
 

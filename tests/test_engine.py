@@ -165,5 +165,11 @@ def test_mask_counts_vocabulary_and_quotes_of_whole_texts(spark, tmp_path):
     assert sorted(tuple(r) for r in run("benchmark_quotes")) == sorted(want) and len(want) == 3
 
 
+def test_unknown_formula_mode_is_an_error(spark):
+    with pytest.raises(ValueError):
+        tokenize.formula_tokens(F.lit("$x$"), "ast")
+    assert one(spark, "$x+1$", tokenize.formula_tokens) == ["x", "+", "1"]
+
+
 def test_every_oracle_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
