@@ -1,11 +1,13 @@
 """Suffix-array dedup (operator 4): a logarithmic index family finds the long strings that texts share.
 
+0. Copies. Texts are grouped by key, before and after the shuffle, and each distinct one goes on once. One that occurs
+   twice or more repeats whole and needs no index; what it shares with other texts still counts for those.
 1. Anchors. Of the K-byte strings in a text, those whose hash is the least in some stretch of WIDTH bytes are
    anchors. Equal stretches have equal anchors at equal places, so two equal strings of WIDTH bytes share one.
    An occurrence is (anchor hash, hash of its context, text's key, place); its context is the anchor and, on either
    side, the WIDTH - K bytes that a stretch with it can reach. Four numbers per 60 bytes of text are all that is written.
-2. Occurrences with the same anchor and context are one entry with a count. If the count is over 1, all stretches in
-   the context repeat. If the anchor has other contexts, the bytes of one occurrence of each go to the index.
+2. Occurrences (in distinct texts) with the same anchor and context are one entry with a count. If the count is over 1,
+   all stretches in the context repeat. If the anchor has other contexts, the bytes of one occurrence of each go to the index.
 3. Index. Entries come in batches. Each batch is sorted into a suffix array of its anchors' right sides (and a
    prefix array of their left sides), merge-scanned against each level of the family for common strings of WIDTH
    bytes, and becomes a level; levels of equal size merge. Neighbours' common lengths turn into ranks, and two
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -269,13 +272,19 @@ def keys_of(raw) -> tuple:
     return F.xxhash64(raw).alias("tkey"), (F.crc32(raw).bitwiseAND(0x7FFF)).alias("more")
 
 
+def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
+    """tkey, more, raw and copies of each distinct text of WIDTH bytes or more. Copies meet within a task first, so that
+    what is shuffled of a text with many is one row a task."""
+    src = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw")).filter(F.length("raw") >= WIDTH)
+    return src.select(*keys_of(F.col("raw")), "raw").groupBy("tkey", "more").agg(F.first("raw").alias("raw"), F.count("*").alias("copies"))
+
+
 def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """tkey, more (as in keys_of) and spans of each text that has some: spans are intervals (start, end) of bytes, not
     yet merged, that cover every byte of a WIDTH-byte string that also starts elsewhere."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "suffixes")
-    src = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw")).filter(F.length("raw") >= WIDTH)
-    src = src.select(*keys_of(F.col("raw")), "raw")
+    src = scratch.save("distinct", distinct_texts(docs, text_col))
     occ = scratch.save("all", src.select("tkey", "raw").mapInArrow(_occurrences, "tkey long, at long, anchor long, ctx long"))
     twice = scratch.save("twice", occ.groupBy("anchor").count().filter("count > 1").select("anchor"))
     # anchors that occur once have no repeated stretch
@@ -298,9 +307,10 @@ def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CON
     told = scratch.save("told", told.union(full).groupBy("anchor", "ctx").agg(F.min("low").alias("low"), F.max("high").alias("high")))
     scratch.drop("contexts", "entries")
     span = F.struct((F.expr(PLACE) - F.col("high")).cast("int").alias("start"), (F.expr(PLACE) + WIDTH - F.col("low")).cast("int").alias("end"))
-    spans = occ.join(told, ["anchor", "ctx"]).select("tkey", F.expr(MORE).alias("more"), span.alias("s")).groupBy("tkey", "more").agg(F.collect_list("s").alias("spans"))
-    spans = scratch.save("spans", spans)
-    scratch.drop("occurrences", "told")
+    each = occ.join(told, ["anchor", "ctx"]).select("tkey", F.expr(MORE).alias("more"), span.alias("s"))
+    copied = src.filter("copies > 1").select("tkey", "more", F.struct(F.lit(0).alias("start"), F.length("raw").alias("end")).alias("s"))
+    spans = scratch.save("spans", each.union(copied).groupBy("tkey", "more").agg(F.collect_list("s").alias("spans")))
+    scratch.drop("occurrences", "told", "distinct")
     return spans
 
 
@@ -335,15 +345,15 @@ def _report(batches):
 
 
 def with_spans(docs: DataFrame, text_col: str) -> DataFrame:
-    """Adds tkey, more and spans (null: none) to all rows."""
+    """(row: struct of all columns, spans, null: none) of all rows; in a struct, the columns' names clash with none here."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return docs.select("*", *keys_of(raw)).join(repeats(docs, text_col), ["tkey", "more"], "left")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys_of(raw)).join(repeats(docs, text_col), ["tkey", "more"], "left").select("row", "spans")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     found = with_spans(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), "text")
-    return found.select("doc_id", F.col("text").cast("binary").alias("raw"), "spans").mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.select("row.doc_id", F.col("row.text").cast("binary").alias("raw"), "spans").mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -363,19 +373,19 @@ def _cut(batches):
         out = []
         for raw, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             out.append(kept_of(raw, whole_characters(raw, runs_of(spans))).decode("utf-8", "replace") if spans else raw.decode("utf-8", "replace"))
-        yield pa.RecordBatch.from_arrays([b.column(2), pa.array(out, pa.string())], ["all", "text"])
+        yield pa.RecordBatch.from_arrays([b.column(2), pa.array(out, pa.string())], ["rest", "text"])
 
 
 def cut(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with their repeated bytes cut (of characters only whole ones); texts of which nothing but white
     space is left go. n_chars, if there, follows; other columns stay. A text without repeats stays as it is, null too."""
     rest = [c for c in docs.columns if c != text_col]
-    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     joined = with_spans(docs, text_col)
-    changed = joined.filter("spans is not null").select(raw.alias("raw"), "spans", F.struct(*rest).alias("all"))
-    kind = changed.schema["all"].dataType.simpleString()
-    changed = changed.mapInArrow(_cut, f"all {kind}, text string").filter(F.length(F.trim("text")) > 0)
-    more = changed.select(*[F.col(f"all.`{c}`").alias(c) for c in rest], F.col("text").alias(text_col)).select(*docs.columns)
-    if "n_chars" in docs.columns:
-        more = more.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return joined.filter("spans is null").select(*docs.columns).union(more)
+    raw = F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")).cast("binary")
+    changed = joined.filter("spans is not null").select(raw.alias("raw"), "spans", F.struct(*[F.col(f"row.`{c}`").alias(c) for c in rest] or [F.lit(0).alias("none")]).alias("rest"))
+    changed = changed.mapInArrow(_cut, T.StructType([changed.schema["rest"], T.StructField("text", T.StringType())])).filter(F.length(F.trim("text")) > 0)
+    value = {c: F.col(f"rest.`{c}`") for c in rest} | {text_col: F.col("text")}
+    if "n_chars" in rest:
+        value["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    more = changed.select(*[value[c].alias(c) for c in docs.columns])
+    return joined.filter("spans is null").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]).union(more)

@@ -251,3 +251,14 @@ def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for f in (lambda d: packing.pack(d, public_tokenizers.path("word_bpe_49k.json")), suffixes.report, jaccard.join, secrets.report, transport.documents_as_media, langid.report):
         assert f(none).count() == 0
+
+
+def test_many_equal_rows_and_clashing_columns(spark):
+    body = " ".join(f"word{k * 7919 % 1013}" for k in range(450))
+    rows = [(k, body) for k in range(2000)] + [(2000, "own start " * 3 + body[700:1500] + " own end"), (2001, body[:150] + "?" + body[150:340]), (2002, "short")]
+    want = {(d, h): (n, cut, runs) for d, n, cut, runs, h in brute.repeated_bytes(rows[:2] + rows[2000:])}
+    d = spark.createDataFrame([(i, t, "a", 1, 2, 3) for i, t in rows], "doc_id long, text string, spans string, more int, tkey int, `raw x` int").repartition(8)
+    got = {(r["doc_id"], r["kept_sha256"]): (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffixes.report(d).collect()}
+    assert len(got) == 2003 and {k: v for k, v in got.items() if k[0] < 2 or k[0] >= 2000} == want
+    left = suffixes.cut(d)
+    assert left.columns == d.columns and sorted(r["doc_id"] for r in left.collect()) == [2000, 2001, 2002] and {(r["spans"], r["more"], r["raw x"]) for r in left.collect()} == {("a", 1, 3)}
