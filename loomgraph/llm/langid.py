@@ -5,8 +5,9 @@ transitions between languages are learned with them, on sequences that switch la
 gives each word of a code-switched text the probability of each language; a text's score for a language is the
 mean over its words.
 
-Training takes at most SAMPLE_DOCS labelled documents a language and SAMPLE_CHARS characters of each (the bound of
-the sample; parameters of train()), chosen by a hash of their id. Prediction reads whole texts: all words of a batch
+Training takes at most SAMPLE_DOCS labelled documents a language, chosen by a hash of their id, cuts the whole text of
+each into stretches of STRETCH words, and takes at most SAMPLE_STRETCHES of those a language, chosen by a hash as well,
+so a text's end counts like its start (the bounds of the sample; parameters of train()). Prediction reads whole texts: all words of a batch
 of texts are one chain, cut into runs of RUN words whose transfer matrices are multiplied, so that forward-backward
 is exact for any length at the price of a few array operations.
 
@@ -22,12 +23,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-SAMPLE_DOCS, SAMPLE_CHARS = 400, 1500
+SAMPLE_DOCS, SAMPLE_STRETCHES, STRETCH = 400, 4000, 24
 BUCKETS, LEXICON, EPOCHS, RUN, MOST_WORDS = 1 << 16, 3000, 4, 64, 300_000
 #: Letters whose features are held at a time.
 MOST_LETTERS = 1 << 18
@@ -81,8 +82,9 @@ def _emissions(model: Model, vocabulary: list[str]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def posteriors(emit: np.ndarray, new: np.ndarray, trans: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Forward-backward over words laid end to end; new: where a text begins. Probabilities of each label, per word.
+def posteriors(emit: np.ndarray, new: np.ndarray, trans: np.ndarray, first: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Forward-backward over words laid end to end; new: where a text begins. Probabilities of each label, per word. To
+    pairs, if given, the expected numbers of each label followed by each are added.
 
     Each run of RUN words is reduced to its transfer matrix; runs are then chained, and each run is filled in from
     the messages at its ends, all runs at once.
@@ -121,6 +123,9 @@ def posteriors(emit: np.ndarray, new: np.ndarray, trans: np.ndarray, first: np.n
         post = alpha[t] * beta
         alpha[t] = post / post.sum(1, keepdims=True)
         w = beta * e[:, t]
+        if pairs is not None and not b[:, t].all():  # forward to the word before, transition, the word itself, backward
+            joint = (alpha[t - 1] if t else ahead)[:, :, None] * a * w[:, None, :]
+            pairs += (joint / joint.sum((1, 2), keepdims=True))[~b[:, t]].sum(0)
         beta = np.where(b[:, t, None], (w @ start)[:, None], w @ a.T)
         beta = beta / beta.sum(1, keepdims=True)
     return alpha.transpose(1, 0, 2).reshape(-1, size)[:n]
@@ -145,7 +150,7 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Mod
     size, rng = len(labels), np.random.default_rng(seed)
     model = Model(labels, np.zeros((BUCKETS, size)), np.zeros((size, size)), np.zeros(size), lexicons)
     sums = [np.full(x.shape, 1e-6) for x in (model.weights, model.trans, model.first)]
-    stretches = [(w[i : i + 24], number[lang]) for w, lang in held for i in range(0, len(w), 24)]
+    stretches = [(w[i : i + STRETCH], number[lang]) for w, lang in held for i in range(0, len(w), STRETCH)]
     everything = sorted({w for ws, _ in held for w in ws})
     number_of = {w: k for k, w in enumerate(everything)}
     each, all_flat = features(everything, lexicons)
@@ -169,7 +174,8 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Mod
             at_word = np.concatenate([[0], np.cumsum(n)[:-1]])
             flat = all_flat[np.repeat(all_at[used_words] - at_word, n) + np.arange(n.sum())]
             emit = np.add.reduceat(model.weights[flat], at_word) / np.sqrt(n)[:, None]
-            post = posteriors(emit[ids], begins, model.trans, model.first)
+            pairs = np.zeros((size, size))
+            post = posteriors(emit[ids], begins, model.trans, model.first, pairs)
             err = -post
             err[np.arange(len(text)), gold] += 1
             word_err = np.zeros((len(used_words), size))
@@ -179,12 +185,9 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Mod
             g = np.stack([np.bincount(where, weights=spread[:, k], minlength=len(used)) for k in range(size)], 1) - 1e-3 * model.weights[used]
             sums[0][used] += g * g
             model.weights[used] += 0.5 * g / np.sqrt(sums[0][used])
-            # transitions: gold pairs less expected ones, the latter from neighbouring marginals under the chain
+            # transitions: gold pairs less expected ones
             inner = np.flatnonzero(~begins)
-            a = np.exp(model.trans)
-            pair = post[inner - 1][:, :, None] * a * post[inner][:, None, :]
-            pair /= pair.sum((1, 2), keepdims=True)
-            gt = -pair.sum(0)
+            gt = -pairs
             np.add.at(gt, (gold[inner - 1], gold[inner]), 1)
             gf = -post[begins].sum(0)
             np.add.at(gf, gold[begins], 1)
@@ -199,14 +202,31 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model | None:
-    """Fits on a bounded sample of labelled documents that aren't held out."""
-    from pyspark.sql import Window
+def sampled(docs: DataFrame, sample_docs: int, sample_stretches: int) -> DataFrame:
+    """(text, lang): stretches of the whole texts of labelled documents that aren't held out. Ranking is in two steps, by a
+    hash of the id alone, so no task sees more than its share of a language and no text is moved but the chosen ones."""
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).withColumn("h", F.xxhash64("doc_id"))
+
+    def least(df: DataFrame, n: int, *by: str) -> DataFrame:
+        for keys in (["lang", "salt"], ["lang"]):
+            w = Window.partitionBy(*keys).orderBy(*by)
+            df = df.withColumn("salt", F.pmod("h", F.lit(64))).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n)
+        return df.drop("salt", "r")
+
+    upto = least(usable.select("lang", "h"), sample_docs, "h").groupBy("lang").agg(F.max("h").alias("upto")).collect()  # a row a language
+    if not upto:
+        return usable.select("text", "lang").limit(0)
+    bound = F.create_map(*(F.lit(x) for r in upto for x in (r["lang"], r["upto"])))
+    few = usable.filter(F.col("h") <= F.element_at(bound, F.col("lang"))).select("lang", "h", "text", F.xxhash64("text").alias("t"))
+    few = least(few, sample_docs, "h", "t").withColumn("w", F.split(F.trim("text"), r"\s+"))
+    cut = few.select("lang", "h", "t", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / STRETCH).cast("int"))).alias("k"))
+    cut = cut.select("lang", F.xxhash64("h", "t", "k").alias("h"), F.array_join(F.slice("w", F.col("k") * STRETCH + 1, STRETCH), " ").alias("text"))
+    return least(cut, sample_stretches, "h", "text").select("text", "lang")
 
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = usable.select("lang", "doc_id", F.substring("text", 1, sample_chars).alias("text")).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= sample_docs)
-    return fit([(r["text"], r["lang"]) for r in few.select("text", "lang").collect()])
+
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_stretches: int = SAMPLE_STRETCHES) -> Model | None:
+    """Fits on a bounded sample of labelled documents that aren't held out."""
+    return fit([(r["text"], r["lang"]) for r in sampled(docs, sample_docs, sample_stretches).collect()])
 
 
 class Labeller:

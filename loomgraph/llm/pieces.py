@@ -10,10 +10,12 @@ the best way through each distinct word and part, and its distance to the next,
 best of a text are the best ways to take alternatives in the n - 1 words (of long ones, parts) that lose least by it.
 
 A unigram model's scores are log-probabilities. A BPE model has merge ranks instead; they become log-probabilities by
-Zipf's law, and bytes and pieces without a rank get the least of all. Nothing is trained.
+Zipf's law, and bytes and pieces without a rank get the least of all. Nothing is trained. Scores are kept in steps of
+2^-30, so sums are exact in whatever order they are made, and ties are true ties.
 
-Defined results: null and empty texts have one segmentation, of no pieces and score 0; ties go to the piece ids that
-sort first; fewer segmentations than n are all returned; repeated rows and null ids are rows of their own; other
+Defined results: null and empty texts have one segmentation, of no pieces and score 0; of a word's ways with one score,
+those come first whose ids, read from the last (as the search goes), sort first; of a text's, those that take the better
+ways of later words; fewer segmentations than n are all returned; repeated rows and null ids are rows of their own; other
 columns are not read; an empty table gives no rows.
 """
 
@@ -39,11 +41,16 @@ SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 ENCODERS: dict = {}
 
 
+def exact(score: float) -> float:
+    return round(score * (1 << 30)) / (1 << 30)
+
+
 class Vocabulary:
     """Pieces with log-probabilities, byte pieces, and how far a piece reaches."""
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_pieces: list[tuple[int, float]], names: list[bytes]):
-        self.pieces, self.bytes, self.names = pieces, byte_pieces, names
+        pieces = {p: (i, exact(s)) for p, (i, s) in pieces.items()}
+        self.pieces, self.bytes, self.names = pieces, [(i, exact(s)) for i, s in byte_pieces], names
         self.longest = max(map(len, pieces), default=1)
         self.pairs = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
         self.heads = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
@@ -122,9 +129,9 @@ def best_and_gap(word: str, vocab: Vocabulary) -> tuple[float, tuple[int, ...],
 
 
 def n_best(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The n best segmentations of the word: (score, ids), best first."""
+    """The n best segmentations of the word: (score, ids), best first, and by ids from the last among equals."""
     size, pieces, heads = len(word), vocab.pieces, vocab.heads
-    edges: list[list[tuple]] = [[] for _ in range(size + 1)]  # by end: (-best to here over the edge, ids, start, score)
+    edges: list[list[tuple]] = [[] for _ in range(size + 1)]  # by end: (-best to here over the edge, ids from the last, start, score)
     best = [0.0] + [-math.inf] * size
     for i in range(size):
         single, here = False, best[i]
@@ -141,29 +148,26 @@ def n_best(word: str, vocab: Vocabulary, n: int) -> list[tuple[float, tuple[int,
         if not single:
             raw = [vocab.bytes[b] for b in word[i].encode("utf-8", "surrogatepass")]
             s = sum(x for _, x in raw)
-            edges[i + 1].append((-here - s, tuple(k for k, _ in raw), i, s))
+            edges[i + 1].append((-here - s, tuple(k for k, _ in reversed(raw)), i, s))
             best[i + 1] = max(best[i + 1], here + s)
     for ways in edges:
         ways.sort()
-    # agenda: (-estimate, place whose edges are to be tried, number of the edge, ids and score from there to the end);
-    # edges stand in falling order of their estimate, so the next is only looked at once the one before it is out
-    agenda: list[tuple] = [(edges[size][0][0], size, 0, (), 0.0)]
+    # agenda: (-estimate, ids from the last back over the edge, place whose edges are tried, number of the edge, ids and
+    # score behind it). Edges stand in the agenda's order, so the next is only looked at once the one before it is out;
+    # estimates are exact and ids only grow at their end, so complete ways come out in order, ties too
+    agenda: list[tuple] = [(edges[size][0][0], edges[size][0][1], size, 0, (), 0.0)]
     out: list[tuple[float, tuple[int, ...]]] = []
-    while agenda and (len(out) < n or -agenda[0][0] >= out[n - 1][0] - 1e-9):
-        _, at, k, ids, after = heapq.heappop(agenda)
+    while agenda and len(out) < n:
+        _, ids, at, k, behind, after = heapq.heappop(agenda)
         ways = edges[at]
         if k + 1 < len(ways):
-            heapq.heappush(agenda, (ways[k + 1][0] - after, at, k + 1, ids, after))
-        _, piece, i, s = ways[k]
-        ids, after = piece + ids, after + s
+            heapq.heappush(agenda, (ways[k + 1][0] - after, behind + ways[k + 1][1], at, k + 1, behind, after))
+        i, after = ways[k][2], after + ways[k][3]
         if i == 0:
-            out.append((after, ids))
-            if len(out) > 8 * n:  # far more ties than asked for
-                break
+            out.append((after, ids[::-1]))
         else:
-            heapq.heappush(agenda, (edges[i][0][0] - after, i, 0, ids, after))
-    out.sort(key=lambda x: (-round(x[0], 9), x[1]))
-    return out[:n]
+            heapq.heappush(agenda, (edges[i][0][0] - after, ids + edges[i][0][1], i, 0, ids, after))
+    return out
 
 
 class Encoder:
@@ -188,7 +192,7 @@ class Encoder:
         got = self.older_parts.get(part)
         if got is None:
             score, ids, gap = best_and_gap(part, self.vocab)
-            if gap < 1e-9:  # of equal ones the first by ids
+            if gap == 0:  # of equal ones the first by ids
                 score, ids = n_best(part, self.vocab, 1)[0]
             got = (score, np.array(ids, "<i4").tobytes(), gap)
         if len(self.parts) > MOST_WORDS:
@@ -230,9 +234,10 @@ class Encoder:
         where = [k for gap, k in heapq.nsmallest(self.n - 1, zip(gaps, range(len(gaps)))) if gap < math.inf]
         ways = [self.ways.get(parts[k]) or self._ways(parts[k]) for k in where]
         picks = [pick for pick in self.picks[len(ways)] if all(map(int.__lt__, pick, map(len, ways)))]
-        combos = sorted((round(sum([w[0][0] - w[c][0] for w, c in zip(ways, pick)]), 9), pick) for pick in picks)
+        later = sorted(range(len(where)), key=lambda x: -where[x])
+        combos = sorted((sum([w[0][0] - w[c][0] for w, c in zip(ways, pick)]), [pick[x] for x in later], pick) for pick in picks)
         out = []
-        for lost, pick in combos[: self.n]:
+        for lost, _, pick in combos[: self.n]:
             take = first
             if any(pick):
                 take = list(first)
@@ -267,17 +272,21 @@ def segmentations(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "d
         enc = ENCODERS[model_path, n]
         vocab = enc.vocab
         for b in common.slices(batches, 2 << 20):
-            rows = []
+            rows, all_ids = [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 best = None
                 for r, (score, raw) in enumerate(enc(text), 1):
                     ids = np.frombuffer(raw, "<i4")
                     if best is None:
                         best, right = ids, vocab.decode(ids.tolist()) == (text or "")
-                    rows.append((i, r, score, len(ids), zlib.crc32(raw), right and (r == 1 or alike(vocab, best, ids))) + ((ids,) if with_ids else ()))
-            c = list(zip(*rows)) if rows else [[]] * (6 + with_ids)
-            kinds = [b.column(0).type, pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32())]
-            names = [id_col, "rank", "score", "n_pieces", "ids_crc32", "decodes", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, kinds)], names[: len(c)])
+                    rows.append((i, r, score, len(ids), zlib.crc32(raw), right and (r == 1 or alike(vocab, best, ids))))
+                    all_ids.append(raw)
+            c = list(zip(*rows))
+            kinds = [b.column(0).type, pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
+            cols = [pa.array(x, t) for x, t in zip(c, kinds)]
+            if with_ids:
+                at = np.cumsum([0, *c[3]]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(all_ids), "<i4"))))
+            yield pa.RecordBatch.from_arrays(cols, [id_col, "rank", "score", "n_pieces", "ids_crc32", "decodes", "ids"][: len(cols)])
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, rank int, score double, n_pieces long, ids_crc32 long, decodes boolean" + ", ids array<int>" * with_ids)

@@ -31,7 +31,7 @@ def op5_language_id(spark, sf_dir):
 
 
 def op6_n_best_pieces(spark, sf_dir):
-    return pieces.segmentations(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), n=4, with_ids=False)
+    return pieces.segmentations(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), n=4)
 
 
 def op7_quotation_links(spark, sf_dir):

@@ -1,6 +1,7 @@
 """The training-data operators against plain versions, on small tables with nulls, empty and repeated rows."""
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -169,6 +170,49 @@ def test_forward_backward_equals_the_plain_one():
         assert np.allclose(got[s:e], p / p.sum(1, keepdims=True))
 
 
+def test_expected_pairs_are_the_gradient_of_the_likelihood():
+    rng = np.random.default_rng(6)
+    emit, trans, first = rng.normal(size=(140, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+    new = np.zeros(140, bool)
+    new[[0, 30, 64, 65]] = True
+
+    def log_z(trans):
+        total, v = 0.0, None
+        for x, fresh in zip(emit, new):
+            if fresh and v is not None:
+                total += np.log(np.exp(v).sum())
+            v = first + x if fresh else np.log(np.exp(v) @ np.exp(trans)) + x
+        return total + np.log(np.exp(v).sum())
+
+    pairs = np.zeros((3, 3))
+    langid.posteriors(emit, new, trans, first, pairs)
+    for i, j in itertools.product(range(3), range(3)):
+        d = np.zeros((3, 3))
+        d[i, j] = 1e-5
+        assert np.isclose(pairs[i, j], (log_z(trans + d) - log_z(trans - d)) / 2e-5, rtol=1e-5)
+    assert np.isclose(pairs.sum(), 136)
+
+
+def test_languages_of_held_out_documents(spark):
+    rng = np.random.default_rng(8)
+    parts = {"aa": "ba ke lo mi su ta re no".split(), "bb": "zhu grö ist vel dra quo pfa ein".split(), "cc": "ção nhe lha que dos uma pelo eis".split()}
+    lexicon = {lang: ["".join(rng.choice(p, rng.integers(1, 4))) for _ in range(150)] for lang, p in parts.items()}
+    rows = [(k, " ".join(rng.choice(lexicon[lang], rng.integers(3, 90))), lang if k % 5 else None) for k in range(240) for lang in [list(parts)[k % 3]]]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = langid.report(d).collect()
+    held = [r for r in got if r["held_out"]]
+    assert len(got) == 240 and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got) and len(held) > 50
+    assert np.mean([r["lang_pred"] == list(parts)[r["doc_id"] % 3] for r in held]) >= 0.98
+
+
+def test_sample_reaches_the_ends_of_texts_and_is_bounded(spark):
+    long = " ".join(f"w{k}" for k in range(4000))
+    d = spark.createDataFrame([(k, long + f" end{k}", "x") for k in range(30)] + [(5, long, "x")] * 40 + [(7, "one", "y")], "doc_id long, text string, lang string")
+    got = langid.sampled(d, 6, 50).collect()
+    assert sum(r["lang"] == "x" for r in got) == 50 and any("w39" in r["text"] for r in got) and all(len(r["text"].split()) <= langid.STRETCH for r in got)
+    assert len(langid.sampled(d, 6, 50).filter("lang = 'y'").collect()) == 1 and langid.sampled(d.limit(0), 6, 50).count() == 0
+
+
 def test_n_best_equals_all_segmentations():
     v = pieces.Vocabulary({"a": (1, -1.0), "b": (2, -1.5), "ab": (3, -2.0), "ba": (4, -2.2), "aba": (5, -3.9), "▁": (6, -1.0), "▁a": (7, -1.7)}, [(100 + k, -9.0) for k in range(256)], [])
 
@@ -183,9 +227,8 @@ def test_n_best_equals_all_segmentations():
         return out
 
     for word in ("▁abab", "▁aabba", "b"):
-        want = sorted(every(word), key=lambda x: (-round(x[0], 9), x[1]))[:5]
-        got = pieces.n_best(word, v, 5)
-        assert [i for _, i in got] == [i for _, i in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
+        want = sorted(every(word), key=lambda x: (-x[0], x[1][::-1]))[:5]
+        assert pieces.n_best(word, v, 5) == want
         s, ids, gap = pieces.best_and_gap(word, v)
         assert np.isclose(s, want[0][0]) and (len(want) == 1 and gap == float("inf") or np.isclose(gap, want[0][0] - want[1][0]))
     text = "ab aba  ba"
@@ -193,6 +236,22 @@ def test_n_best_equals_all_segmentations():
     assert np.allclose([s for s, _ in pieces.Encoder(v, 4)(text)], [s for s, _ in whole])
 
 
+def test_n_best_keeps_the_order_of_ties():
+    v = pieces.Vocabulary({"a": (9, -1.0), "aa": (4, -2.0), "aaa": (7, -3.0), "b": (2, -1.0), "ab": (3, -2.5), "▁": (1, -1.0)}, [(100 + k, -9.0) for k in range(256)], [])
+
+    def every(w):
+        return [(0.0, ())] if not w else [(v.pieces[w[:k]][1] + r, (v.pieces[w[:k]][0], *ids)) for k in range(1, len(w) + 1) if w[:k] in v.pieces for r, ids in every(w[k:])]
+
+    for word, n in (("a" * 9, 2), ("a" * 9, 40), ("aaab", 7)):
+        assert pieces.n_best(word, v, n) == sorted(every(word), key=lambda x: (-x[0], x[1][::-1]))[:n]
+    for text, n in (("aab ab aab ab b", 4), ("ab ab ab ab ab", 3), ("b aaa b", 5)):
+        ways = [sorted(every("▁" + w), key=lambda x: (-x[0], x[1][::-1])) for w in text.split(" ")]
+        picks = itertools.product(*(range(len(w)) for w in ways))
+        best = sorted(picks, key=lambda p: (-sum(w[c][0] for w, c in zip(ways, p)), p[::-1]))[:n]
+        want = [(sum(w[c][0] for w, c in zip(ways, p)), [i for w, c in zip(ways, p) for i in w[c][1]]) for p in best]
+        assert [(s, np.frombuffer(raw, "<i4").tolist()) for s, raw in pieces.Encoder(v, n)(text)] == want
+
+
 def test_n_best_of_texts_equal_those_of_whole_lattices():
     v = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
     enc = pieces.Encoder(v, 4)
@@ -208,6 +267,9 @@ def test_n_best_of_texts_equal_those_of_whole_lattices():
 def test_pieces_decode_to_the_text(docs):
     rows = pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), n=3).collect()
     assert all(r["decodes"] for r in rows) and {r["n_pieces"] for r in rows if r["doc_id"] in (9, 10)} == {0}
+    v = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    assert all(len(r["ids"]) == r["n_pieces"] and v.decode(r["ids"]) == (dict(TEXTS)[r["doc_id"]] or "") and zlib.crc32(np.array(r["ids"], "<i4").tobytes()) == r["ids_crc32"] for r in rows if r["doc_id"])
+    assert pieces.segmentations(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
 
 
 def test_multi_index_finds_neighbours(spark):
