@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from . import fixed
 
 OPEN, CLOSE = "\ue000", "\ue001"
+#: What Python takes for white space.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def java(text: str) -> str:
@@ -22,9 +24,15 @@ def alternation(words) -> str:
     return "|".join(java(w) for w in sorted(words, key=len, reverse=True))
 
 
+def any_of(words) -> str:
+    """The alternation, tried only where one of the words can begin."""
+    words = list(words)
+    return f"(?=[{''.join(sorted({w[0] for w in words}))}])({alternation(words)})"
+
+
 #: P6. A number and one of the units, longest first.
-NUMUNIT = rf"(?<![0-9A-Za-zА-Яа-яЁё.,\-–—])(-?\d+(?:[.,]\d+)?)\s?({alternation(fixed.UNITS)})(?![0-9A-Za-zА-Яа-яЁё])"
-UNIT_ALONE = rf"(?<![0-9A-Za-zА-Яа-яЁё])({alternation(u for u in fixed.UNITS if u not in fixed.NOT_ALONE)})(?![0-9A-Za-zА-Яа-яЁё])"
+NUMUNIT = rf"(?<![0-9A-Za-zА-Яа-яЁё.,\-–—])(-?\d+(?:[.,]\d+)?)\s?{any_of(fixed.UNITS)}(?![0-9A-Za-zА-Яа-яЁё])"
+UNIT_ALONE = rf"(?<![0-9A-Za-zА-Яа-яЁё]){any_of(u for u in fixed.UNITS if u not in fixed.NOT_ALONE)}(?![0-9A-Za-zА-Яа-яЁё])"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -43,12 +51,12 @@ def rewrite(text: Column, pattern: str, change: Callable[[Column, Column], Colum
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def squeeze(text: Column) -> Column:
     """White space to single spaces, none at the ends."""
-    return strip(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.btrim(F.regexp_replace(text, f"[{WHITE}]+", " "), F.lit(" "))
 
 
 def no_blocks() -> Column:
@@ -60,13 +68,18 @@ def protect(text: Column, blocks: Column, pattern: str, kind: str, block: bool =
     first, edge = F.size(blocks), F.lit("\n" if block else "")
     marked = rewrite(text, pattern, lambda m, i: F.concat(edge, F.lit(OPEN), (first + i).cast("string"), F.lit(CLOSE), edge))
     more = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("content")))
-    return marked, F.concat(blocks, more)
+    return marked, F.when(text.rlike(pattern), F.concat(blocks, more)).otherwise(blocks)
 
 
 def restore(text: Column, blocks: Column) -> Column:
-    """P3. Markers back to what they stand for, the last first, as a later block may hold an earlier marker."""
-    numbers = F.reverse(F.when(F.size(blocks) > 0, F.sequence(F.lit(0), F.size(blocks) - 1)).otherwise(F.expr("cast(array() as array<int>)")))
-    return F.aggregate(numbers, text, lambda t, i: F.replace(t, F.concat(F.lit(OPEN), i.cast("string"), F.lit(CLOSE)), F.element_at(blocks, i + 1)["content"]))
+    """P3. Markers back to what they stand for; a later block may hold an earlier marker. Each pass puts back all markers
+    there are at once; what blocks nested more than three deep leave goes one by one, the last first."""
+    marker = f"{OPEN}\\d+{CLOSE}"
+    once = lambda t: rewrite(t, marker, lambda m, _: F.coalesce(F.try_element_at(blocks, F.substring(m, F.lit(2), F.length(m) - 2).cast("int") + 1)["content"], m))
+    numbers = F.when(F.size(blocks) > 0, F.reverse(F.sequence(F.lit(0), F.size(blocks) - 1)))
+    each = lambda t: F.aggregate(numbers, t, lambda t, i: F.replace(t, F.concat(F.lit(OPEN), i.cast("string"), F.lit(CLOSE)), F.element_at(blocks, i + 1)["content"]))
+    some = lambda t, f: bind(t, lambda x: F.when(x.contains(OPEN), f(x)).otherwise(x))
+    return F.when(F.size(blocks) > 0, some(once(some(once(once(text)), once)), each)).otherwise(text)
 
 
 def is_protected(text: Column) -> Column:
@@ -91,7 +104,7 @@ def number_of(text: Column) -> Column:
 
 def is_table_row(line: Column) -> Column:
     """C7. Two pipes or more, and nothing protected."""
-    return (F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit(""))) >= 2) & ~is_protected(line)
+    return line.contains("|") & line.rlike(r"\|[^\n]*\|") & ~is_protected(line)
 
 
 def is_separator(line: Column) -> Column:

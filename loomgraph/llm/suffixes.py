@@ -290,11 +290,12 @@ def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CON
     # anchors that occur once have no repeated stretch
     occ = scratch.save("occurrences", occ.join(twice, "anchor", "left_semi"))
     scratch.drop("all", "twice")
-    per = occ.groupBy("anchor").agg((F.min("ctx") != F.max("ctx")).alias("several"))
+    # written before they are joined, so that an anchor with many contexts can be dealt to several tasks
+    per = scratch.save("several", occ.groupBy("anchor").agg((F.min("ctx") != F.max("ctx")).alias("several")).filter("several"))
     some = occ.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("tkey", "at")).alias("one"))
-    some = scratch.save("entries", some.join(per, "anchor").select("anchor", "ctx", "n", "several", "one.tkey", "one.at"))
+    some = scratch.save("entries", some.join(per, "anchor", "left").select("anchor", "ctx", "n", F.coalesce("several", F.lit(False)).alias("several"), "one.tkey", "one.at"))
     # the index answers for anchors of several contexts
-    hot = some.filter("several").groupBy("anchor").count().filter(F.col("count") > hot_contexts).select("anchor", F.lit(True).alias("hot"))
+    hot = scratch.save("hot", some.filter("several").groupBy("anchor").count().filter(F.col("count") > hot_contexts).select("anchor", F.lit(True).alias("hot")))
     asked = some.filter("several").join(hot, "anchor", "left").select("tkey", F.expr(MORE).alias("more"), F.struct("anchor", "ctx", "at", F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
     asked = asked.groupBy("tkey", "more").agg(F.collect_list("w").alias("want"))
     ctxs = scratch.save("contexts", asked.join(src, ["tkey", "more"]).select("raw", "want").mapInArrow(_contexts, "anchor long, ctx long, l binary, r binary, hot boolean"))
@@ -305,7 +306,7 @@ def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CON
     # a context that occurs twice repeats in all its stretches
     full = some.filter("n > 1").select("anchor", "ctx", F.greatest(F.lit(0), SIDE - F.expr(RIGHT)).cast("long").alias("low"), F.least(F.lit(SIDE), F.expr(LEFT)).cast("long").alias("high")).filter("low <= high")
     told = scratch.save("told", told.union(full).groupBy("anchor", "ctx").agg(F.min("low").alias("low"), F.max("high").alias("high")))
-    scratch.drop("contexts", "entries")
+    scratch.drop("contexts", "entries", "several", "hot")
     span = F.struct((F.expr(PLACE) - F.col("high")).cast("int").alias("start"), (F.expr(PLACE) + WIDTH - F.col("low")).cast("int").alias("end"))
     each = occ.join(told, ["anchor", "ctx"]).select("tkey", F.expr(MORE).alias("more"), span.alias("s"))
     copied = src.filter("copies > 1").select("tkey", "more", F.struct(F.lit(0).alias("start"), F.length("raw").alias("end")).alias("s"))

@@ -1,4 +1,4 @@
-"""Clearing (C1-C21): Markdown and HTML to plain text. Native, but for NFC, HTML tables and tab stops (Arrow UDFs)."""
+"""Clearing (C1-C21): Markdown and HTML to plain text. Native, but for one Arrow UDF that sets math and tables aside, which\nneed a state, in the texts that have some, and one for tab stops."""
 
 from __future__ import annotations
 
@@ -24,6 +24,7 @@ class CleanConfig:
     decimal_comma: bool = False
     protect_math: bool = True
     html_tables: bool = True
+    markdown_tables: bool = True
     header_min_repeats: int = 6
     header_max_chars: int = 80
 
@@ -106,15 +107,10 @@ def expand_tabs(s: pd.Series) -> pd.Series:
 
 def whitespace(t: Column) -> Column:
     """C19, C20. Tabs to stops of four, no-break spaces, line ends, runs of three, blank lines, one final newline."""
-    t = F.when(t.contains("\t"), expand_tabs(t)).otherwise(t)
-    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, V.NBSP, " "), r"(?md)[ \t]+$", ""), r"(?<=\S)[ \t]{3,}", " ")
-    return F.concat(C.strip(F.regexp_replace(t, r"\n{3,}", "\n\n")), F.lit("\n"))
-
-
-@F.pandas_udf(T.StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    """C2."""
-    return s.map(lambda x: x if x is None or unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x))
+    t = F.coalesce(expand_tabs(F.when(t.contains("\t"), t)), t)
+    for pattern, by in ((V.NBSP, " "), (r"(?md)(?<![ \t])[ \t]++$", ""), (r"(?<=\S)[ \t]{3,}", " "), (r"\n{3,}", "\n\n")):
+        t = F.regexp_replace(t, pattern, by)
+    return C.bind(C.strip(t), lambda x: F.when(x == "", x).otherwise(F.concat(x, F.lit("\n"))))
 
 
 class _Grid(HTMLParser):
@@ -139,8 +135,6 @@ class _Grid(HTMLParser):
             self.cell, self.spans = [], (span("colspan"), span("rowspan"))
         elif tag in ("script", "style"):
             self.skip += 1
-        elif tag == "br" and self.cell is not None:
-            self.cell.append(" ")
 
     def handle_endtag(self, tag):
         if tag in ("td", "th", "tr", "table"):
@@ -159,104 +153,195 @@ class _Grid(HTMLParser):
         while x in row or (y, x) in self.below:
             x += 1
         for dx in range(self.spans[0]):
-            row[x + dx] = " ".join("".join(self.cell).split()) if dx == 0 else ""
+            row[x + dx] = cell_text(" ".join(p for c in self.cell if (p := c.strip()))) if dx == 0 else ""
             for dy in range(1, self.spans[1]):
                 self.below[y + dy, x + dx] = True
         self.cell = None
 
 
+def python_pattern(p: str) -> re.Pattern:
+    """A pattern of `fixed` for Python, whose classes are Unicode's and whose lines end at \\n as they are."""
+    return re.compile(re.sub(r"^\(\?([a-zA-Z]+)\)", lambda m: f"(?{f})" if (f := re.sub("[dUu]", "", m[1])) else "", p))
+
+
+_IMAGES = [(python_pattern(p), hint) for p, hint in ((V.IMAGE, "]("), (V.IMAGE_REF, "]["), (V.HTML_IMG, "<"))]
+_LINKS = [(python_pattern(p), by, hint) for p, by, hint in ((V.LINK, r"\1", "]("), (V.LINK_REF, r"\1", "]["), (V.LINK_DEF, "", "]:"))]
+_INLINE = [(python_pattern(p), hint) for p, hint in ((V.INLINE_CODE, "`"), (V.BOLD, "**"), (V.STRIKE, "~~"), (V.ESCAPE, "\\"))]
+_TAG, _TABLE, _UNSEEN, _NBSP, _CELL = (python_pattern(p) for p in (V.HTML_TAG, V.HTML_TABLE, f"{V.CONTROL}|{V.FORMAT}", V.NBSP, V.CELL_SPLIT))
+_DISPLAY, _INLINE_MATH = python_pattern(V.DISPLAY_MATH), python_pattern(V.INLINE_MATH)
+_ROW, _BLANK = r"[^\n|\ue000-\ue003]*\|[^\n|\ue000-\ue003]*\|[^\n\ue000-\ue003]*", r"[^\S\n]*"
+#: A table: rows, and the blank lines between and after them.
+_ROWS = re.compile(rf"(?m)^{_ROW}$(?:\n(?:{_ROW}|{_BLANK})$)*")
+_SEPARATOR = re.compile(r"[ |:-]*-[ |:-]*")
+
+
+def cell_text(x: str) -> str:
+    """C8. A cell without images, links, tags, markup, control and format characters, its blanks squeezed."""
+    for p, hint in _IMAGES[:2]:
+        x = p.sub("", x) if hint in x else x
+    for p, by, hint in _LINKS[:2]:
+        x = p.sub(by, x) if hint in x else x
+    x = _TAG.sub(" ", x) if "<" in x else x
+    for p, hint in _INLINE:
+        x = p.sub(r"\1", x) if hint in x else x
+    return re.sub(r"[ \t]+", " ", _NBSP.sub(" ", _UNSEEN.sub("", x))).strip()
+
+
+def table_row(cells: list[str]) -> str:
+    """A row's line; a pipe in a cell keeps its backslash, so that the row keeps its columns."""
+    return "| " + " | ".join(c.replace("|", "\\|") for c in cells) + " |"
+
+
 def html_table(source: str) -> str:
     """C5. One HTML table as Markdown, its first row as header; without cells it stays as it is."""
     g = _Grid()
-    g.feed(re.sub(r"(?is)<img\b[^>]*>|<!--.*?-->", "", source))
+    g.feed(source)
     g.close()
     g._end()
     rows = [r for r in g.rows if r]
     if not rows:
         return source
     width = max(max(r) for r in rows) + 1
-    line = lambda r: "| " + " | ".join(r.get(x, "").replace("|", "\\|") for x in range(width)) + " |"
-    return "\n".join([line(rows[0]), "| " + " | ".join(["---"] * width) + " |", *map(line, rows[1:])])
+    head, *body = ([r.get(x, "") for x in range(width)] for r in rows)
+    return "\n".join([table_row(head), table_row(["---"] * width), *map(table_row, body)])
+
+
+def markdown_table(block: str) -> str:
+    """C6-C8. A block's rows with clean cells and `---` separators, without its blank lines."""
+    out = []
+    for line in block.split("\n"):
+        if not (bare := line.strip()):
+            continue
+        inner = bare.removeprefix("|")
+        cells = [c.strip().replace("\\|", "|") for c in _CELL.split(inner[:-1] if inner.endswith("|") else inner)]
+        out.append(table_row(["---"] * len(cells) if _SEPARATOR.fullmatch(bare) else list(map(cell_text, cells))))
+    return "\n".join(out)
+
+
+def set_aside(text: str, cfg: CleanConfig = CleanConfig()) -> tuple[str, list[tuple[str, str]], dict[str, int]]:
+    """C2-C8 on one text: its normal form with math and tables as numbered blocks (kind, content), without images and
+    with the labels of links; and how many of each there were. Math goes first, so that neither links nor tables are
+    seen in it, and tables are done when they are set aside: no later step changes them."""
+    blocks: list[tuple[str, str]] = []
+    found: dict[str, int] = {}
+
+    def change(name, pattern, by, x):
+        x, n = pattern.subn(by, x)
+        if n:
+            found[name] = found.get(name, 0) + n
+        return x
+
+    def block(kind, make=lambda m: m[0], edge="\n"):
+        def put(m):
+            blocks.append((kind, make(m)))
+            return f"{edge}{C.OPEN}{len(blocks) - 1}{C.CLOSE}{edge}"
+
+        return put
+
+    if cfg.normalize_nfc and not text.isascii() and not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    if cfg.protect_math and ("$" in text or "\\(" in text or "\\[" in text):
+        text = change("display_math_protected", _DISPLAY, block("display_math"), text)
+        text = change("inline_math_protected", _INLINE_MATH, block("inline_math", edge=""), text)
+    for p, hint in _IMAGES:
+        text = change("images_removed", p, "", text) if hint in text else text
+    for p, by, hint in _LINKS:
+        text = change("markdown_links_normalized", p, by, text) if hint in text else text
+    if cfg.html_tables and "</" in text:
+        text = change("html_tables_protected", _TABLE, block("html_table", lambda m: html_table(m[0])), text)
+    if cfg.markdown_tables and text.count("|") > 1:
+        text = change("markdown_tables_protected", _ROWS, block("markdown_table", lambda m: markdown_table(m[0])), text)
+    return text, blocks, found
+
+
+_ASIDE = T.StructType([
+    T.StructField("text", T.StringType()), T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("content", T.StringType())]))),
+    T.StructField("found", T.MapType(T.StringType(), T.IntegerType())),
+])
+
+
+def aside(t: Column, cfg: CleanConfig) -> Column:
+    """set_aside over a column, for the texts that hold anything for it to do; null for all others."""
+    @F.pandas_udf(_ASIDE)
+    def run(s: pd.Series) -> pd.DataFrame:
+        rows = [(None, None, None) if x is None else (y, [{"kind": k, "content": c} for k, c in b], list(n.items())) for x in s for y, b, n in [set_aside(x or "", cfg)]]
+        return pd.DataFrame(rows, columns=["text", "blocks", "found"])
+
+    return run(F.when((F.octet_length(t) != F.length(t)) | t.rlike(r"[$|<\]]|\\[(\[]"), t))
 
 
 @F.pandas_udf(T.StringType())
 def html_tables(s: pd.Series) -> pd.Series:
-    """C5."""
-    find = re.compile(V.HTML_TABLE)
-    return s.map(lambda x: find.sub(lambda m: "\n\n" + html_table(m[0]) + "\n\n", x) if x and "<table" in x.lower() else x)
+    """C5. Each HTML table of a text as Markdown, on lines of its own."""
+    return s.map(lambda x: _TABLE.sub(lambda m: "\n" + html_table(m[0]) + "\n", x) if x and "</" in x else x)
 
 
-def table_cell(c: Column) -> Column:
-    """C8."""
-    return C.squeeze(F.regexp_replace(control_chars(inline_markup(tags(links(images(c))))), V.NBSP, " "))
+@F.pandas_udf(T.StringType())
+def markdown_tables(s: pd.Series) -> pd.Series:
+    """C6. Each Markdown table of a text cleaned, on lines of its own."""
+    return s.map(lambda x: _ROWS.sub(lambda m: "\n" + markdown_table(m[0]) + "\n", x) if x and "|" in x else x)
 
 
-def markdown_tables(t: Column) -> Column:
-    """C6. Rows of tables with clean cells and `---` separators, without the blank lines inside a block."""
-    def row(x):
-        cols = F.transform(C.cells(x), lambda c: F.when(C.is_separator(x), F.lit("---")).otherwise(F.replace(table_cell(c), F.lit("|"), F.lit("\\|"))))
-        return F.concat(F.lit("| "), F.array_join(cols, " | "), F.lit(" |"))
+def repeated_lines(df: DataFrame, id_col: str, text_col: str, least: int = 6, most_chars: int = 80) -> DataFrame:
+    """C14. In each document, drops every line that occurs at least `least` times (stripped; short, not a table, and of
+    eight characters or with a digit). Counted within the row, so nothing is shuffled; lines are only sorted where
+    enough of them are equal."""
+    lines = F.split(F.col(text_col), "\n", -1)
 
-    lines = F.split(t, "\n", -1)
-    # a blank line goes if the next line with text and the last one with text are rows
-    state = F.struct(F.expr("cast(array() as array<string>)").alias("out"), F.lit(0).alias("blank"), F.lit(False).alias("table"))
+    def often(bare):
+        fit = F.filter(bare, lambda x: (x != "") & (F.length(x) <= most_chars) & ((F.length(x) >= 8) | x.rlike(r"\d")) & ~C.is_table_row(x) & ~C.is_protected(x))
+        # in sorted order, line k and line k + least - 1 are equal
+        return C.bind(F.array_sort(fit), lambda xs: F.array_distinct(F.filter(xs, lambda x, k: F.try_element_at(xs, k + least) == x)))
 
-    def step(acc, x):
-        is_row, empty = C.is_table_row(x), C.strip(x) == ""
-        gap = F.when(is_row & acc["table"], F.expr("cast(array() as array<string>)")).otherwise(F.array_repeat(F.lit(""), acc["blank"]))
-        text = F.concat(acc["out"], gap, F.array(F.when(is_row, row(x)).otherwise(x)))
-        return F.when(empty, F.struct(acc["out"].alias("out"), (acc["blank"] + 1).alias("blank"), acc["table"].alias("table"))).otherwise(F.struct(text.alias("out"), F.lit(0).alias("blank"), is_row.alias("table")))
+    none = F.expr("cast(array() as array<string>)")
+    bare = C.bind(F.transform(lines, C.strip), lambda xs: F.when(F.size(xs) - F.size(F.array_distinct(xs)) >= least - 1, often(xs)).otherwise(none))
+    held = df.withColumn("__often", F.when(F.col(text_col).contains("\n"), bare).otherwise(none if least > 1 else bare))
+    return held.withColumn(text_col, F.when(F.size("__often") > 0, F.array_join(F.filter(lines, lambda x: ~F.array_contains(F.col("__often"), C.strip(x))), "\n")).otherwise(F.col(text_col))).drop("__often")
 
-    done = F.aggregate(lines, state, step, lambda acc: F.concat(acc["out"], F.array_repeat(F.lit(""), acc["blank"])))
-    return F.when(t.rlike(r"\|[^\n]*\|"), F.array_join(done, "\n")).otherwise(t)
 
+#: What one pattern does to a text; counter, pattern, replacement.
+_PLAIN = [("control_chars_removed", V.CONTROL, ""), ("format_chars_removed", V.FORMAT, ""), ("html_comments_removed", V.HTML_COMMENT, " "), ("html_tags_removed", V.HTML_TAG, " "), ("page_numbers_removed", V.PAGE_NUMBER, "")]
+_MARKUP = [("markdown_headings_removed", V.HEADING, ""), ("markdown_blockquotes_removed", V.BLOCKQUOTE, ""), ("markdown_list_markers_removed", V.LIST_ITEM, ""), ("markdown_horizontal_rules_removed", V.RULE, "")]
 
-def repeated_lines(df: DataFrame, id_col: str, text_col: str, least: int = 6, most_chars: int = 80) -> DataFrame:
-    """C14. In each document, drops every line that occurs at least `least` times (stripped; short, not a table, and of
-    eight characters or with a digit). Counted within the row, so nothing is shuffled."""
-    lines = F.split(F.col(text_col), "\n", -1)
-    bare = F.transform(lines, C.strip)
-    fit = F.filter(bare, lambda x: (F.length(x) > 0) & (F.length(x) <= most_chars) & ~C.is_table_row(x) & ~C.is_protected(x) & ((F.length(x) >= 8) | x.rlike(r"\d")))
-    # runs of equal lines in the sorted list
-    state = F.struct(F.lit("").alias("x"), F.lit(0).alias("n"), F.expr("cast(array() as array<string>)").alias("out"))
-    often = F.aggregate(
-        F.array_sort(fit),
-        state,
-        lambda acc, x: F.struct(
-            x.alias("x"),
-            F.when(x == acc["x"], acc["n"] + 1).otherwise(1).alias("n"),
-            F.when((x == acc["x"]) & (acc["n"] + 1 == least), F.concat(acc["out"], F.array(x))).when((x != acc["x"]) & F.lit(least <= 1), F.concat(acc["out"], F.array(x))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    out = df.withColumn("__often", often)
-    return out.withColumn(text_col, F.when(F.size("__often") > 0, F.array_join(F.filter(lines, lambda x: ~F.array_contains(F.col("__often"), C.strip(x))), "\n")).otherwise(F.col(text_col))).drop("__often")
-
-
-def clean(df: DataFrame, id_col: str = "source_file", text_col: str = "text", cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """All clearing operators in their order; each withColumn ends one run of rewrites, so generated code stays small."""
+
+def clean(df: DataFrame, id_col: str = "source_file", text_col: str = "text", cfg: CleanConfig = CleanConfig(), counts_col: str | None = None) -> DataFrame:
+    """All clearing operators in their order; each withColumn ends one run of rewrites, so generated code stays small.
+    counts_col, if given: map of what was found and changed in each text, with chars_before and chars_after (A2)."""
     step = lambda d, f: d.withColumn(text_col, f(F.col(text_col)))
+    counted: list[tuple[str, Column]] = []
+
+    def note(d, name, value):
+        if counts_col:
+            counted.append((name, F.col(f"__n{len(counted)}")))
+            d = d.withColumn(f"__n{len(counted) - 1}", value.cast("int"))
+        return d
+
+    t = F.col(text_col)
+    df = note(df, "chars_before", F.length(F.coalesce(t, F.lit(""))))
+    df = note(df, "line_endings_normalized", F.regexp_count(t, F.lit(r"\r\n?")))
     df = step(df, lambda t: newlines(F.coalesce(t, F.lit(""))))
-    if cfg.normalize_nfc:
-        df = step(df, nfc)
-    if cfg.html_tables:
-        df = step(df, html_tables)
-    df = step(df, lambda t: links(images(t)))
-    df = step(df, markdown_tables)
-    df = df.withColumn("__blocks", C.no_blocks())
-    for pattern, kind in ((V.DISPLAY_MATH, "display_math"), (V.INLINE_MATH, "inline_math")) if cfg.protect_math else ():
-        t, b = C.protect(F.col(text_col), F.col("__blocks"), pattern, kind)
-        df = df.select(*[c for c in df.columns if c not in (text_col, "__blocks")], t.alias(text_col), b.alias("__blocks"))
-    df = step(df, lambda t: tags(comments(control_chars(t))))
-    df = repeated_lines(step(df, page_numbers), id_col, text_col, cfg.header_min_repeats, cfg.header_max_chars)
-    df = step(df, markup)
+    df = df.withColumn("__aside", aside(t, cfg)).withColumn("__blocks", F.coalesce("__aside.blocks", C.no_blocks())).withColumn(text_col, F.coalesce("__aside.text", t))
+    for name, pattern, by in _PLAIN:
+        df = step(note(df, name, F.regexp_count(t, F.lit(pattern))), lambda t: F.regexp_replace(t, pattern, by))
+    before = F.size(F.split(t, "\n", -1))
+    df = df.withColumn("__lines", before) if counts_col else df
+    df = repeated_lines(df, id_col, text_col, cfg.header_min_repeats, cfg.header_max_chars)
+    df = note(df, "header_footer_lines_removed", F.col("__lines") - before).drop("__lines") if counts_col else df
+    for name, pattern, by in _MARKUP:
+        df = step(note(df, name, F.regexp_count(t, F.lit(pattern))), lambda t: F.regexp_replace(t, pattern, by))
+    df = step(df, inline_markup)
     if cfg.decimal_comma:
-        df = step(df, decimal_comma)
+        df = step(note(df, "decimal_commas_normalized", F.regexp_count(t, F.lit(r"(?<=\d),(?=\d)"))), decimal_comma)
     if cfg.lowercase:
         df = step(df, lowercase)
     df = step(df, lambda t: stop_words(t, cfg.stopwords))
     df = step(df, whitespace)
-    whole = C.restore(F.col(text_col), F.col("__blocks"))
+    whole = C.restore(t, F.col("__blocks"))
     for wrong, right in V.OCR_FIXES.items():
         whole = F.replace(whole, F.lit(wrong), F.lit(right))
-    return df.withColumn(text_col, whole).drop("__blocks")
+    df = step(df, lambda t: whole).withColumn(text_col, F.when((t == "") | t.endswith("\n"), t).otherwise(F.concat(t, F.lit("\n"))))
+    if counts_col:
+        flat = [x for name, n in [*counted, ("chars_after", F.length(t))] for x in (F.lit(name), n)]
+        all_counts = F.map_concat(F.create_map(*flat), F.coalesce("__aside.found", F.expr("cast(map() as map<string,int>)")))
+        df = df.withColumn(counts_col, F.map_filter(all_counts, lambda k, n: (n > 0) | k.startswith("chars_"))).drop(*[f"__n{k}" for k in range(len(counted))])
+    return df.drop("__blocks", "__aside")
