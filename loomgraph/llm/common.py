@@ -24,7 +24,8 @@ MIX_A, MIX_B, BASE = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9E3779B97F4A7C15
 
 
 def tune(spark: SparkSession) -> None:
-    """Batches for Python of a few MB: a worker holds one at a time, whatever the texts' lengths."""
+    """Batches for Python of a few MB: a worker holds one at a time, whatever the texts' lengths. A setting of the session, as
+    results are computed when they are asked for."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
@@ -73,6 +74,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         tune(spark)
+        # held for the end of the program, when the session may have stopped
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         atexit.register(self._forget)
 
     def path(self, name: str) -> str:
@@ -97,8 +101,12 @@ class Scratch:
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
     def _forget(self) -> None:
+        """Removes the tables, on whatever file system they are, once no result can be read any more."""
         if self.root.startswith("file://"):
             shutil.rmtree(self.root[len("file://") :], ignore_errors=True)
+            return
+        with contextlib.suppress(Exception):  # the JVM may be gone, and its tables with the cluster
+            self._fs.delete(self._path, True)
 
 
 def slices(batches, most_bytes: int = 4 << 20, text: int = 1) -> Iterator[pa.RecordBatch]:
