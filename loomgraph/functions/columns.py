@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import fixed
 
-OPEN, CLOSE = "\ue000", "\ue001"
+OPEN, CLOSE, SIGN = "\ue000", "\ue001", "\ue004"
 #: What Python takes for white space.
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -24,15 +24,17 @@ def alternation(words) -> str:
     return "|".join(java(w) for w in sorted(words, key=len, reverse=True))
 
 
-def any_of(words) -> str:
-    """The alternation, tried only where one of the words can begin."""
-    words = list(words)
-    return f"(?=[{''.join(sorted({w[0] for w in words}))}])({alternation(words)})"
+def firsts(words) -> str:
+    """A look ahead at what one of the words can begin with; put first, it spares most places the rest of a pattern."""
+    return f"(?=[{''.join(sorted({w[0] for w in words}))}])"
 
 
+#: A look ahead at a digit, for patterns that begin with one.
+DIGIT = r"(?=[0-9])"
+_ALONE = [u for u in fixed.UNITS if u not in fixed.NOT_ALONE]
 #: P6. A number and one of the units, longest first.
-NUMUNIT = rf"(?<![0-9A-Za-zА-Яа-яЁё.,\-–—])(-?\d+(?:[.,]\d+)?)\s?{any_of(fixed.UNITS)}(?![0-9A-Za-zА-Яа-яЁё])"
-UNIT_ALONE = rf"(?<![0-9A-Za-zА-Яа-яЁё]){any_of(u for u in fixed.UNITS if u not in fixed.NOT_ALONE)}(?![0-9A-Za-zА-Яа-яЁё])"
+NUMUNIT = rf"(?=[-0-9])(?<![0-9A-Za-zА-Яа-яЁё.,\-–—])(-?\d+(?:[.,]\d+)?)\s?{firsts(fixed.UNITS)}({alternation(fixed.UNITS)})(?![0-9A-Za-zА-Яа-яЁё])"
+UNIT_ALONE = rf"{firsts(_ALONE)}(?<![0-9A-Za-zА-Яа-яЁё])({alternation(_ALONE)})(?![0-9A-Za-zА-Яа-яЁё])"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -40,11 +42,17 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
+def gaps(text: Column, pattern: str) -> Column:
+    """What stands before, between and after the matches. split() makes its pattern anew for each row, so matches first give
+    way to a sign, by which it splits at once, unless the text has that sign itself."""
+    return F.when(text.contains(SIGN), F.split(text, pattern, -1)).otherwise(F.split(F.regexp_replace(text, pattern, SIGN), SIGN, -1))
+
+
 def rewrite(text: Column, pattern: str, change: Callable[[Column, Column], Column]) -> Column:
     """Replaces each match by change(match, its number from 0): gaps and changed matches, put together again."""
     def go(t):
         found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m, i: change(m, i))
-        parts = F.zip_with(F.split(t, pattern, -1), found, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit(""))))
+        parts = F.zip_with(gaps(t, pattern), found, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit(""))))
         return F.when(t.rlike(pattern), F.array_join(parts, "")).otherwise(t)
 
     return bind(text, go)
@@ -63,11 +71,13 @@ def no_blocks() -> Column:
     return F.expr("cast(array() as array<struct<kind:string,content:string>>)")
 
 
-def protect(text: Column, blocks: Column, pattern: str, kind: str, block: bool = False) -> tuple[Column, Column]:
-    """P1, P2. Each match gives way to a marker with its running number; (text, blocks) with the matches added."""
+def protect(text: Column, blocks: Column, pattern: str, kind: str, block: bool = False, change: Callable[[Column], Column] | None = None) -> tuple[Column, Column]:
+    """P1, P2. Each match gives way to a marker with its running number, on a line of its own if block; (text, blocks) with
+    the matches added, as change makes them; where that gives null, as they are."""
     first, edge = F.size(blocks), F.lit("\n" if block else "")
     marked = rewrite(text, pattern, lambda m, i: F.concat(edge, F.lit(OPEN), (first + i).cast("string"), F.lit(CLOSE), edge))
-    more = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("content")))
+    content = lambda m: m if change is None else F.coalesce(change(m), m)
+    more = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(kind).alias("kind"), content(m).alias("content")))
     return marked, F.when(text.rlike(pattern), F.concat(blocks, more)).otherwise(blocks)
 
 

@@ -21,12 +21,16 @@ PAGE_NUMBER = r"(?iumd)^ {0,3}(?:[-–—] ?)?(?:(?:стр\.|страница|с
 HEADING, BLOCKQUOTE = r"(?md)^ {0,3}#{1,6}\s+", r"(?md)^ {0,3}>\s?"
 LIST_ITEM, RULE = r"(?md)^ {0,3}(?:[-*+]|\d+\.)\s+", r"(?md)^ {0,3}(?:-{3,}|\*{3,}|_{3,})\s*$"
 ESCAPE, INLINE_CODE, BOLD, STRIKE = r"(?U)\\([^\w\s])", r"`([^`\n]*)`", r"\*\*([^*\n]+)\*\*", r"~~([^~\n]+)~~"
+#: Rows of a table, and the blank lines between and after them; two lines at least.
+TABLE = r"(?md)^[^\n|]*+\|[^\n|]*+\|[^\n]*+$(?:\n(?:[^\n|]*+\|[^\n|]*+\|[^\n]*+|[^\S\n]*+)$)++"
 CELL_SPLIT = r"(?<!\\)\|"
 DATE_DMY = r"\b\d{1,2}[./]\d{1,2}[./]\d{4}\b"
 DATE_NAMED = r"(?U)\b(\d{1,2})\s+([A-Za-zА-Яа-яЁё]+)\s+(\d{4})(?:\s*(?:г\.|года))?\b"
 SCIENTIFIC = r"(?<![0-9A-Za-zА-Яа-яЁё.])(\d+(?:[.,]\d+)?)\s?[·×x]\s?10\s?(?:\^|\*\*)?\s?(-?\d+)(?![0-9A-Za-zА-Яа-яЁё])"
 SCIENTIFIC_E = r"(?<![0-9A-Za-zА-Яа-яЁё.])(\d+(?:[.,]\d+)?)[eE]([+-]?\d{1,3})(?![0-9A-Za-zА-Яа-яЁё])"
 DECIMAL_DOT = r"(?<![0-9A-Za-zА-Яа-яЁё.,])(\d+)\.(\d+)(?![0-9A-Za-zА-Яа-яЁё.])"
+GREEK = ["alpha", "beta", "gamma", "delta", "epsilon", "sigma", "tau", "omega", "theta", "lambda"]
+KEPT_IN_FORMULAS = ["Nb", "Ti", "V", "Mo", "Cr", "Ni", "Cu", "Mn", "Si", "Al", "Ca", "Ta", "Zr", "Hf", "W"]
 CHEMICAL = r"(?:\[[A-Z][a-z]?\]|[A-Z][a-z]?){2,}"
 LETTERS = r"[A-Za-zА-Яа-яЁё][A-Za-zА-Яа-яЁё\-]*"
 ISO_DATE, PLAIN_NUMBER = r"\d{4}-\d{2}-\d{2}", r"[-+]?\d+(?:,\d+)?"

@@ -9,6 +9,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import fixed as V
@@ -113,10 +114,6 @@ def flatten(text: str) -> str:
     return " ".join(parts)
 
 
-#: K1. Rows of a table, and the blank lines between and after them; two lines at least.
-TABLE = r"(?md)^[^\n|]*+\|[^\n|]*+\|[^\n]*+$(?:\n(?:[^\n|]*+\|[^\n|]*+\|[^\n]*+|[^\S\n]*+)$)++"
-
-
 def chunks(df: DataFrame, id_col: str = "source_file", text_col: str = "text", size: int = SIZE, overlap: float = OVERLAP, tokenizer: str | None = None) -> DataFrame:
     """K1-K6. One row per chunk: id_col, chunk_index, tokens, chars, overlap_prev_tokens, text. Math, tables and quantities
     are whole while splitting. tokenizer: a byte-pair encoder's file, for lengths in its tokens. Documents are independent:
@@ -142,7 +139,7 @@ def chunks(df: DataFrame, id_col: str = "source_file", text_col: str = "text", s
         return pd.Series([one(t, b) for t, b in zip(texts, blocks)])
 
     kept = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"), C.no_blocks().alias("b"))
-    for pattern, kind, block in ((V.DISPLAY_MATH, "display_math", True), (V.INLINE_MATH, "inline_math", False), (TABLE, "markdown_table", True), (C.NUMUNIT, "numunit", False)):
+    for pattern, kind, block in ((V.DISPLAY_MATH, "display_math", True), (V.INLINE_MATH, "inline_math", False), (V.TABLE, "markdown_table", True), (C.NUMUNIT, "numunit", False)):
         t, b = C.protect(F.col("t"), F.col("b"), pattern, kind, block)
         kept = kept.select("id", t.alias("t"), b.alias("b"))
     return kept.select(F.col("id").alias(id_col), F.explode(cut("t", "b")).alias("c")).select(id_col, "c.*")
@@ -175,13 +172,13 @@ def char_chunks(df: DataFrame, id_col: str, text_col: str, size: int = 1400, ove
     return df.select(id_col, F.posexplode(cut(F.col(text_col))).alias("chunk_index", "text"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def flattened(s: pd.Series) -> pd.Series:
     """K6 over a column."""
     return s.map(lambda x: flatten(x or ""))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def paragraphs(s: pd.Series) -> pd.Series:
     """K7. What blank lines divide, each flattened."""
     return s.map(lambda x: [f for p in _PARAGRAPH.split(x or "") if (f := flatten(p))])

@@ -105,6 +105,9 @@ def expand_tabs(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x.expandtabs(4) if x and "\t" in x else x)
 
 
+expand_tabs = expand_tabs.asNondeterministic()
+
+
 def whitespace(t: Column) -> Column:
     """C19, C20. Tabs to stops of four, no-break spaces, line ends, runs of three, blank lines, one final newline."""
     t = F.coalesce(expand_tabs(F.when(t.contains("\t"), t)), t)
@@ -113,6 +116,23 @@ def whitespace(t: Column) -> Column:
     return C.bind(C.strip(t), lambda x: F.when(x == "", x).otherwise(F.concat(x, F.lit("\n"))))
 
 
+@F.pandas_udf(T.StringType())
+def _nfc(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None or unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x))
+
+
+def nfc(t: Column) -> Column:
+    """C2. Only texts that are not plain ASCII go through Python."""
+    return F.coalesce(_nfc(F.when(F.octet_length(t) != F.length(t), t)), t)
+
+
+def ocr_fixes(t: Column) -> Column:
+    """C21."""
+    for wrong, right in V.OCR_FIXES.items():
+        t = F.replace(t, F.lit(wrong), F.lit(right))
+    return t
+
+
 class _Grid(HTMLParser):
     """A table's cells by row, with spans spread out."""
 
@@ -264,10 +284,11 @@ def aside(t: Column, cfg: CleanConfig) -> Column:
     """set_aside over a column, for the texts that hold anything for it to do; null for all others."""
     @F.pandas_udf(_ASIDE)
     def run(s: pd.Series) -> pd.DataFrame:
-        rows = [(None, None, None) if x is None else (y, [{"kind": k, "content": c} for k, c in b], list(n.items())) for x in s for y, b, n in [set_aside(x or "", cfg)]]
+        rows = [(None, None, None) if x is None else (y, [{"kind": k, "content": c} for k, c in b], n) for x in s for y, b, n in [set_aside(x or "", cfg)]]
         return pd.DataFrame(rows, columns=["text", "blocks", "found"])
 
-    return run(F.when((F.octet_length(t) != F.length(t)) | t.rlike(r"[$|<\]]|\\[(\[]"), t))
+    # not to be moved into later expressions, where a Python function cannot be
+    return run.asNondeterministic()(F.when((F.octet_length(t) != F.length(t)) | t.rlike(r"[$|<\]]|\\[(\[]"), t))
 
 
 @F.pandas_udf(T.StringType())
@@ -336,10 +357,7 @@ def clean(df: DataFrame, id_col: str = "source_file", text_col: str = "text", cf
         df = step(df, lowercase)
     df = step(df, lambda t: stop_words(t, cfg.stopwords))
     df = step(df, whitespace)
-    whole = C.restore(t, F.col("__blocks"))
-    for wrong, right in V.OCR_FIXES.items():
-        whole = F.replace(whole, F.lit(wrong), F.lit(right))
-    df = step(df, lambda t: whole).withColumn(text_col, F.when((t == "") | t.endswith("\n"), t).otherwise(F.concat(t, F.lit("\n"))))
+    df = step(df, lambda t: ocr_fixes(C.restore(t, F.col("__blocks")))).withColumn(text_col, F.when((t == "") | t.endswith("\n"), t).otherwise(F.concat(t, F.lit("\n"))))
     if counts_col:
         flat = [x for name, n in [*counted, ("chars_after", F.length(t))] for x in (F.lit(name), n)]
         all_counts = F.map_concat(F.create_map(*flat), F.coalesce("__aside.found", F.expr("cast(map() as map<string,int>)")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -26,7 +26,7 @@ def dates(t: Column) -> Column:
         month = C.lookup({k: f"{v:02d}" for k, v in V.MONTHS.items()}, F.lower(g[1]))
         return F.coalesce(F.date_format(F.try_to_timestamp(F.concat(g[2], F.lit("-"), month, F.lit("-"), F.lpad(g[0], 2, "0")), F.lit("yyyy-MM-dd")), "yyyy-MM-dd"), m)
 
-    return C.rewrite(C.rewrite(t, V.DATE_DMY, dmy), V.DATE_NAMED, named)
+    return C.rewrite(C.rewrite(t, C.DIGIT + V.DATE_DMY, dmy), C.DIGIT + V.DATE_NAMED, named)
 
 
 def scientific(t: Column) -> Column:
@@ -34,12 +34,12 @@ def scientific(t: Column) -> Column:
     def power(pattern):
         return lambda m, _: C.number_text(C.number_of(F.regexp_extract(m, pattern, 1)) * F.pow(F.lit(10.0), F.regexp_extract(m, pattern, 2).cast("int")))
 
-    return C.rewrite(C.rewrite(t, V.SCIENTIFIC, power(V.SCIENTIFIC)), V.SCIENTIFIC_E, power(V.SCIENTIFIC_E))
+    return C.rewrite(C.rewrite(t, C.DIGIT + V.SCIENTIFIC, power(V.SCIENTIFIC)), C.DIGIT + V.SCIENTIFIC_E, power(V.SCIENTIFIC_E))
 
 
 def decimal_dots(t: Column) -> Column:
     """N11. Decimal dot to comma, but not in versions, addresses and dates."""
-    return F.regexp_replace(t, V.DECIMAL_DOT, "$1,$2")
+    return F.regexp_replace(t, C.DIGIT + V.DECIMAL_DOT, "$1,$2")
 
 
 def in_si(value: Column, unit: Column) -> Column:
@@ -48,33 +48,50 @@ def in_si(value: Column, unit: Column) -> Column:
 
 
 def units(t: Column, safe: bool = False) -> Column:
-    """N13, N14. Number and unit to SI; units alone to their SI symbol. safe leaves a unit alone that follows a range."""
-    def quantity(m, _):
-        unit = F.regexp_extract(m, C.NUMUNIT, 2)
-        return F.concat_ws(" ", C.number_text(F.round(in_si(C.number_of(F.regexp_extract(m, C.NUMUNIT, 1)), unit), 12)), C.lookup(_SYMBOL, unit))
-
+    """N13, N14. Number and unit to SI; units alone to their SI symbol. safe leaves a unit alone that follows a range.
+    SI symbols are their own, so one pass does both, but where a power (`m**2`) stands whose digit may count as a number."""
     alone = r"(?<!\d\s)(?<!\d)" + C.UNIT_ALONE if safe else C.UNIT_ALONE
-    done = rf"-?\d+(?:,\d+)?(?:e[+-]\d+)? (?:{C.alternation(sorted(set(_SYMBOL.values())))})(?![0-9A-Za-zА-Яа-яЁё])"
 
-    def lone(x):
-        marked, kept = C.protect(x, C.no_blocks(), done, "quantity")
-        return C.restore(C.rewrite(marked, alone, lambda m, _: C.lookup(_SYMBOL, m)), kept)
+    def quantity(m):
+        number = F.regexp_extract(m, r"^-?\d+(?:[.,]\d+)?", 0)
+        return C.bind(F.struct(C.number_of(number).alias("n"), C.strip(F.substring(m, F.length(number) + 1, F.length(m))).alias("u")), lambda x: F.concat_ws(" ", C.number_text(F.round(in_si(x["n"], x["u"]), 12)), C.lookup(_SYMBOL, x["u"])))
 
-    return C.bind(C.rewrite(t, C.NUMUNIT, quantity), lambda x: F.when(x.rlike(C.UNIT_ALONE), lone(x)).otherwise(x))
+    either = lambda m, _: F.when(m.rlike(r"^-?\d"), quantity(m)).otherwise(C.lookup(_SYMBOL, m))
+    twice = lambda x: C.rewrite(C.rewrite(x, C.NUMUNIT, lambda m, _: quantity(m)), alone, lambda m, _: C.lookup(_SYMBOL, m))
+    return C.bind(t, lambda x: F.when(x.contains("**"), twice(x)).otherwise(C.rewrite(x, f"{C.NUMUNIT}|{alone}", either)))
 
 
 def abbreviations(t: Column, table: dict[str, str] = V.ABBREVIATIONS) -> Column:
-    """N15. In the table's order, whole words only."""
-    for word, short in table.items():
-        t = F.regexp_replace(t, rf"(?U)(?<!\w){C.java(word)}(?!\w)", short)
-    return t
+    """N15. In the table's order, whole words only; a text without any of the words is left at once."""
+    def change(x):
+        some, done = F.lit(False), x
+        for word, short in table.items():
+            some, done = some | x.contains(word), F.regexp_replace(done, rf"(?U){C.firsts([word])}(?<!\w){C.java(word)}(?!\w)", short)
+        return F.when(some, done).otherwise(x)
+
+    return C.bind(t, change) if table else t
+
+
+def formula(m: Column, canonical: Callable[[Column], Column]) -> Column:
+    """N1. A formula with its inside as the plug-in has it; as it was where it is chemical, or where the result is null or
+    blank or lacks an element's symbol or a Greek letter that was there."""
+    n = F.when(m.startswith("$$") | m.startswith("\\[") | m.startswith("\\("), 2).otherwise(1)
+    inner = lambda x: F.substring(x, n + 1, F.length(x) - 2 * n)
+
+    def judged(x):
+        lost = F.lit(False)
+        for s in (*V.KEPT_IN_FORMULAS, *(f"\\{g}" for g in V.GREEK)):
+            lost = lost | (x["was"].contains(s) & ~x["new"].contains(s))
+        return F.when(x["new"].isNull() | (C.strip(x["new"]) == "") | lost, m).otherwise(F.concat(F.left(m, n), x["new"], F.right(m, n)))
+
+    return F.when(m.rlike(V.CHEMICAL), m).otherwise(C.bind(F.struct(inner(m).alias("was"), canonical(inner(m)).alias("new")), judged))
 
 
 def formulas(t: Column, canonical: Callable[[Column], Column] | None = None) -> Column:
-    """N1. Each formula through the plug-in, unless it is chemical or the result is blank; identity without one."""
+    """N1. Each formula of a text; identity without a plug-in."""
     if canonical is None:
         return t
-    return C.rewrite(t, V.FORMULA, lambda m, _: F.when(m.rlike(V.CHEMICAL), m).otherwise(F.coalesce(F.nullif(canonical(m), F.lit("")), m)))
+    return C.rewrite(C.rewrite(t, V.DISPLAY_MATH, lambda m, _: formula(m, canonical)), V.INLINE_MATH, lambda m, _: formula(m, canonical))
 
 
 def lemmas(t: Column, lemma: Callable[[Column], Column] | None = None, terms=tuple(V.TERMS)) -> Column:
@@ -91,49 +108,82 @@ def lemmas(t: Column, lemma: Callable[[Column], Column] | None = None, terms=tup
 
 
 def cell(raw: Column) -> Column:
-    """N4-N6. A table cell as struct<kind, num, str, unit>: quantity, number, date or text; null if empty."""
+    """N4-N6. A table cell as struct<kind, num, str, unit, display>: quantity, number, date or text; null if empty."""
     q = "^(?:" + C.NUMUNIT + ")$"
-    make = lambda kind, num, text, u: F.struct(F.lit(kind).alias("kind"), num.alias("num"), text.alias("str"), u.alias("unit"))
+    make = lambda kind, num, text, u, show: F.struct(F.lit(kind).alias("kind"), num.alias("num"), text.alias("str"), u.alias("unit"), show.alias("display"))
     none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
 
     def typed(x):
         t, n, unit = x["t"], x["n"], F.regexp_extract(x["n"], C.NUMUNIT, 2)
+        amount, symbol = in_si(C.number_of(F.regexp_extract(n, C.NUMUNIT, 1)), unit), C.lookup(_SYMBOL, unit)
         return (
             F.when(t == "", F.lit(None))
-            .when(n.rlike(q), make("quantity", in_si(C.number_of(F.regexp_extract(n, C.NUMUNIT, 1)), unit), blank, C.lookup(_SYMBOL, unit)))
-            .when(n.rlike(f"^(?:{V.PLAIN_NUMBER})$"), make("number", C.number_of(n), blank, blank))
-            .when(t.rlike(f"^(?:{V.ISO_DATE})$"), make("date", none, t, blank))
-            .otherwise(make("text", none, units(n), blank))
+            .when(n.rlike(q), make("quantity", amount, blank, symbol, F.concat_ws(" ", C.number_text(F.round(amount, 12)), symbol)))
+            .when(n.rlike(f"^(?:{V.PLAIN_NUMBER})$"), make("number", C.number_of(n), blank, blank, n))
+            .when(t.rlike(f"^(?:{V.ISO_DATE})$"), make("date", none, t, blank, t))
+            .otherwise(C.bind(C.strip(units(n)), lambda y: make("text", none, y, blank, y)))
         )
 
     return C.bind(C.bind(scientific(dates(C.strip(raw))), lambda t: F.struct(t.alias("t"), decimal_dots(t).alias("n"))), typed)
 
 
+def table_parts(block: Column) -> Column:
+    """N3. A block as struct<head: array<string>, names: array<string>, body: array<array<cell>>>: the first row before the
+    first separator is the header (without a separator, the first row), rows are padded to the widest; names that are blank
+    or taken get the column's number."""
+    text = lambda c: F.coalesce(c["display"], F.lit(""))
+    none = F.expr("cast(array() as array<string>)")
+
+    def split(lines):
+        at = F.array_position(F.transform(lines, C.is_separator), F.lit(True)).cast("int")
+        rows = lambda x: F.transform(F.filter(x, lambda y: ~C.is_separator(y)), C.cells)
+        head = F.when(at == 1, none).otherwise(C.cells(F.element_at(lines, 1)))
+        body = rows(F.slice(lines, F.greatest(at, F.lit(1)) + 1, F.size(lines)))
+        return F.struct(head.alias("head"), body.alias("body"), F.array_max(F.transform(lines, lambda y: F.size(C.cells(y)))).alias("most"))
+
+    def padded(p):
+        head = F.when(F.size(p["head"]) > 0, p["head"]).otherwise(F.transform(F.sequence(F.lit(0), p["most"] - 1), lambda k: F.concat(F.lit("col_"), k.cast("string"))))
+        return C.bind(F.struct(head.alias("head"), p["body"].alias("body")), lambda x: C.bind(F.greatest(F.size(x["head"]), F.coalesce(F.array_max(F.transform(x["body"], F.size)), F.lit(0))), lambda w: F.struct(
+            F.transform(F.concat(x["head"], F.array_repeat(F.lit(""), w - F.size(x["head"]))), lambda c: text(cell(c))).alias("head"),
+            F.transform(x["body"], lambda r: F.transform(F.concat(r, F.array_repeat(F.lit(""), w - F.size(r))), cell)).alias("body"),
+        )))
+
+    def named(x):
+        column = lambda h, k: F.when(h == "", F.concat(F.lit("col_"), k.cast("string"))).otherwise(h)
+        pairs = F.transform(x["head"], lambda h, k: F.struct(column(h, k).alias("n"), k.cast("string").alias("k")))
+        names = F.aggregate(pairs, none, lambda acc, y: F.concat(acc, F.array(F.when(F.array_contains(acc, y["n"]), F.concat_ws("_", y["n"], y["k"])).otherwise(y["n"]))))
+        return F.struct(x["head"].alias("head"), names.alias("names"), x["body"].alias("body"))
+
+    return C.bind(C.bind(C.bind(F.filter(F.transform(F.split(block, "\n", -1), C.strip), lambda x: x != ""), split), padded), named)
+
+
+def table_text(block: Column) -> Column:
+    """N3. A block as a Markdown table of normalized cells. A pipe in a cell keeps its backslash."""
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(F.transform(cells, lambda c: F.replace(c, F.lit("|"), F.lit("\\|"))), " | "), F.lit(" |"))
+    rows = lambda x: F.transform(x["body"], lambda r: line(F.transform(r, lambda c: F.coalesce(c["display"], F.lit("")))))
+    return C.bind(table_parts(block), lambda x: F.array_join(F.concat(F.array(line(x["head"]), line(F.transform(x["head"], lambda _: F.lit("---")))), rows(x)), "\n"))
+
+
 def table_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """N2. Lines of Markdown tables: id_col, table_index, line_no, line. Gaps and islands over a document's rows: lines
-    with two pipes make one block, blank lines don't break it, and a block has two rows or more."""
-    lines = df.select(id_col, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line")).filter(C.strip(F.col("line")) != "")
-    w = Window.partitionBy(id_col).orderBy("line_no")
-    lines = lines.withColumn("row", C.is_table_row(F.col("line"))).withColumn("start", F.col("row") & ~F.coalesce(F.lag("row").over(w), F.lit(False)))
-    lines = lines.withColumn("block", F.sum(F.col("start").cast("int")).over(w)).filter("row")
-    big = lines.withColumn("n", F.count("*").over(Window.partitionBy(id_col, "block"))).filter("n >= 2")
-    return big.select(id_col, (F.dense_rank().over(Window.partitionBy(id_col).orderBy("block")) - 1).alias("table_index"), "line_no", "line")
+    """N2. Markdown tables: id_col, table_index, block, and b, the formulas that the markers in them stand for. A block is
+    rows, with the blank lines between and after them, of two lines or more. Nothing is shuffled."""
+    t, b = F.coalesce(F.col(text_col), F.lit("")), C.no_blocks()
+    df = df.select(F.col(id_col).alias("id"), t.alias("t"), b.alias("b"))
+    for pattern, kind, own in ((V.DISPLAY_MATH, "display_math", True), (V.INLINE_MATH, "inline_math", False)):
+        t, b = C.protect(F.col("t"), F.col("b"), pattern, kind, own)
+        df = df.select("id", t.alias("t"), b.alias("b"))
+    found = F.posexplode(F.regexp_extract_all("t", F.lit(V.TABLE), F.lit(0))).alias("table_index", "block")
+    return df.select(F.col("id").alias(id_col), found, "b")
 
 
 def table_cells(blocks: DataFrame, id_col: str) -> DataFrame:
-    """N3. Long form: id_col, table_index, row, col, name, kind, num, str, unit. The first row before the separator is the
-    header; names that are blank or taken get the column's number."""
-    w = Window.partitionBy(id_col, "table_index")
-    b = blocks.withColumn("sep", C.is_separator(F.col("line")))
-    b = b.withColumn("first_sep", F.min(F.when(F.col("sep"), F.col("line_no"))).over(w)).withColumn("head_no", F.min("line_no").over(w))
-    body = b.filter("!sep and line_no > coalesce(first_sep, head_no)")
-    head = b.filter("line_no = head_no").select(id_col, "table_index", F.posexplode(C.cells(F.col("line"))).alias("col", "raw"))
-    head = head.withColumn("raw", F.when(F.col("raw") == "", F.concat(F.lit("col_"), F.col("col"))).otherwise(F.col("raw")))
-    n = F.row_number().over(Window.partitionBy(id_col, "table_index", "raw").orderBy("col"))
-    head = head.select(id_col, "table_index", "col", F.when(n == 1, F.col("raw")).otherwise(F.concat_ws("_", "raw", "col")).alias("name"))
-    row = (F.row_number().over(Window.partitionBy(id_col, "table_index").orderBy("line_no")) - 1).alias("row")
-    flat = body.select(id_col, "table_index", row, "line").select(id_col, "table_index", "row", F.posexplode(C.cells(F.col("line"))).alias("col", "raw"))
-    return flat.join(head, [id_col, "table_index", "col"]).withColumn("c", cell(F.col("raw"))).select(id_col, "table_index", "row", "col", "name", "c.kind", "c.num", "c.str", "c.unit")
+    """N3, N17. Long form: id_col, table_index, row, col, name, kind, num, str, unit, formulas back in names and texts; cells
+    that are empty or that a short row lacks have a null kind. Nothing is shuffled."""
+    t = blocks.select(id_col, "table_index", "b", table_parts(F.col("block")).alias("t"))
+    rows = t.select(id_col, "table_index", "b", "t.names", F.posexplode("t.body").alias("row", "cells"))
+    flat = rows.select(id_col, "table_index", "b", "row", F.posexplode(F.arrays_zip("names", "cells")).alias("col", "x"))
+    back = lambda c: C.restore(c, F.col("b"))
+    return flat.select(id_col, "table_index", "row", "col", back(F.col("x.names")).alias("name"), "x.cells.kind", "x.cells.num", back(F.col("x.cells.str")).alias("str"), "x.cells.unit")
 
 
 def table_columns(cells_df: DataFrame, id_col: str) -> DataFrame:
@@ -145,17 +195,24 @@ def table_columns(cells_df: DataFrame, id_col: str) -> DataFrame:
 
 
 def table_records(cells_df: DataFrame, id_col: str) -> DataFrame:
-    """N3, N17. id_col, table_index, rows: array<map<name, value>>."""
+    """N3, N17. id_col, table_index, n_columns, rows: array<map<name, value>>, where numbers are in SI and empty cells null."""
     value = F.coalesce("str", F.concat_ws(" ", C.number_text(F.col("num")), "unit"))
-    row = cells_df.filter("kind is not null").groupBy(id_col, "table_index", "row").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", value.alias("value"))))).alias("r"))
-    return row.groupBy(id_col, "table_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("row", F.map_entries("r").alias("e")))), lambda x: F.map_from_entries(x["e"])).alias("rows"))
-
-
-def normalize(df: DataFrame, text_col: str = "text", safe_units: bool = False, lemma=None, canonical=None) -> DataFrame:
-    """Formulas, dates, scientific numbers, decimal dots, units, abbreviations and lemmas, formulas set aside."""
-    df = df.withColumn(text_col, formulas(F.col(text_col), canonical))
-    t, b = C.protect(F.col(text_col), C.no_blocks(), V.FORMULA, "formula")
-    df = df.select(*[c for c in df.columns if c != text_col], t.alias(text_col), b.alias("__blocks"))
+    value = F.when(F.col("kind").isNotNull(), value)
+    row = cells_df.groupBy(id_col, "table_index", "row").agg(F.array_sort(F.collect_list(F.struct("col", "name", value.alias("value")))).alias("e"))
+    row = row.select(id_col, "table_index", "row", F.size("e").alias("n"), F.map_from_entries(F.transform("e", lambda x: F.struct(x["name"], x["value"]))).alias("r"))
+    return row.groupBy(id_col, "table_index").agg(F.max("n").alias("n_columns"), F.transform(F.array_sort(F.collect_list(F.struct("row", F.map_entries("r").alias("e")))), lambda x: F.map_from_entries(x["e"])).alias("rows"))
+
+
+def normalize(df: DataFrame, text_col: str = "text", safe_units: bool = False, lemma=None, canonical=None, tables: bool = True) -> DataFrame:
+    """Dates, scientific numbers, decimal dots, units, abbreviations and lemmas, with formulas (through the plug-in) and
+    tables (cell by cell) set aside as blocks."""
+    change = None if canonical is None else lambda m: formula(m, canonical)
+    steps = [(V.DISPLAY_MATH, "display_math", True, change), (V.INLINE_MATH, "inline_math", False, change)] + ([(V.TABLE, "markdown_table", True, table_text)] if tables else [])
+    df = df.withColumn("__blocks", C.no_blocks()).withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
+    for pattern, kind, block, how in steps:
+        t, b = C.protect(F.col(text_col), F.col("__blocks"), pattern, kind, block, how)
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in (text_col, "__blocks")], t.alias(text_col), b.alias("__blocks"))
     for f in (dates, scientific, decimal_dots, lambda x: units(x, safe_units), abbreviations, lambda x: lemmas(x, lemma)):
         df = df.withColumn(text_col, f(F.col(text_col)))
-    return df.withColumn(text_col, C.restore(F.col(text_col), F.col("__blocks"))).drop("__blocks")
+    t = F.col(text_col)
+    return df.withColumn(text_col, C.restore(t, F.col("__blocks"))).withColumn(text_col, F.when((t == "") | t.endswith("\n"), t).otherwise(F.concat(t, F.lit("\n")))).drop("__blocks")

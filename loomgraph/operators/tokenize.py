@@ -1,9 +1,15 @@
-"""Tokenization (T1-T13, but for T8's pieces, T9's trees and T13's fragments): tables, formulas, quantities and terms to markers, sentences, tokens, vocabulary checks. Native."""
+"""Tokenization (T1-T13): tables, formulas, quantities and terms to markers, sentences, tokens, vocabulary checks. Native, but
+for an encoder's pieces (Arrow UDFs); formulas' trees are a plug-in."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import fixed as V
@@ -15,32 +21,44 @@ def mask(text: Column, pattern: str, name: str, first: Column | None = None) ->
     return C.rewrite(text, pattern, lambda m, i: F.concat(F.lit(f"[{name}_"), (first + i).cast("string"), F.lit("]"))), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def term_patterns(terms) -> list[str]:
+def terms_in_order(terms) -> list[str]:
     """Longest first, and in their given order among equals."""
-    return [rf"(?<![\w-]){C.java(t)}(?![\w-])" for _, _, t in sorted((-len(t), k, t) for k, t in enumerate(dict.fromkeys(terms)))]
+    return [t for _, _, t in sorted((-len(t), k, t) for k, t in enumerate(dict.fromkeys(terms)))]
 
 
 def mask_terms(text: Column, terms=tuple(V.TERMS)) -> tuple[Column, Column]:
-    """T5. Terms to `[ABBREV_i]`, one after the other, numbered by term and then by place. As the fold is over constants,
-    the state (text, found) runs through an array of the terms that the text has at all."""
-    names = [t for _, _, t in sorted((-len(t), k, t) for k, t in enumerate(dict.fromkeys(terms)))]
-    # one pass finds the candidates; longer terms come first in the alternation, so each place has the term that masks it
-    found = F.regexp_extract_all(text, F.lit(rf"(?U)(?<![\w-])(?:{'|'.join(C.java(t) for t in names)})(?![\w-])"), F.lit(0))
+    """T5. Terms to `[ABBREV_i]`, one after the other, numbered by term and then by place. One pass finds them all: longer
+    terms come first in the alternation, so each place has the term that masks it."""
+    names = terms_in_order(terms)
+    if not names:
+        return text, F.expr("cast(array() as array<string>)")
+    pattern = rf"{C.firsts(names)}(?U)(?<![\w-])(?:{'|'.join(C.java(t) for t in names)})(?![\w-])"
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     ranked = F.array_sort(F.transform(found, lambda t, i: F.struct(C.lookup({t: k for k, t in enumerate(names)}, t).alias("k"), i.alias("i"), t.alias("t"))))
-    number = F.map_from_entries(F.transform(ranked, lambda x, n: F.struct(x["i"], n)))
-    marked = C.rewrite(text, rf"(?U)(?<![\w-])(?:{'|'.join(C.java(t) for t in names)})(?![\w-])", lambda m, i: F.concat(F.lit("[ABBREV_"), F.element_at(number, i).cast("string"), F.lit("]")))
-    return marked, F.transform(ranked, lambda x: x["t"])
+
+    def marked(number):
+        return C.rewrite(text, pattern, lambda m, i: F.concat(F.lit("[ABBREV_"), F.element_at(number, i + 1).cast("string"), F.lit("]")))
+
+    # places in the order of their numbers, turned into the numbers in the order of their places
+    numbers = lambda r: F.transform(F.array_sort(F.transform(r, lambda x, n: F.struct(x["i"].alias("i"), n.alias("n")))), lambda x: x["n"])
+    return F.when(text.rlike(pattern), C.bind(numbers(ranked), marked)).otherwise(text), F.transform(ranked, lambda x: x["t"])
 
 
 def extract_tables(text: Column) -> tuple[Column, Column]:
-    """T1. Blocks of two or more rows to `[TABLE_i]`; other lines are stripped; text outside the outer pipes becomes lines
-    of its own. (text, tables)."""
-    apart = F.regexp_replace(text, r"(?md)^([^|\n]*[^|\s][^|\n]*?)(\|[^\n]*\|)", "$1\n$2")
-    apart = F.regexp_replace(apart, r"(?md)(\|[^\n]*\|)([^|\n]*[^|\s][^|\n]*)$", "$1\n$2")
-    lines = F.transform(F.split(apart, "\n", -1), C.strip)
-    flat = F.array_join(F.filter(lines, lambda x: x != ""), "\n")
-    pattern = r"(?md)(?:^\|?[^|\n]*\|[^\n]*\|[^|\n]*(?:\n|\z)){2,}"
-    return C.rewrite(flat, pattern, lambda m, i: F.concat(F.lit("[TABLE_"), i.cast("string"), F.lit("]\n"))), F.transform(F.regexp_extract_all(flat, F.lit(pattern), F.lit(0)), C.strip)
+    """T1. Blocks of two or more rows to `[TABLE_i]`; a blank line ends a block; other lines are stripped, blank ones go; text
+    outside the outer pipes becomes lines of its own. (text, tables)."""
+    before, after = r"(?md)^([^\S\n]*+[^|\s][^|\n]*+)(?=\|[^|\n]*+\|)", r"(?md)(\|[^|\n]*+\|)([^\S\n]*+[^|\s][^|\n]*+)$"
+    apart = lambda t: F.regexp_replace(F.regexp_replace(t, before, "$1\n"), after, "$1\n$2")
+    lines = F.array_join(F.transform(F.split(C.bind(text, lambda t: F.when(t.contains("|"), apart(t)).otherwise(t)), "\n", -1), C.strip), "\n")
+    pattern = r"(?md)(?:^[^|\n]*+\|[^|\n]*+\|[^\n]*+(?:\n|\z)){2,}+"
+
+    def done(t):
+        marked = F.when(t.contains("|"), C.rewrite(t, pattern, lambda m, i: F.concat(F.lit("[TABLE_"), i.cast("string"), F.lit("]\n")))).otherwise(t)
+        found = F.when(t.contains("|"), F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), C.strip)).otherwise(F.expr("cast(array() as array<string>)"))
+        return F.struct(F.btrim(F.regexp_replace(marked, "\n{2,}", "\n"), F.lit("\n")).alias("text"), found.alias("tables"))
+
+    x = C.bind(lines, done)
+    return x["text"], x["tables"]
 
 
 def global_index(df: DataFrame, id_col: str, order_col: str, count_col: str) -> DataFrame:
@@ -66,38 +84,117 @@ def bare_formula(f: Column) -> Column:
     return C.strip(F.substring(f, n + 1, F.length(f) - 2 * n))
 
 
-def formula_tokens(f: Column, mode: str = "latex_aware") -> Column:
-    """T9. single: null; latex_aware: commands, names, numbers, signs; no other mode."""
-    if mode not in ("single", "latex_aware"):
+def formula_tokens(f: Column, mode: str = "latex_aware", tree: Callable[[Column], Column] | None = None) -> Column:
+    """T9. single: null; latex_aware: commands, names, numbers, signs; ast: the plug-in's node names in preorder, null where
+    it has none or there is no plug-in; another mode is an error."""
+    if mode not in ("single", "latex_aware", "ast"):
         raise ValueError(f"no such mode of formula tokens: {mode}")
-    return F.lit(None).cast("array<string>") if mode == "single" else F.regexp_extract_all(bare_formula(f), F.lit(V.LATEX), F.lit(0))
+    if mode == "latex_aware":
+        return F.regexp_extract_all(bare_formula(f), F.lit(V.LATEX), F.lit(0))
+    none = F.lit(None).cast("array<string>")
+    return none if mode == "single" or tree is None else tree(bare_formula(f))
+
+
+class Pieces:
+    """T8. An encoder from a file (JSON of the tokenizers library): a text's pieces, and what they decode to."""
+
+    KNOWN: dict = {}
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.encoder, self.names = Tokenizer.from_file(path), {}
+        self.encoder.encode_special_tokens = True
+
+    @classmethod
+    def of(cls, path: str) -> Pieces:
+        if path not in cls.KNOWN:  # a worker keeps it from task to task
+            cls.KNOWN[path] = cls(path)
+        return cls.KNOWN[path]
+
+    def ids(self, text: str) -> list[int]:
+        return self.encoder.encode(text, add_special_tokens=False).ids
+
+    def name(self, i: int) -> str:
+        if i not in self.names:
+            self.names[i] = self.encoder.decode([i], skip_special_tokens=False)
+        return self.names[i]
+
+    def __call__(self, sentence: str) -> tuple[list[str], str]:
+        """Pieces of a sentence, its markers whole, and the sentence put together again from them."""
+        out, back, at = [], [], 0
+        for m in [*re.finditer(V.SPECIAL, sentence), None]:
+            plain = sentence[at : m.start() if m else len(sentence)]
+            ids = self.ids(plain) if plain.strip() else []
+            out += map(self.name, ids)
+            back.append(self.encoder.decode(ids, skip_special_tokens=False) if ids else plain)
+            if m:
+                out.append(m[0]), back.append(m[0])
+                at = m.end()
+        return out, "".join(back)
+
+
+def pieces(sentences_col: Column, tokenizer: str) -> Column:
+    """T7, T8. struct<tokens, back> of sentences by an encoder: their pieces, and the sentences decoded again."""
+    @F.pandas_udf(T.StructType([T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("back", T.ArrayType(T.StringType()))]))
+    def run(s: pd.Series) -> pd.DataFrame:
+        of = Pieces.of(tokenizer)
+        rows = [list(map(of, x)) for x in s]
+        return pd.DataFrame({"tokens": [[t for ts, _ in r for t in ts] for r in rows], "back": [[b for _, b in r] for r in rows]})
+
+    return run(sentences_col)
 
 
 def unmask(text: Column, name: str, items: Column) -> Column:
-    """T11. Markers of one kind back to their text."""
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1))), text, lambda t, i: F.coalesce(F.replace(t, F.concat(F.lit(f"[{name}_"), (i - 1).cast("string"), F.lit("]")), F.try_element_at(items, i)), t))
+    """T11. Markers of one kind back to their text, all in one pass; unknown ones stay."""
+    return C.rewrite(text, rf"\[{name}_\d+\]", lambda m, _: F.coalesce(F.try_element_at(items, F.regexp_extract(m, r"\d+", 0).cast("int") + 1), m))
 
 
-def tokenize(chunked: DataFrame, id_col: str = "source_file", terms=tuple(V.TERMS)) -> DataFrame:
-    """T1-T12. id_col, chunk_index, tokens, token_count, sentences, the four registries, round_trip."""
+def tokenize(chunked: DataFrame, id_col: str = "source_file", terms=tuple(V.TERMS), formula_mode: str = "latex_aware", tree=None, tokenizer: str | None = None) -> DataFrame:
+    """T1-T12. id_col, chunk_index, tokens, token_count, sentences, the four registries, round_trip. Words are tokens, or an
+    encoder's pieces where tokenizer names its file; a formula's tokens take the place of its marker."""
     def step(df, mark, col):
         t, found = mark(F.col("m"))
         return df.select(*[c for c in df.columns if c != "m"], t.alias("m"), found.alias(col))
 
-    df = chunked.select(id_col, "chunk_index", F.col("text").alias("m"))
+    df = chunked.select(id_col, "chunk_index", "text", F.col("text").alias("m"))
     df = step(df, extract_tables, "tables")
-    df = df.withColumn("plain", F.col("m"))
-    df = step(df, lambda t: mask(t, V.FORMULA, "FORMULA"), "formulas")
+    df = step(df, lambda t: mask(t, V.DISPLAY_MATH, "FORMULA"), "display")
+    df = step(df, lambda t: mask(t, V.INLINE_MATH, "FORMULA", F.size("display")), "inline")
+    df = df.withColumn("formulas", F.concat("display", "inline")).drop("display", "inline")
     df = step(df, lambda t: mask(t, C.NUMUNIT, "NUMUNIT"), "numunits")
     df = step(df, lambda t: mask_terms(t, terms), "abbreviations")
     df = global_index(df.withColumn("n_tables", F.size("tables")), id_col, "chunk_index", "n_tables")
-    said = sentences(F.col("m"))
-    back = unmask(unmask(unmask(F.array_join(said, " "), "ABBREV", F.col("abbreviations")), "NUMUNIT", F.col("numunits")), "FORMULA", F.col("formulas"))
-    toks = F.flatten(F.transform(said, words))
-    return df.select(id_col, "chunk_index", toks.alias("tokens"), F.size(toks).alias("token_count"), said.alias("sentences"), "tables", "first_table", "formulas", F.transform("formulas", lambda f: formula_tokens(f)).alias("formula_tokens"), "numunits", "abbreviations", (C.squeeze(back) == C.squeeze(F.col("plain"))).alias("round_trip"))
-
-
-def vocabulary_check(tokens: DataFrame, known: DataFrame, terms=tuple(V.TERMS)) -> DataFrame:
-    """T13, A7. Distinct words of three characters or more that aren't terms, and how many of them `known` (word) lacks."""
+    df = df.withColumn("sentences", sentences(F.col("m"))).withColumn("formula_tokens", F.transform("formulas", lambda f: formula_tokens(f, formula_mode, tree)))
+    if tokenizer:
+        df = df.withColumn("p", pieces(F.col("sentences"), tokenizer)).withColumn("flat", F.col("p.tokens")).withColumn("back", F.array_join("p.back", " "))
+    else:
+        df = df.withColumn("flat", F.flatten(F.transform("sentences", words))).withColumn("back", F.array_join("sentences", " "))
+    spread = lambda t: F.coalesce(F.when(t.rlike(r"^\[FORMULA_\d+\]$"), F.try_element_at("formula_tokens", F.regexp_extract(t, r"\d+", 0).cast("int") + 1)), F.array(t))
+    toks = F.when(F.size("formulas") > 0, F.flatten(F.transform("flat", lambda t: C.bind(spread(t), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(t)))))).otherwise(F.col("flat"))
+    back = F.col("back")
+    for name, col in (("ABBREV", "abbreviations"), ("NUMUNIT", "numunits"), ("FORMULA", "formulas"), ("TABLE", "tables")):
+        back = unmask(back, name, F.col(col))
+    df = df.withColumn("toks", toks).withColumn("round_trip", C.squeeze(back) == C.squeeze(F.col("text")))
+    return df.select(id_col, "chunk_index", F.col("toks").alias("tokens"), F.size("toks").alias("token_count"), "sentences", "tables", "first_table", "formulas", "formula_tokens", "numunits", "abbreviations", "round_trip")
+
+
+def vocabulary_check(tokens: DataFrame, known: DataFrame | None, terms=tuple(V.TERMS), tokenizer: str | None = None) -> DataFrame:
+    """T13, A7. Distinct words of three characters or more that aren't terms; with `known` (word), how many of them it lacks;
+    with an encoder's file, how many have several pieces (fragmented) and how many a piece that is no text by itself
+    (byte_fallback)."""
     w = tokens.select(F.explode("tokens").alias("word")).filter((F.length("word") >= 3) & ~F.col("word").isin(list(terms)) & ~F.col("word").startswith("[")).distinct()
-    return w.join(known.select("word", F.lit(1).alias("k")).distinct(), "word", "left").agg(F.count("*").alias("words"), F.count_if(F.col("k").isNull()).alias("unknown"))
+    counts = [F.count("*").alias("words")]
+    if known is not None:
+        w = w.join(known.select("word", F.lit(1).alias("k")).distinct(), "word", "left")
+        counts.append(F.count_if(F.col("k").isNull()).alias("unknown"))
+    if tokenizer:
+        @F.pandas_udf(T.StructType([T.StructField("n", T.IntegerType()), T.StructField("dirty", T.BooleanType())]))
+        def judge(s: pd.Series) -> pd.DataFrame:
+            of = Pieces.of(tokenizer)
+            ids = [of.ids(x) for x in s]
+            return pd.DataFrame({"n": list(map(len, ids)), "dirty": [any("\ufffd" in of.name(i) for i in x) for x in ids]})
+
+        w = w.withColumn("p", judge("word"))
+        counts += [F.count_if(F.col("p.n") > 1).alias("fragmented"), F.count_if("p.dirty").alias("byte_fallback")]
+    return w.agg(*counts)

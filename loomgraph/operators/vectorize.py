@@ -21,45 +21,65 @@ def text_tokens(t: Column) -> Column:
     return F.regexp_extract_all(t, F.lit(f"{V.FORMULA}|{V.VECTOR_WORD}"), F.lit(0))
 
 
-def _counts(tokens: DataFrame, doc: str, unit: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """tokens: (doc, unit, pos, token). Term counts, vocabulary (ids by first occurrence, df), sizes; all within a document."""
-    tf = tokens.groupBy(doc, unit, "token").agg(F.count("*").alias("tf"), F.min("pos").alias("pos"))
-    vocab = tf.groupBy(doc, "token").agg(F.count("*").alias("df"), F.min(F.struct(unit, "pos")).alias("first"))
-    vocab = vocab.withColumn("id", F.row_number().over(Window.partitionBy(doc).orderBy("first")) - 1)
-    size = tf.groupBy(doc, unit).agg(F.sum("tf").alias("len"))
-    return tf, vocab, size
-
-
-def sparse(tokens: DataFrame, doc: str = "source_file", unit: str = "chunk_index", method: str = "tfidf") -> DataFrame:
-    """V13, V14, A6. doc, unit, token, id, value (6 decimals). Vocabulary, df and n are per document, so every join has the
-    document in its key and one shuffle by it serves them all."""
-    tf, vocab, size = _counts(tokens, doc, unit)
-    n = size.groupBy(doc).agg(F.count("*").alias("n"), F.avg("len").alias("avg"))
-    j = tf.join(vocab.select(doc, "token", "df", "id"), [doc, "token"]).join(size, [doc, unit]).join(n, doc)
+def unit_tokens(df: DataFrame, doc: str, unit: str, tokens: Column) -> DataFrame:
+    """(doc, unit, pos, token, len) of an array of tokens a row."""
+    df = df.select(doc, unit, tokens.alias("tokens")).withColumn("len", F.size("tokens").cast("long"))
+    return df.select(doc, unit, F.posexplode("tokens").alias("pos", "token"), "len")
+
+
+def term_counts(tokens: DataFrame, doc: str, unit: str) -> DataFrame:
+    """tokens: (doc, unit, pos, token, and len if it is known). Per unit and token: tf, pos of the first, len of the unit."""
+    known = "len" in tokens.columns
+    tf = tokens.groupBy(doc, unit, "token", *["len"] * known).agg(F.count("*").alias("tf"), F.min("pos").alias("pos"))
+    return tf if known else tf.join(tf.groupBy(doc, unit).agg(F.sum("tf").alias("len")), [doc, unit])
+
+
+def vocabulary(tf: DataFrame, doc: str, unit: str) -> DataFrame:
+    """A6. Per document and token: df, and id, its rank by first occurrence. Ranks are made within a unit, and what earlier
+    units have is added, so a document with most of the tokens is not one task's."""
+    first = tf.groupBy(doc, "token").agg(F.count("*").alias("df"), F.min(F.struct(unit, "pos")).alias("first")).select(doc, "token", "df", F.col(f"first.{unit}").alias("u"), "first.pos")
+    before = F.sum("n").over(Window.partitionBy(doc).orderBy("u").rowsBetween(Window.unboundedPreceding, -1))
+    offset = first.groupBy(doc, "u").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(before, F.lit(0))).drop("n")
+    ranked = first.withColumn("k", F.row_number().over(Window.partitionBy(doc, "u").orderBy("pos")) - 1)
+    return ranked.join(offset, [doc, "u"]).select(doc, "token", "df", (F.col("before") + F.col("k")).cast("int").alias("id"))
+
+
+def sparse(tokens: DataFrame, doc: str = "source_file", unit: str = "chunk_index", method: str = "tfidf", ids: bool = True) -> DataFrame:
+    """V13, V14, A6. doc, unit, token, id (if ids), value (6 decimals). Vocabulary, df and n are per document."""
+    tf = term_counts(tokens, doc, unit)
+    vocab = vocabulary(tf, doc, unit) if ids else tf.groupBy(doc, "token").agg(F.count("*").alias("df"))
+    n = tf.select(doc, unit, "len").distinct() if "len" not in tokens.columns else tokens.filter("pos = 0").select(doc, unit, "len")
+    n = n.groupBy(doc).agg(F.count("*").alias("n"), F.avg("len").alias("avg"))
+    j = tf.join(vocab, [doc, "token"]).join(n, doc)
     if method == "tfidf":
         value = F.col("tf") / F.col("len") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1)
     else:
         value = F.ln((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg")))
-    return j.select(doc, unit, "token", "id", F.bround(value, 6).alias("value"))
+    return j.select(doc, unit, "token", *["id"] * ids, F.bround(value, 6).alias("value"))
 
 
 def hash_vector(tokens: Column, dim: int = DIM) -> Column:
-    """V11, V15. Counts by crc32 of the token, of length 1, 6 decimals; zeros without tokens."""
-    at = F.array_sort(F.transform(tokens, lambda t: (F.crc32(t.cast("binary")) % dim).cast("int")))
-    none = F.expr("cast(array() as array<struct<k:int,c:int>>)")
-    run = lambda acc: F.concat(acc["out"], F.array(F.struct(acc["k"].alias("k"), acc["c"].alias("c"))))
-    counts = F.aggregate(
-        at,
-        F.struct(F.lit(-1).alias("k"), F.lit(0).alias("c"), none.alias("out")),
-        lambda acc, x: F.when(x == acc["k"], F.struct(acc["k"].alias("k"), (acc["c"] + 1).alias("c"), acc["out"].alias("out"))).otherwise(F.struct(x.alias("k"), F.lit(1).alias("c"), run(acc).alias("out"))),
-        lambda acc: F.filter(run(acc), lambda r: r["k"] >= 0),
-    )
+    """V11, V15. Counts by crc32 of the token, of length 1, 6 decimals; zeros without tokens. Sorted places are counted by
+    where each begins, so nothing is copied a step."""
+    def counted(at):
+        starts = F.filter(F.transform(at, lambda x, k: F.struct(x.alias("k"), k.alias("i"))), lambda x: (x["i"] == 0) | (F.try_element_at(at, x["i"]) != x["k"]))
+        return C.bind(starts, lambda s: F.transform(s, lambda x, j: F.struct(x["k"].alias("k"), (F.coalesce(F.try_element_at(s, j + 2)["i"], F.size(at)) - x["i"]).alias("c"))))
 
     def spread(x):
         return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.coalesce(F.bround(F.try_element_at(x["m"], k) / x["norm"], 6), F.lit(0.0)))
 
+    at = F.array_sort(F.transform(tokens, lambda t: (F.crc32(t.cast("binary")) % dim).cast("int")))
     norm = lambda runs: F.sqrt(F.aggregate(runs, F.lit(0.0), lambda a, r: a + r["c"] * r["c"]))
-    return C.bind(C.bind(counts, lambda runs: F.struct(F.map_from_entries(runs).alias("m"), norm(runs).alias("norm"))), spread)
+    return C.bind(C.bind(C.bind(at, counted), lambda runs: F.struct(F.map_from_entries(runs).alias("m"), norm(runs).alias("norm"))), spread)
+
+
+def formula_vectors(items: Column, mode: str = "latex_aware", dim: int = DIM) -> Column:
+    """V11. array<struct<id, latex, formula_tokens, vector>> of formulas: a hash vector of each one's tokens, or, in the mode
+    single, of the whole formula as one."""
+    bare = lambda f: F.when((f.startswith("$$") & f.endswith("$$") | f.startswith("\\[") & f.endswith("\\]") | f.startswith("\\(") & f.endswith("\\)")) & (F.length(f) > 3), F.substring(f, F.lit(3), F.length(f) - 4)).when(f.startswith("$") & f.endswith("$") & (F.length(f) > 1), F.substring(f, F.lit(2), F.length(f) - 2)).otherwise(f)
+    toks = lambda f: F.array(f) if mode == "single" else F.regexp_extract_all(bare(f), F.lit(V.LATEX), F.lit(0))
+    item = lambda f, i: C.bind(F.struct(C.strip(f).alias("f")), lambda x: F.struct(i.cast("string").alias("id"), x["f"].alias("latex"), toks(x["f"]).alias("formula_tokens"), hash_vector(toks(x["f"]), dim).alias("vector")))
+    return F.transform(items, item)
 
 
 def numbers(items: Column) -> Column:
@@ -102,9 +122,51 @@ def table_tokens(names: Column, dtypes: Column, units: Column, rows: Column) ->
     return F.concat(F.flatten(F.transform(names, text_tokens)), tagged("dtype:", dtypes), tagged("unit:", units), F.flatten(F.transform(F.flatten(rows), lambda v: text_tokens(F.coalesce(v, F.lit(""))))))
 
 
-def table_formulas(rows: DataFrame, id_col: str) -> DataFrame:
-    """V7. rows: (id_col, row, column, value)."""
-    return rows.select(id_col, "row", "column", F.explode(F.regexp_extract_all("value", F.lit(V.FORMULA), F.lit(0))).alias("latex")).withColumn("tokens", F.regexp_extract_all("latex", F.lit(V.LATEX), F.lit(0)))
+def table_formulas(names: Column, rows: Column) -> Column:
+    """V7. array<struct<row, column, latex, tokens>> of the formulas in a table's cells (rows: values in the names' order)."""
+    in_cell = lambda k, n, v: F.transform(F.regexp_extract_all(v, F.lit(V.FORMULA), F.lit(0)), lambda f: F.struct(k.alias("row"), n.alias("column"), f.alias("latex"), F.regexp_extract_all(f, F.lit(V.LATEX), F.lit(0)).alias("tokens")))
+    return F.flatten(F.transform(rows, lambda r, k: F.flatten(F.zip_with(names, r, lambda n, v: in_cell(k, n, F.coalesce(v, F.lit("")))))))
+
+
+def canonical_text(names: Column, rows: Column) -> Column:
+    """V4. Cells with single spaces, between pipes, a line a row."""
+    line = lambda r: F.array_join(F.transform(r, lambda v: C.squeeze(F.coalesce(v, F.lit("")))), "|")
+    return F.array_join(F.concat(F.array(line(names)), F.transform(rows, line)), "\n")
+
+
+def built_tables(records: DataFrame, id_col: str) -> DataFrame:
+    """V3. records (id_col, table_index, columns: array<struct<name, dtype, unit>>, rows: array<map<string, string>>) with
+    names, dtypes, units, cells (values in the names' order, null as empty) and canonical. Without columns, the first row's
+    keys are the names."""
+    keys = F.coalesce(F.map_keys(F.try_element_at("rows", F.lit(1))), F.expr("cast(array() as array<string>)"))
+    given = F.size(F.coalesce("columns", F.expr("cast(array() as array<struct<name:string,dtype:string,unit:string>>)"))) > 0
+    names = F.when(given, F.transform("columns", lambda c, k: F.coalesce(c["name"], F.concat(F.lit("col_"), k.cast("string"))))).otherwise(keys)
+    r = records.withColumn("names", names)
+    r = r.withColumn("dtypes", F.when(given, F.transform("columns", lambda c: F.coalesce(c["dtype"], F.lit("str")))).otherwise(F.transform("names", lambda _: F.lit("str"))))
+    r = r.withColumn("units", F.when(given, F.transform("columns", lambda c: c["unit"])).otherwise(F.transform("names", lambda _: F.lit(None).cast("string"))))
+    r = r.withColumn("cells", F.transform(F.coalesce("rows", F.expr("cast(array() as array<map<string,string>>)")), lambda row: F.transform("names", lambda n: F.coalesce(F.try_element_at(row, n), F.lit("")))))
+    return r.select(id_col, "table_index", "names", "dtypes", "units", "cells", canonical_text(F.col("names"), F.col("cells")).alias("canonical"))
+
+
+def table_entries(raw: DataFrame, records: DataFrame, id_col: str, least: float = 0.8) -> DataFrame:
+    """V1-V8, J1-J3. raw (id_col, key, global_index, text: the Markdown of tokenization) with records as in built_tables:
+    id_col, id, normalization_table_index, match_score, header, columns, rows, table_text, sparse_tokens, formulas,
+    vector_key. A raw table without a record is read from its Markdown, its columns of dtype str."""
+    built = built_tables(records, id_col)
+    m = match_tables(raw, built.select(id_col, "table_index", F.col("canonical").alias("text")), id_col, least)
+    own = parse_markdown(F.col("text"))
+    e = raw.join(m, [id_col, "key"]).join(built, [id_col, "table_index"], "left").withColumn("own", own)
+    hit = F.col("names").isNotNull()
+    e = e.withColumn("dtypes", F.coalesce("dtypes", F.transform("own.header", lambda _: F.lit("str")))).withColumn("units", F.coalesce("units", F.transform("own.header", lambda _: F.lit(None).cast("string"))))
+    e = e.withColumn("cells", F.coalesce("cells", "own.rows")).withColumn("names", F.coalesce("names", "own.header"))
+    n, d, u, c = F.col("names"), F.col("dtypes"), F.col("units"), F.col("cells")
+    label = F.when(F.col("table_index").isNotNull(), F.col("table_index").cast("string")).otherwise(F.concat(F.lit("raw_"), F.col("key").cast("string")))
+    columns = F.transform(F.arrays_zip("names", "dtypes", "units"), lambda x: F.struct(x["names"].alias("name"), x["dtypes"].alias("dtype"), x["units"].alias("unit")))
+    rows = F.transform("cells", lambda r: F.map_from_entries(F.array_distinct(F.zip_with(n, r, lambda a, b: F.struct(a, b)))))
+    return e.select(
+        id_col, F.col("key").alias("id"), F.when(hit | F.col("table_index").isNotNull(), F.col("table_index")).alias("normalization_table_index"), F.round(F.coalesce("match_score", F.lit(0.0)), 4).alias("match_score"), n.alias("header"), columns.alias("columns"), rows.alias("rows"),
+        dense_text(label, n, d, u, c).alias("table_text"), table_tokens(n, d, u, c).alias("sparse_tokens"), table_formulas(n, c).alias("formulas"), F.concat(F.when(F.col("table_index").isNotNull(), F.concat(F.lit("normalized::"), F.col("table_index").cast("string"))).otherwise(F.concat(F.lit("raw::"), F.col("key").cast("string")))).alias("vector_key"),
+    )
 
 
 @F.pandas_udf(T.DoubleType())
@@ -132,21 +194,26 @@ def restore_special(t: Column, kind: str, items: Column) -> Column:
     return C.rewrite(t, p, lambda m, _: F.coalesce(F.try_element_at(items, F.regexp_extract(m, p, 1).cast("int") + 1), m))
 
 
-def encode(df: DataFrame, text_col: str, tokens_col: str, model: Callable[[list[str]], list[list[float]]] | None = None, batch: int = 16, dim: int = DIM, kind: str = "chunk") -> DataFrame:
-    """V16, V17. vector and vector_source: the model's (prefix `passage: `, batches), or hash vectors without a model."""
+def encode(df: DataFrame, text_col: str, tokens_col: str, model: Callable[[list[str]], list[list[float]]] | None = None, batch: int = 16, dim: int = DIM, kind: str = "chunk", doc_col: str | None = None) -> DataFrame:
+    """V16, V17. vector and vector_source: the model's (prefix `passage: `, batches), or hash vectors without a model or where
+    it has no vector; with doc_col, for all rows of a document where it lacks one of them."""
     hashed = hash_vector(F.col(tokens_col), dim)
     if model is None:
         return df.withColumn("vector", hashed).withColumn("vector_source", F.when(F.size(tokens_col) > 0, f"{kind}_hash_fallback").otherwise("none"))
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in it:
             out: list = []
             for i in range(0, len(s), batch):
-                out += [list(map(float, v)) for v in model(["passage: " + (x or "") for x in s.iloc[i : i + batch]])]
-            yield pd.Series(out)
+                got = model(["passage: " + (x or "") for x in s.iloc[i : i + batch]])
+                out += [None if v is None else list(map(float, v)) for v in got]
+            yield pd.Series(out, dtype=object)
 
     df = df.withColumn("dense", run(F.col(text_col)))
+    if doc_col:
+        lacking = df.filter("dense is null").select(doc_col, F.lit(True).alias("__lacks")).distinct()
+        df = df.join(lacking, doc_col, "left").withColumn("dense", F.when(F.col("__lacks").isNull(), F.col("dense"))).drop("__lacks")
     return df.withColumn("vector", F.coalesce("dense", hashed)).withColumn("vector_source", F.when(F.col("dense").isNotNull(), f"{kind}_dense").otherwise(f"{kind}_hash_fallback")).drop("dense")
 
 
