@@ -6,10 +6,10 @@ summed distance until the cells visited hold a given share of all entries; these
 product in double precision. Centroids and that share come from a bounded sample (SAMPLE vectors, chosen by a hash
 of their id): the share is the least that finds TARGET of the sample's own neighbours. Every row is indexed.
 
-Equal vectors are one entry with their KEEP smallest ids, which are all that a list of KEEP - 1 can need. Cells are
-packed into blocks of BLOCK entries (large ones are split) and queries into blocks of QUERIES; a query block meets an
-entry block in one task only where it visits one of its cells. What the driver holds is the sample and the cells'
-counts, K * K numbers.
+Equal vectors are one entry with their KEEP smallest ids, which are all that a list of KEEP - 1 can need. Runs of cells
+are packed into blocks of BLOCK entries, and the queries of runs of cells into blocks of QUERIES (large cells are split),
+so queries of one block visit much the same cells. Entries of a block go to the query blocks that visit one of its cells,
+and to no others. What the driver holds is the sample and the cells' counts, K * K numbers.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and those of another length than
 most of the sample, take no part; ties go to the smaller id; rows of one id never answer each other's query;
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-CENTROIDS, SAMPLE, TARGET, BLOCK, QUERIES = 64, 8192, 0.96, 8192, 2048
+CENTROIDS, SAMPLE, TARGET, BLOCK, QUERIES = 128, 8192, 0.93, 8192, 2048
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 1) -> np.ndarray:
@@ -72,7 +72,7 @@ class Index:
     """Centroids of the halves and the share of entries to visit."""
 
     def __init__(self, sample: np.ndarray, centroids: int, k: int, target: float):
-        self.half = sample.shape[1] // 2
+        self.half, centroids = sample.shape[1] // 2, min(centroids, max(8, len(sample) // 16))
         self.c1, self.c2 = kmeans(sample[:, : self.half], centroids), kmeans(sample[:, self.half :], centroids)
         cells = self.cells(sample)
         q = sample[:: max(1, len(sample) // 256)]
@@ -101,6 +101,34 @@ def _usable(ids: list, vectors: list) -> tuple[list, list[np.ndarray]]:
     return a, b
 
 
+def counts_of(celled: DataFrame, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    for r in celled.groupBy("cell").count().collect():  # as many rows as cells
+        out[r["cell"]] = r["count"]
+    return out
+
+
+def packed(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, blocks) of each cell: runs of cells of about size share a block, a larger cell has several to itself."""
+    first, parts, block, held = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64), 0, 0
+    for c, n in enumerate(counts.tolist()):
+        if held and held + n > size:
+            block, held = block + 1, 0
+        first[c], parts[c] = block, common.pages_of(n, size)
+        if parts[c] > 1:
+            block, held = block + parts[c], 0
+        else:
+            held += n
+    return first, parts
+
+
+def _celled(batches, index: Index):
+    for b in batches:
+        if b.num_rows:
+            x = np.frombuffer(b"".join(b.column(0).to_pylist()), np.float64).reshape(b.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(index.cells(x), pa.int32())], ["vec", "qkey", "cell"])
+
+
 def _entries(batches, index: Index, dim: int, keep: int):
     """(cell, vec, ids): the distinct vectors of each batch and their smallest ids there."""
     for batch in batches:
@@ -141,28 +169,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     found = base.mapInArrow(lambda it: _entries(it, index.value, dim, keep), "cell int, vec binary, ids array<long>")
     found = found.groupBy("cell", "vec").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids"))
     entries = scratch.save("entries", found)
-    counts = np.zeros(len(index.value.c1) * n2, np.int64)
-    for r in entries.groupBy("cell").count().collect():  # as many rows as cells
-        counts[r["cell"]] = r["count"]
-    # blocks: runs of cells of about BLOCK entries; a larger cell has several to itself
-    first, parts, block, held = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64), 0, 0
-    for c, n in enumerate(counts.tolist()):
-        if held and held + n > BLOCK:
-            block, held = block + 1, 0
-        first[c], parts[c] = block, common.pages_of(n, BLOCK)
-        if parts[c] > 1:
-            block, held = block + parts[c], 0
-        else:
-            held += n
-    plan = spark.sparkContext.broadcast((counts, first, parts))
-    q = asked.mapInArrow(lambda it: _queries(it, dim), "id long, vec binary")
-    q = scratch.save("queries", q.distinct())
-    one = scratch.save("distinct", q.groupBy("vec").agg(F.min("id").alias("qkey")))
-    subs = common.pages_of(one.count(), QUERIES)
-    sub = F.pmod(F.xxhash64("qkey"), F.lit(subs)).cast("int").alias("sub")
-    visits = one.select("qkey", "vec", sub).mapInArrow(lambda it: _visits(it, index.value, plan.value, n2), "block int, sub int, qkey long, vec binary, cells array<int>")
+    counts = counts_of(entries, len(index.value.c1) * n2)
+    plan = spark.sparkContext.broadcast((counts, *packed(counts, BLOCK)))
+    q = scratch.save("queries", asked.mapInArrow(lambda it: _queries(it, dim), "id long, vec binary").distinct())
+    one = q.groupBy("vec").agg(F.min("id").alias("qkey")).mapInArrow(lambda it: _celled(it, index.value), "vec binary, qkey long, cell int")
+    one = scratch.save("distinct", one)
+    subs = spark.sparkContext.broadcast(packed(counts_of(one, len(counts)), QUERIES))
+    visits = one.mapInArrow(lambda it: _visits(it, index.value, plan.value, subs.value, n2), "block int, sub int, qkey long, vec binary, cells array<int>")
+    visits = scratch.save("visits", visits)
     placed = entries.mapInArrow(lambda it: _placed(it, plan.value), "block int, cell int, vec binary, ids array<long>")
-    placed = placed.withColumn("sub", F.explode(F.sequence(F.lit(0), F.lit(subs - 1))))
+    placed = placed.join(scratch.save("pairs", visits.select("block", "sub").distinct()), "block")
 
     def meet(qs: pd.DataFrame, es: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -191,7 +207,7 @@ def _queries(batches, dim: int):
         yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in ok], pa.int64()), pa.array([(x[k] + 0.0).tobytes() for k in ok], pa.binary())], ["id", "vec"])
 
 
-def _visits(batches, index: Index, plan, n2: int):
+def _visits(batches, index: Index, plan, subs, n2: int):
     """The blocks that each query visits, and which of their cells."""
     counts, first, parts = plan
     total = int(counts.sum())
@@ -199,15 +215,15 @@ def _visits(batches, index: Index, plan, n2: int):
     for b in batches:
         if not b.num_rows:
             continue
-        keys, vecs, subs = (b.column(i).to_pylist() for i in range(3))
+        vecs, keys, own = (b.column(i).to_pylist() for i in range(3))
         d1, d2 = index.distances(np.frombuffer(b"".join(vecs), np.float64).reshape(b.num_rows, -1))
         rows = []
-        for key, vec, s, a, c in zip(keys, vecs, subs, d1, d2):
-            by: dict[int, list[int]] = {}
-            for cell in visit(a, c, listed, max(index.share * total, 1)):
+        for key, vec, c, x, y in zip(keys, vecs, own, d1, d2):
+            sub, by = int(subs[0][c]) + zlib.crc32(vec) % int(subs[1][c]), {}
+            for cell in visit(x, y, listed, max(index.share * total, 1)):
                 for p in range(parts[cell]):
                     by.setdefault(int(first[cell]) + p, []).append(cell)
-            rows += [(blk, s, key, vec, cells) for blk, cells in by.items()]
+            rows += [(blk, sub, key, vec, cells) for blk, cells in by.items()]
         cols = list(zip(*rows))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32())))], ["block", "sub", "qkey", "vec", "cells"])
 

@@ -289,6 +289,22 @@ def test_multi_index_finds_neighbours(spark):
     assert multiindex.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_multi_index_recall_at_production_settings(spark):
+    """More rows than the sample, several blocks of entries and of queries, in clusters with noise."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 24))[rng.integers(0, 40, 21_000)] + 0.5 * rng.normal(size=(21_000, 24))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = multiindex.search(df, df.filter("vec_id % 20 = 0"), k=20).toPandas()
+    asked = np.arange(0, len(x), 20)
+    s = x[asked].astype(np.float64) @ x.astype(np.float64).T
+    s[np.arange(len(asked)), asked] = -np.inf
+    best = np.argpartition(-s, 20, axis=1)[:, :20]
+    of = got.groupby("query_id")["vec_id"].apply(set)
+    assert np.mean([len(of[q] & set(b.tolist())) / 20 for q, b in zip(asked, best)]) >= 0.9 and set(got["query_id"]) == set(asked.tolist())
+    assert np.allclose(got["score"], np.einsum("ij,ij->i", x[got["query_id"]].astype(float), x[got["vec_id"]].astype(float)))
+
+
 def test_warc_keeps_payloads_once(spark, tmp_path):
     rows = [(3, "u", "<p>a</p>"), (1, "u1", "<p>a</p>"), (2, None, None), (5, "u", ""), (4, "u", "é" * 10)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
