@@ -145,9 +145,9 @@ def bands(tokens: np.ndarray, r: int, b: int) -> np.ndarray:
     return common.mix(out + salts)
 
 
-def signatures(tokens: np.ndarray, bounds: list[int], pct: int) -> np.ndarray:
-    """What two sets that link have in common."""
-    if pct >= EXACT_PCT or not len(tokens):
+def signatures(tokens: np.ndarray, bounds: list[int], pct: int, exact: bool = False) -> np.ndarray:
+    """What two sets that link have in common; if exact, with certainty at any threshold."""
+    if exact or pct >= EXACT_PCT or not len(tokens):
         return parts_of(tokens, bounds, pct)
     out = []
     if len(tokens) <= SMALL_TO:
@@ -157,14 +157,14 @@ def signatures(tokens: np.ndarray, bounds: list[int], pct: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _describe(batches, n: int, pct: int) -> Iterator[pa.RecordBatch]:
+def _describe(batches, n: int, pct: int, exact: bool = False) -> Iterator[pa.RecordBatch]:
     """doc_id, n_shingles, key (128-bit hash of the set), signatures."""
     shingle, bounds = Shingler(n), size_classes(pct, 1 << 40)
     for b in common.slices(batches):
         size, key, sig = [], [], []
         for text in b.column(1).to_pylist():
             t = shingle(text)
-            size.append(len(t)), key.append(xxhash.xxh3_128_digest(t.tobytes())), sig.append(signatures(t, bounds, pct).view(np.int64))
+            size.append(len(t)), key.append(xxhash.xxh3_128_digest(t.tobytes())), sig.append(signatures(t, bounds, pct, exact).view(np.int64))
         at = np.cumsum([0, *map(len, sig)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sig)))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()), lists], ["doc_id", "n_shingles", "key", "sigs"])
@@ -308,12 +308,13 @@ def _sets(batches, n: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets))), b.column(2), b.column(3)], ["node", "tokens", "component", "blocks"])
 
 
-def join(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every document: links where 100 * intersection >= pct * union."""
+def join(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document: links where 100 * intersection >= pct * union. exact: signatures that
+    miss no link below EXACT_PCT either, at the price of many more that unlike texts share."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "jaccard")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    told = scratch.save("told", src.mapInArrow(lambda it: _describe(it, n, pct), "doc_id long, n_shingles long, key binary, sigs array<long>"))
+    told = scratch.save("told", src.mapInArrow(lambda it: _describe(it, n, pct, exact), "doc_id long, n_shingles long, key binary, sigs array<long>"))
     rep = scratch.save("reps", told.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("node")))
     # one row per set; the other rows of a set only point to its node
     own = told.filter("n_shingles > 0").join(rep.withColumnRenamed("node", "doc_id"), ["key", "doc_id"], "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "sigs")
@@ -337,12 +338,13 @@ def join(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str = "doc_id", tex
 
 
 def keep_one(docs: DataFrame, n: int = 5, pct: int = 80) -> DataFrame:
-    """One row of each component: that of the smallest id, null ids last; all columns stay. Each row is judged by its own
-    text, also where ids are null or repeated; rows without words all stay."""
-    # written, so that a row's key is the same wherever it is read
+    """One row of each component: that of the smallest id, null ids last; all columns stay, whatever their names. Each row is
+    judged by its own text, also where ids are null or repeated; rows without words all stay."""
+    # written, so that a row's key is the same wherever it is read; in a struct, columns' names clash with none here
     scratch = common.Scratch(docs.sparkSession, "keep_one")
-    rows = scratch.save("rows", docs.withColumn("__row", F.monotonically_increasing_id()))
-    told = join(rows, n, pct, "__row").select(F.col("doc_id").alias("__row"), "component_id")
-    order = F.struct(F.isnull("__id").alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    first = told.join(rows.select("__row", F.col("doc_id").alias("__id")), "__row").groupBy("component_id").agg(F.min(order)["row"].alias("__kept"))
-    return rows.join(first, rows["__row"] == first["__kept"], "left_semi").drop("__row")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("key"))
+    rows = scratch.save("rows", rows)
+    told = join(rows.select("key", F.col("row.text").alias("text")), n, pct, "key").select(F.col("doc_id").alias("key"), "component_id")
+    order = F.struct(F.isnull("id").alias("none"), F.col("id"), F.col("key").alias("key"))
+    first = told.join(rows.select("key", F.col("row.doc_id").alias("id")), "key").groupBy("component_id").agg(F.min(order)["key"].alias("kept"))
+    return rows.join(first, rows["key"] == first["kept"], "left_semi").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

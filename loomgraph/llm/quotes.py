@@ -29,25 +29,22 @@ def normal(x: Column) -> Column:
 
 
 def passages(text: Column) -> Column:
-    """array<struct<level, text>>: runs of lines of one quote level, empty lines between passages."""
+    """array<struct<level, text>>: runs of lines of one quote level, empty lines between passages. Each line is copied once."""
     line = lambda x: F.struct(
         (F.length(F.regexp_extract(x, QUOTE, 1)) - F.length(F.regexp_replace(F.regexp_extract(x, QUOTE, 1), ">", ""))).alias("level"),
         F.rtrim(F.regexp_replace(x, QUOTE, "")).alias("text"),
     )
     lines = F.transform(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"\r\n?", "\n"), "\n"), line)
-    empty = F.expr("cast(array() as array<struct<level:int,text:string>>)")
-    state = F.struct(empty.alias("out"), F.lit(-1).alias("level"), F.lit("").alias("text"))
-
-    def push(acc):
-        return F.when(F.length(F.trim(acc["text"])) > 0, F.concat(acc["out"], F.array(F.struct(acc["level"].alias("level"), acc["text"].alias("text"))))).otherwise(acc["out"])
-
-    def step(acc, x):
-        same = (x["level"] == acc["level"]) & (F.length(x["text"]) > 0)
-        return F.when(same, F.struct(acc["out"].alias("out"), acc["level"].alias("level"), F.concat_ws("\n", acc["text"], x["text"]).alias("text"))).otherwise(
-            F.struct(push(acc).alias("out"), x["level"].alias("level"), x["text"].alias("text"))
-        )
-
-    return F.aggregate(lines, state, step, push)
+    # passages begin at lines with text whose neighbour before is empty or of another level, and end where the next begins
+    def cut(ls):
+        at = F.sequence(F.lit(1), F.size(ls))
+        full = lambda i: F.length(F.trim(F.element_at(ls, i)["text"])) > 0
+        alike = lambda i, j: F.element_at(ls, i)["level"] == F.element_at(ls, j)["level"]
+        starts = F.filter(at, lambda i: full(i) & ~F.coalesce(F.when(i > 1, full(F.greatest(i - 1, F.lit(1))) & alike(F.greatest(i - 1, F.lit(1)), i)), F.lit(False)))
+        ends = F.filter(at, lambda i: full(i) & ~F.coalesce(F.when(i < F.size(ls), full(F.least(i + 1, F.size(ls))) & alike(F.least(i + 1, F.size(ls)), i)), F.lit(False)))
+        return F.zip_with(starts, ends, lambda s, e: F.struct(F.element_at(ls, s)["level"].alias("level"), F.array_join(F.transform(F.slice(ls, s, e - s + 1), lambda x: x["text"]), "\n").alias("text")))
+
+    return F.element_at(F.transform(F.array(lines), cut), 1)
 
 
 def _hashes(ps: Column) -> Column:

@@ -38,20 +38,33 @@ ALLOW = r"^[A-Z]?[a-z]+(?:[-_/=+][A-Z]?[a-z]+)*$|^[0-9+/_=-]+$"
 LITERAL = r"(?i)[+/_=-]?(?<![a-z0-9])[a-z0-9]*?(?:example|sample|dummy|placeholder|changeme|x{6}|0123456789|abcdefgh|([a-z0-9])\1{7})[a-z0-9]*[+/_=-]?|([+/_=-])\2{7,}"
 
 
+#: A sign by which the text between matches is split, and how many matches are summed up at a time.
+SIGN, STEP = "\ue004", 256
+
+
 def _found(text: Column, pattern: str, group: int) -> Column:
     """array<struct<start, end, size>> of the pattern's matches, leftmost and not overlapping: Spark gives no
-    offsets, but the gaps between matches and the matches themselves fill the text."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x: F.length(x)) if group else F.transform(whole, lambda x: F.length(x))
-    steps = F.zip_with(F.slice(gaps, 1, F.size(whole)), F.zip_with(whole, sizes, lambda m, k: F.struct(F.length(m).alias("n"), k.alias("size"))), lambda g, m: F.struct(g.alias("gap"), m["n"].alias("n"), m["size"].alias("size")))
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
-    return F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, s: F.struct((acc["at"] + s["gap"] + s["n"]).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["n"]).alias("end"), s["size"].alias("size")))).alias("out")),
-        lambda acc: acc["out"],
-    )
+    offsets, but the gaps between matches and the matches themselves fill the text. Lengths are summed up within runs of
+    STEP matches, and over the runs, so texts with many matches are not copied match by match."""
+    cut = F.when(text.contains(SIGN), F.split(text, pattern, -1)).otherwise(F.split(F.regexp_replace(text, pattern, SIGN), SIGN, -1))
+    whole = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.length(x))
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x: F.length(x)) if group else whole
+    steps = F.transform(F.arrays_zip(F.transform(cut, lambda x: F.length(x)).alias("gap"), whole.alias("n"), sizes.alias("size")), lambda x: F.struct(x["gap"], x["n"], x["size"]))
+    none = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
+
+    def run(xs):
+        """Of some matches in a row: their places from the run's start, and where that ends."""
+        one = lambda at, x: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["n"]).alias("end"), x["size"].alias("size"))
+        return F.aggregate(xs, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, x: F.struct((acc["at"] + x["gap"] + x["n"]).alias("at"), F.concat(acc["out"], F.array(one(acc["at"], x))).alias("out")))
+
+    def placed(xs):
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / STEP).cast("int")), lambda k: run(F.slice(xs, k * STEP + 1, STEP)))
+        nested = F.expr("cast(array() as array<array<struct<start:int,end:int,size:int>>>)")
+        move = lambda acc, r: F.transform(r["out"], lambda m: F.struct((m["start"] + acc["at"]).alias("start"), (m["end"] + acc["at"]).alias("end"), m["size"].alias("size")))
+        return F.aggregate(runs, F.struct(F.lit(0).alias("at"), nested.alias("out")), lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"), F.concat(acc["out"], F.array(move(acc, r))).alias("out")), lambda acc: F.flatten(acc["out"]))
+
+    matches = F.filter(steps, lambda x: x["n"].isNotNull())
+    return F.element_at(F.transform(F.array(matches), lambda xs: F.when(F.size(xs) > 0, placed(xs)).otherwise(none)), 1)
 
 
 def _term(c: Column) -> Column:
@@ -87,7 +100,8 @@ def scan(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> Dat
     and then kind as in KINDS."""
     names = {k: f"__{k}" for k in KINDS}
     empty = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
-    df = docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
+    # the row in a struct, so that its columns' names clash with none here
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"))
     for k, (pattern, group, least) in BASE.items():
         found = _found(F.col("__text"), pattern if k != "hex" else "[0-9a-f]{24,}", group)
         df = df.withColumn(names[k], F.when(F.col("__text").rlike(MAYBE[k]), F.filter(found, _at_least(least))).otherwise(empty))
@@ -108,8 +122,7 @@ def scan(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> Dat
 
     df = df.withColumn(names["entropy"], F.when(F.size("__runs") > 0, F.transform(F.filter(F.transform("__runs", with_text), suspicious), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["size"].alias("size")))).otherwise(empty))
     each = [F.transform(F.col(names[k]), _named(k)) for k in KINDS]
-    df = df.withColumn(out_col, F.array_sort(F.concat(*each)))
-    return df.drop("__text", "__runs", *names.values())
+    return df.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c != out_col], F.array_sort(F.concat(*each)).alias(out_col))
 
 
 def joined(spans: Column) -> Column:
@@ -125,16 +138,16 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """Replaces each run of overlapping spans by a mark; all other text and columns stay."""
-    df = scan(docs, text_col, "__spans")
-    t = F.col(text_col)
-    done = F.aggregate(
-        F.col("__spans"),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, m: F.struct(
-            F.greatest(acc["at"], m["end"]).alias("at"),
-            F.when(m["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.substring(t, acc["at"] + 1, m["start"] - acc["at"]), F.lit(mark))).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], t.substr(acc["at"] + 1, F.length(t))),
-    )
-    return df.withColumn(text_col, F.when(F.size("__spans") > 0, done).otherwise(t)).drop("__spans")
+    """Replaces each run of overlapping spans by a mark; all other text and columns stay, whatever their names."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("t"))
+    t, spans = F.col("t"), F.col("spans")
+
+    def parts(ms):
+        """Spans that begin a run, each with the end of the run before it; then what stands between runs."""
+        reach = F.aggregate(ms, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<from:int,start:int>>)").alias("out")), lambda acc, m: F.struct(
+            F.greatest(acc["at"], m["end"]).alias("at"), F.when(m["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["at"].alias("from"), m["start"].alias("start"))))).alias("out")))
+        return F.element_at(F.transform(F.array(reach), lambda r: F.concat(F.array_join(F.transform(r["out"], lambda x: F.concat(F.substring(t, x["from"] + 1, x["start"] - x["from"]), F.lit(mark))), ""), t.substr(r["at"] + 1, F.length(t)))), 1)
+
+    done = F.when(F.size(spans) > 0, F.element_at(F.transform(F.array(spans), parts), 1)).otherwise(t)
+    held = scan(rows, "t", "spans").withColumn("done", done)
+    return held.select(*[F.col("done").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

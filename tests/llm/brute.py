@@ -76,3 +76,46 @@ def repeated_bytes(rows, width=200):
         runs = len(re.findall(b"\1+", cut))
         out.append((d, len(x), sum(cut), runs, hashlib.sha256(bytes(c for c, k in zip(x, cut) if not k)).hexdigest()))
     return out
+
+
+def quote_passages(text):
+    """(level, text) of the runs of lines of one quote level; empty lines end a run."""
+    out, open_ = [], False
+    for line in re.split(r"\r\n?|\n", text or ""):
+        m = re.match(r"[ \t]*((?:>[ \t]?)+)", line)
+        level, said = (m[1].count(">"), line[m.end() :].rstrip(" ")) if m else (0, line.rstrip(" "))
+        if not said.strip(" "):
+            open_ = False
+        elif open_ and out[-1][0] == level:
+            out[-1][1].append(said)
+        else:
+            out.append((level, [said]))
+            open_ = True
+    return [(level, "\n".join(lines)) for level, lines in out]
+
+
+def quotation_links(rows):
+    """rows: (conv_id, turn, text), each turn once; (conv_id, turn) -> (n_quotes, quote_level, reply_to, link, thread_root, depth)."""
+    plain = lambda x: re.sub(r"[^\w]+", " ", x.lower()).strip()
+    said = {(c, t): quote_passages(x) for c, t, x in rows}
+    texts = lambda ps, quoted: {(lv, y) for lv, x in ps if (lv > 0) == quoted for y in (plain(x), *map(plain, x.split("\n"))) if y}
+    origin = {}
+    for (c, t), ps in said.items():
+        weight = {}
+        for y in {y for _, y in texts(ps, True)}:
+            level = min(lv for lv, z in texts(ps, True) if z == y)
+            earlier = [u for (d, u), qs in said.items() if d == c and u < t and y in {z for _, z in texts(qs, False)}]
+            if earlier:
+                weight[level, max(earlier)] = weight.get((level, max(earlier)), 0) + len(y)
+        if weight:
+            origin[c, t] = min((lv, -n, -o) for (lv, o), n in weight.items())[2] * -1
+    out = {}
+    for (c, t), ps in said.items():
+        root, depth = t, 0
+        while (c, root) in origin:
+            root, depth = origin[c, root], depth + 1
+        before = [u for d, u in said if d == c and u < t]
+        reply = origin.get((c, t), max(before, default=None))
+        link = "quote" if (c, t) in origin else "previous" if before else "first"
+        out[c, t] = (sum(lv > 0 for lv, _ in ps), max((lv for lv, _ in ps), default=0), reply, link, root, depth)
+    return out

@@ -340,3 +340,58 @@ def test_many_equal_rows_and_clashing_columns(spark):
     assert len(got) == 2003 and {k: v for k, v in got.items() if k[0] < 2 or k[0] >= 2000} == want
     left = suffixes.cut(d)
     assert left.columns == d.columns and sorted(r["doc_id"] for r in left.collect()) == [2000, 2001, 2002] and {(r["spans"], r["more"], r["raw x"]) for r in left.collect()} == {("a", 1, 3)}
+
+
+def test_quotes_equal_plain_links(spark):
+    rng = np.random.default_rng(11)
+    words = "ask key table lamp door green old why not near hill road".split()
+    sentence = lambda: " ".join(rng.choice(words, rng.integers(2, 7))) + "."
+    rows, messages = [], []
+    for conv, n in [(1, 150), *((c, int(rng.integers(1, 9))) for c in range(2, 30))]:  # one conversation has most messages
+        messages = []
+        for turn in range(n):
+            lines = []
+            for _ in range(int(rng.integers(0, 3)) if messages else 0):
+                old = messages[int(rng.integers(0, len(messages)))].split("\n")
+                at = int(rng.integers(0, len(old)))
+                lines += [["> ", ">", "  > "][int(rng.integers(0, 3))] + x.upper() for x in old[at : at + int(rng.integers(1, 4))]] + [""] * int(rng.integers(0, 2))
+            lines += [sentence() for _ in range(int(rng.integers(0, 4)))]
+            messages.append("\n".join(lines))
+            rows.append((conv, turn, "user", messages[-1]))
+    rows.append((99, 0, "user", None))
+    got = quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)).collect()
+    want = brute.quotation_links([(c, t, x) for c, t, _, x in rows])
+    assert {(r["conv_id"], r["turn"]): (r["n_quotes"], r["quote_level"], r["reply_to"], r["link"], r["thread_root"], r["depth"]) for r in got} == want
+    assert sum(w[3] == "quote" for w in want.values()) > 60 and max(w[5] for w in want.values()) > 3 and max(w[1] for w in want.values()) > 1
+    assert quotes.link(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_secrets_of_texts_with_many_matches(spark):
+    text = " ".join(f"token={k:06d}x AKIA{k:016d} {k:024x}" + (" " if k == 5 else "") for k in range(700))
+    d = spark.createDataFrame([(1, text, "r", "t"), (2, text.replace("", ""), "r", "t"), (3, None, "r", "t")], "doc_id long, text string, __runs string, __text string")
+    rows = {r["doc_id"]: r for r in secrets.report(d).collect()}
+    assert all(rows[k]["base_sha256"] == brute.base_sha(t) for k, t in ((1, text), (2, text.replace("", "")), (3, None))) and rows[1]["n_assign"] == rows[1]["n_access"] == 700
+    left = {r["doc_id"]: r for r in secrets.redact(d).collect()}
+    assert secrets.redact(d).columns == d.columns and left[1]["__runs"] == "r" and left[1]["__text"] == "t" and left[3]["text"] is None
+    want = text
+    for s, _, e, _ in reversed(brute.base_spans(text)):
+        want = want[:s] + "[SECRET]" + want[e:]
+    assert left[1]["text"] == want
+
+
+def test_exact_signatures_below_the_bands(docs):
+    rows = [(d, t) for d, t in TEXTS if d is not None]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(docs, 5, 80, exact=True).collect() if r["doc_id"] is not None}
+    assert got == brute.jaccard_components(rows, 5, 80)
+
+
+def test_a_very_long_text(spark):
+    long = " ".join(f"word{k * 7919 % 30011}" for k in range(60_000))
+    d = spark.createDataFrame([(1, long, "en"), (2, long + " more", "en"), (3, "short one", "en"), (4, long.replace(" ", ""), "en")], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.join(d).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    kept = {r["doc_id"]: r["n_removed"] for r in suffixes.report(d).collect()}
+    assert kept[1] == len(long) and kept[2] >= len(long) and kept[3] == 0
+    assert sum(r["length"] for r in packing.pack(d, public_tokenizers.path("word_bpe_49k.json")).collect() if r["doc_id"] == 1) > 60_000
+    assert all(r["decodes"] for r in pieces.segmentations(d, public_tokenizers.path("piece_bpe_32k.model"), n=2).collect())
+    assert {r["doc_id"]: r["payload_bytes"] % 192 for r in transport.documents_as_media(d).collect()} == dict.fromkeys(range(1, 5), 0)
+    assert secrets.report(d).filter("doc_id <= 3").agg({"n_hex": "sum"}).first()[0] == 0 and len(langid.report(d).collect()) == 4

@@ -26,8 +26,9 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(d, t, "en", "s", len(t or "")) for d, t in ROWS]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    rows = [(d, t, "en", "s", len(t or ""), "a", "b", 3, "c", "d") for d, t in ROWS]
+    # columns with the names that stages use themselves
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, spans string, more string, tkey int, __text string, __row string").repartition(3)
 
 
 def plain_keep_one(rows, n, pct):
@@ -58,6 +59,13 @@ def plain_redact(t):
     return t
 
 
+def test_stages_keep_columns(spark, docs):
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        assert {(r["spans"], r["more"], r["tkey"], r["__text"], r["__row"]) for r in out.collect()} == {("a", "b", 3, "c", "d")}, name
+
+
 def test_run_equals_plain_stages(spark, docs, tmp_path):
     from tokenizers import Tokenizer
 
