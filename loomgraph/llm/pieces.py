@@ -13,6 +13,9 @@ A unigram model's scores are log-probabilities. A BPE model has merge ranks inst
 Zipf's law, and bytes and pieces without a rank get the least of all. Nothing is trained. Scores are kept in steps of
 2^-30, so sums are exact in whatever order they are made, and ties are true ties.
 
+Of a text's segmentations the best is given whole and the others by what differs, which is little: n times fewer ids are
+written, and none is lost.
+
 Defined results: null and empty texts have one segmentation, of no pieces and score 0; of a word's ways with one score,
 those come first whose ids, read from the last (as the search goes), sort first; of a text's, those that take the better
 ways of later words; fewer segmentations than n are all returned; repeated rows and null ids are rows of their own; other
@@ -220,10 +223,11 @@ class Encoder:
         at = [0, *at, len(word)]
         return [word[s:e] for s, e in zip(at, at[1:])]
 
-    def __call__(self, text: str | None) -> list[tuple[float, bytes]]:
-        """The n best segmentations of the text: (score, ids as little-endian 32-bit numbers)."""
+    def edits(self, text: str | None) -> tuple[float, bytes, list[tuple[float, list[tuple[int, int, tuple[int, ...]]]]]]:
+        """The best segmentation of the text (score, ids as little-endian 32-bit numbers), and of the others, in order, the
+        score and what differs: from which of the best one's ids, how many give way, and to which."""
         if not text:
-            return [(0.0, b"")]
+            return 0.0, b"", []
         whole = SPACE + text.replace(" ", SPACE)
         parts = SEGMENT.findall(whole) if self.vocab.apart else [whole]
         if max(map(len, parts)) > LONG_WORD:
@@ -236,33 +240,30 @@ class Encoder:
         picks = [pick for pick in self.picks[len(ways)] if all(map(int.__lt__, pick, map(len, ways)))]
         later = sorted(range(len(where)), key=lambda x: -where[x])
         combos = sorted((sum([w[0][0] - w[c][0] for w, c in zip(ways, pick)]), [pick[x] for x in later], pick) for pick in picks)
-        out = []
-        for lost, _, pick in combos[: self.n]:
-            take = first
-            if any(pick):
-                take = list(first)
-                for k, w, c in zip(where, ways, pick):
-                    take[k] = np.array(w[c][1], "<i4").tobytes()
-            out.append((total - lost, b"".join(take)))
-        return out
-
-
-def alike(vocab: Vocabulary, a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two rows of ids stand for the same bytes, from where they differ."""
-    m = min(len(a), len(b))
-    if len(differ := np.flatnonzero(a[:m] != b[:m])):
-        first = int(differ[0])
-    else:
-        first = m
-    differ = np.flatnonzero(a[len(a) - m + first :] != b[len(b) - m + first :])
-    same = m - first - 1 - int(differ[-1]) if len(differ) else m - first
-    name = vocab.names.__getitem__
-    return b"".join(map(name, a[first : len(a) - same].tolist())) == b"".join(map(name, b[first : len(b) - same].tolist()))
-
-
-def segmentations(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
-    """One row per document and segmentation: id_col, rank (from 1), score, n_pieces, ids_crc32, decodes (whether the
-    ids decode to the text) and, if with_ids, ids. No shuffle."""
+        ends = list(itertools.accumulate(map(len, first))) if where else []
+        at = [(ends[k] - len(first[k])) // 4 for k in where]
+        changed = lambda pick: sorted((at[x], len(first[where[x]]) // 4, ways[x][c][1]) for x, c in enumerate(pick) if c)
+        return total, b"".join(first), [(total - lost, changed(pick)) for lost, _, pick in combos[1 : self.n]]
+
+    def __call__(self, text: str | None) -> list[tuple[float, bytes]]:
+        """The n best segmentations of the text: (score, ids as little-endian 32-bit numbers)."""
+        score, raw, others = self.edits(text)
+        return [(score, raw), *((s, edited(raw, changes)) for s, changes in others)]
+
+
+def edited(raw: bytes, changes: list[tuple[int, int, tuple[int, ...]]]) -> bytes:
+    """The ids with changes made."""
+    out, done = [], 0
+    for at, n, ids in changes:
+        out += [raw[4 * done : 4 * at], np.array(ids, "<i4").tobytes()]
+        done = at + n
+    return b"".join([*out, raw[4 * done :]])
+
+
+def segmentations(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document and segmentation: id_col, rank (from 1), score, n_pieces, ids_crc32, decodes (whether the ids decode
+    to the text), ids and edits. The best one's ids stand in its row; each other has edits, by which it differs from that:
+    from which id (at), how many give way (n), and to which (ids). whole() puts all ids back. No shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -270,23 +271,34 @@ def segmentations(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "d
             ENCODERS.clear()
             ENCODERS[model_path, n] = Encoder(Vocabulary.load(model_path), n)
         enc = ENCODERS[model_path, n]
-        vocab = enc.vocab
+        vocab, name = enc.vocab, enc.vocab.names.__getitem__
+        said = lambda ids: b"".join(map(name, ids))
         for b in common.slices(batches, 2 << 20):
-            rows, all_ids = [], []
+            rows, best_ids, empty = [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                best = None
-                for r, (score, raw) in enumerate(enc(text), 1):
-                    ids = np.frombuffer(raw, "<i4")
-                    if best is None:
-                        best, right = ids, vocab.decode(ids.tolist()) == (text or "")
-                    rows.append((i, r, score, len(ids), zlib.crc32(raw), right and (r == 1 or alike(vocab, best, ids))))
-                    all_ids.append(raw)
+                score, raw, others = enc.edits(text)
+                ids = np.frombuffer(raw, "<i4")
+                right = vocab.decode(ids.tolist()) == (text or "")
+                rows.append((i, 1, score, len(ids), zlib.crc32(raw), right, []))
+                best_ids.append(raw), empty.append(False)
+                for r, (score, changes) in enumerate(others, 2):
+                    same = right and all(said(ids[at : at + k].tolist()) == said(new) for at, k, new in changes)
+                    rows.append((i, r, score, len(ids) + sum(len(new) - k for _, k, new in changes), zlib.crc32(edited(raw, changes)), same, [{"at": at, "n": k, "ids": new} for at, k, new in changes]))
+                    best_ids.append(b""), empty.append(True)
             c = list(zip(*rows))
-            kinds = [b.column(0).type, pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
-            cols = [pa.array(x, t) for x, t in zip(c, kinds)]
-            if with_ids:
-                at = np.cumsum([0, *c[3]]).astype(np.int32)
-                cols.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(all_ids), "<i4"))))
-            yield pa.RecordBatch.from_arrays(cols, [id_col, "rank", "score", "n_pieces", "ids_crc32", "decodes", "ids"][: len(cols)])
-
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, rank int, score double, n_pieces long, ids_crc32 long, decodes boolean" + ", ids array<int>" * with_ids)
+            cols = [pa.array(x, t) for x, t in zip(c, (b.column(0).type, pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()))]
+            at = np.cumsum([0, *map(len, best_ids)]) // 4
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.frombuffer(b"".join(best_ids), "<i4")), mask=pa.array(empty))
+            edit = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
+            yield pa.RecordBatch.from_arrays([*cols, lists, pa.array(c[6], pa.list_(edit))], [id_col, "rank", "score", "n_pieces", "ids_crc32", "decodes", "ids", "edits"])
+
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, rank int, score double, n_pieces long, ids_crc32 long, decodes boolean, ids array<int>, edits array<struct<at:int,n:int,ids:array<int>>>")
+
+
+def whole(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """segmentations() with all ids in every row, for ids that are not null and stand for one document each."""
+    best = found.filter("rank = 1").select(id_col, F.col("ids").alias("best"))
+    start = F.struct(F.lit(0).alias("done"), F.expr("cast(array() as array<int>)").alias("out"))
+    step = lambda acc, e: F.struct((e["at"] + e["n"]).alias("done"), F.concat(acc["out"], F.slice("best", acc["done"] + 1, e["at"] - acc["done"]), e["ids"]).alias("out"))
+    ids = F.aggregate("edits", start, step, lambda acc: F.concat(acc["out"], F.slice("best", acc["done"] + 1, F.size("best"))))
+    return found.join(best, id_col).withColumn("ids", F.when(F.col("rank") == 1, F.col("ids")).otherwise(ids)).drop("best", "edits")
