@@ -48,23 +48,24 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return ((c**2).sum(1) - 2 * x @ c.T).argmin(1)
 
 
-def visit(d1: np.ndarray, d2: np.ndarray, counts: np.ndarray, enough: float) -> list[int]:
-    """Cells (i * len(d2) + j) by rising d1[i] + d2[j], by a heap over the two sorted lists, until they hold enough entries."""
+def visit(d1: np.ndarray, d2: np.ndarray, counts: list[int], enough: float) -> list[int]:
+    """Cells (i * len(d2) + j) by rising d1[i] + d2[j] until they hold enough entries. The heap has the next pair of each
+    row i begun; row i + 1 begins once row i's first pair is out, as none of its pairs can come before."""
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
-    s1, s2, r1, r2 = d1[o1].tolist(), d2[o2].tolist(), o1.tolist(), o2.tolist()
+    s1, s2, r1, r2 = d1[o1].tolist(), d2[o2].tolist(), (o1 * len(d2)).tolist(), o2.tolist()
     n1, n2, heap, out, held = len(s1), len(s2), [(s1[0] + s2[0], 0, 0)], [], 0
-    reached = [0] * n1  # how far row i has come; (i, j) is pushed once (i - 1, j) and (i, j - 1) are out
+    advance, begin = heapq.heapreplace, heapq.heappush
     while heap and held < enough:
-        _, i, j = heapq.heappop(heap)
-        reached[i] = j + 1
-        cell = r1[i] * n2 + r2[j]
-        if counts[cell]:
+        _, i, j = heap[0]
+        if n := counts[cell := r1[i] + r2[j]]:
             out.append(cell)
-            held += counts[cell]
-        if j + 1 < n2 and (i == 0 or reached[i - 1] > j + 1):
-            heapq.heappush(heap, (s1[i] + s2[j + 1], i, j + 1))
-        if i + 1 < n1 and reached[i + 1] == j:
-            heapq.heappush(heap, (s1[i + 1] + s2[j], i + 1, j))
+            held += n
+        if j + 1 < n2:
+            advance(heap, (s1[i] + s2[j + 1], i, j + 1))
+        else:
+            heapq.heappop(heap)
+        if j == 0 and i + 1 < n1:
+            begin(heap, (s1[i + 1] + s2[0], i + 1, 0))
     return out
 
 
@@ -219,11 +220,13 @@ def _visits(batches, index: Index, plan, subs, n2: int):
         d1, d2 = index.distances(np.frombuffer(b"".join(vecs), np.float64).reshape(b.num_rows, -1))
         rows = []
         for key, vec, c, x, y in zip(keys, vecs, own, d1, d2):
-            sub, by = int(subs[0][c]) + zlib.crc32(vec) % int(subs[1][c]), {}
-            for cell in visit(x, y, listed, max(index.share * total, 1)):
-                for p in range(parts[cell]):
-                    by.setdefault(int(first[cell]) + p, []).append(cell)
-            rows += [(blk, sub, key, vec, cells) for blk, cells in by.items()]
+            sub = int(subs[0][c]) + zlib.crc32(vec) % int(subs[1][c])
+            cells = np.array(visit(x, y, listed, max(index.share * total, 1)), np.int32)
+            # a cell of several blocks shares none of them, so the first cell of a block tells how many there are
+            blocks, where = np.unique(first[cells], return_inverse=True)
+            cells = cells[np.argsort(where, kind="stable")]
+            for blk, of in zip(blocks.tolist(), np.split(cells, np.cumsum(np.bincount(where))[:-1])):
+                rows += [(blk + p, sub, key, vec, of) for p in range(int(parts[of[0]]))]
         cols = list(zip(*rows))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32())))], ["block", "sub", "qkey", "vec", "cells"])
 

@@ -290,6 +290,16 @@ def test_multi_index_finds_neighbours(spark):
     assert multiindex.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_cells_come_by_rising_distance():
+    rng = np.random.default_rng(9)
+    for _ in range(20):
+        d1, d2, counts = rng.normal(size=9), rng.normal(size=7), rng.integers(0, 4, 63).tolist()
+        want = [c for c in sorted(range(63), key=lambda c: d1[c // 7] + d2[c % 7]) if counts[c]]
+        assert multiindex.visit(d1, d2, counts, 1e9) == want
+        some = multiindex.visit(d1, d2, counts, sum(counts) / 2)
+        assert some == want[: len(some)] and sum(counts[c] for c in some) >= sum(counts) / 2 > sum(counts[c] for c in some[:-1])
+
+
 def test_multi_index_recall_at_production_settings(spark):
     """More rows than the sample, several blocks of entries and of queries, in clusters with noise."""
     rng = np.random.default_rng(4)
