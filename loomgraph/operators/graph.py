@@ -128,7 +128,7 @@ def quoted(quotes: DataFrame, quote_id: str, texts: DataFrame, text_id: str, tex
     long = q.filter(F.size("w") >= n + 2).select("qid", "q", F.xxhash64(F.slice("w", 2, n)).alias("gram"))
     words = F.split("t", " ")
     grams = C.bind(words, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda k: F.xxhash64(F.slice(w, k, n))))
-    few = F.broadcast(long.groupBy("gram").agg(F.collect_list(F.struct("qid", "q")).alias("of")))
+    few = long.groupBy("gram").agg(F.collect_list(F.struct("qid", "q")).alias("of"))
     met = t.select("tid", "t", F.explode(F.array_distinct(grams)).alias("gram")).join(few, "gram").select("tid", "t", F.explode("of").alias("x"))
     short = t.crossJoin(F.broadcast(q.filter(F.size("w") < n + 2).select(F.struct("qid", "q").alias("x")))).select("tid", "t", "x")
     return met.union(short).filter(F.col("t").contains(F.col("x.q"))).select(F.col("x.qid").alias(quote_id), F.col("tid").alias(text_id))

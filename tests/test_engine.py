@@ -15,6 +15,7 @@ from loomgraph.functions import fixed as V
 from loomgraph.operators import chunk, clean, graph, metrics, normalize, tokenize
 from loomgraph.plans import catalogue, pipeline
 from loomgraph.sources import files
+from loomgraph.streaming import ingest
 
 
 def one(spark, text, f):
@@ -410,3 +411,13 @@ def test_created_nodes_serve_later_relations(spark):
     ends = sorted((r["seq"]["chunk_index"], got[r["source_id"]], got[r["target_id"]]) for r in g.filter("drop_reason is null").collect())
     assert ends == [(0, ("КОНЦЕПЦИЯ", "Сталь"), ("КОНЦЕПЦИЯ", "Чугун")), (1, ("КОНЦЕПЦИЯ", "Сталь"), ("МАТЕРИАЛ", "чугун"))] and [r["drop_reason"] for r in g.filter("drop_reason is not null").collect()] == ["source"]
     assert pipeline.graph_of(df, graph.Ontology())[1].count() == 0
+
+
+def test_documents_as_a_stream(spark, tmp_path):
+    rows = [(1, MIXED), (2, "One. Two. " * 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "in"))
+    q = ingest.cleaned_chunks(ingest.documents(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("chunked").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    want = chunk.chunks(clean.clean(df, "doc_id"), "doc_id").collect()
+    assert sorted(map(tuple, spark.table("chunked").collect())) == sorted(map(tuple, want)) and len(want) > 1
