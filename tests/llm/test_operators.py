@@ -236,6 +236,28 @@ def test_n_best_equals_all_segmentations():
     assert np.allclose([s for s, _ in pieces.Encoder(v, 4)(text)], [s for s, _ in whole])
 
 
+def test_lattices_advance_together():
+    v = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(12)
+    parts = ["▁the", "a", "xxxxxxxx", "naïveté", "日本語", "▁▁▁▁", "q" * 30, "\U0001f600x", "▁"] + ["".join(rng.choice(list("abcdeinorstu▁"), rng.integers(1, 16))) for _ in range(5000)]
+    assert pieces.Lattices(v)(parts) == [pieces.best_and_gap(p, v) for p in parts]
+
+
+def test_parts_of_one_hash_are_told_apart(monkeypatch):
+    v = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["some words, and more words.", "other ones: here", None, "", "x" * 3000, "some words"]
+    want = [pieces.Encoder(v, 3)(t) for t in texts]
+    monkeypatch.setattr(pieces.common, "mix", lambda x: np.full(len(x), 5 << 40, np.uint64))
+    enc = pieces.Encoder(v, 3)
+    assert [enc(t) for t in texts] == want
+    monkeypatch.undo()
+    monkeypatch.setattr(pieces, "MOST_PARTS", 4)
+    small = pieces.Encoder(v, 3)
+    small.BITS = 3
+    small.forget()
+    assert [small(t) for t in texts] == want and [[(s, i.tobytes()) for s, i, _, _ in [x]] for x in small.batch(texts)] == [w[:1] for w in want]
+
+
 def test_n_best_keeps_the_order_of_ties():
     v = pieces.Vocabulary({"a": (9, -1.0), "aa": (4, -2.0), "aaa": (7, -3.0), "b": (2, -1.0), "ab": (3, -2.5), "▁": (1, -1.0)}, [(100 + k, -9.0) for k in range(256)], [])
 
