@@ -272,11 +272,15 @@ def keys_of(raw) -> tuple:
     return F.xxhash64(raw).alias("tkey"), (F.crc32(raw).bitwiseAND(0x7FFF)).alias("more")
 
 
-def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
-    """tkey, more, raw and copies of each distinct text of WIDTH bytes or more. Copies meet within a task first, so that
-    what is shuffled of a text with many is one row a task."""
+def distinct_texts(scratch: common.Scratch, docs: DataFrame, text_col: str) -> DataFrame:
+    """tkey, more, raw and copies of each distinct text of WIDTH bytes or more. Keys are counted first; only texts that have
+    copies are moved, and copies meet within a task before, so what is shuffled of a text with many is one row a task."""
     src = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw")).filter(F.length("raw") >= WIDTH)
-    return src.select(*keys_of(F.col("raw")), "raw").groupBy("tkey", "more").agg(F.first("raw").alias("raw"), F.count("*").alias("copies"))
+    src = src.select(*keys_of(F.col("raw")), "raw")
+    copied = scratch.save("copied", src.groupBy("tkey", "more").count().filter("count > 1").select("tkey", "more"))
+    alone = src.join(copied, ["tkey", "more"], "left_anti").select("tkey", "more", "raw", F.lit(1).cast("long").alias("copies"))
+    once = src.join(copied, ["tkey", "more"], "left_semi").groupBy("tkey", "more").agg(F.first("raw").alias("raw"), F.count("*").alias("copies"))
+    return alone.union(scratch.save("once", once))
 
 
 def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
@@ -284,7 +288,7 @@ def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CON
     yet merged, that cover every byte of a WIDTH-byte string that also starts elsewhere."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "suffixes")
-    src = scratch.save("distinct", distinct_texts(docs, text_col))
+    src = distinct_texts(scratch, docs, text_col)
     occ = scratch.save("all", src.select("tkey", "raw").mapInArrow(_occurrences, "tkey long, at long, anchor long, ctx long"))
     twice = scratch.save("twice", occ.groupBy("anchor").count().filter("count > 1").select("anchor"))
     # anchors that occur once have no repeated stretch
@@ -311,7 +315,7 @@ def repeats(docs: DataFrame, text_col: str = "text", hot_contexts: int = HOT_CON
     each = occ.join(told, ["anchor", "ctx"]).select("tkey", F.expr(MORE).alias("more"), span.alias("s"))
     copied = src.filter("copies > 1").select("tkey", "more", F.struct(F.lit(0).alias("start"), F.length("raw").alias("end")).alias("s"))
     spans = scratch.save("spans", each.union(copied).groupBy("tkey", "more").agg(F.collect_list("s").alias("spans")))
-    scratch.drop("occurrences", "told", "distinct")
+    scratch.drop("occurrences", "told", "copied", "once")
     return spans
 
 
