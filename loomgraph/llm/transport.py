@@ -103,6 +103,7 @@ class Demuxer:
         self.types: dict[int, int] = {}
         self.packets = self.cc_errors = self.repeats = self.lost_bytes = 0
         self._open: dict[int, list] = {}
+        self._held: dict[int, bytes] = {}  # sections begun, by packet id
         self._read(media or b"")
         for pid in list(self._open):
             self._close(pid)
@@ -136,18 +137,19 @@ class Demuxer:
             if not b3 & 0x10 or start > end:
                 continue
             cc, body = b3 & 15, media[start:end]
+            lost = False
             if pid in last and not jump:
                 if cc == last[pid][0] and body == last[pid][1]:
                     self.repeats += 1
                     continue
                 if cc != last[pid][0] + 1 & 15:
                     self.cc_errors += 1
+                    lost = True
                     if pid in self._open and not b1 & 0x40:
                         self._open[pid][1] = True
             last[pid] = (cc, body)
             if pid == 0 or pid in self.programs.values():
-                if b1 & 0x40 and body:
-                    self._table(pid, body[1 + body[0] :])
+                self._tables(pid, body, bool(b1 & 0x40), lost)
             elif b1 & 0x40:
                 self._close(pid)
                 self._open[pid] = [rap, False, [body]]
@@ -155,12 +157,31 @@ class Demuxer:
                 self._open[pid][2].append(body)
         self.lost_bytes += n - at if at < n else 0
 
+    def _tables(self, pid: int, body: bytes, begins: bool, lost: bool) -> None:
+        """The sections in a packet and those before it, which may end or begin in it; where a packet is lost, what was begun is."""
+        held = b"" if lost else self._held.get(pid, b"")
+        if begins and body:
+            new = 1 + body[0]
+            self._sections(pid, held + body[1:new] if held else b"")
+            held = self._sections(pid, body[new:])
+        elif held:
+            held = self._sections(pid, held + body)
+        self._held[pid] = held
+
+    def _sections(self, pid: int, s: bytes) -> bytes:
+        """Reads the whole sections; what is left of one that goes on in the next packet."""
+        while s and s[0] != 0xFF:
+            end = 3 + ((s[1] & 15) << 8 | s[2]) if len(s) >= 3 else len(s) + 1
+            if end > len(s):
+                return s
+            self._table(pid, s[:end])
+            s = s[end:]
+        return b""
+
     def _table(self, pid: int, s: bytes) -> None:
-        """A section that fits its packet; longer ones and wrong CRCs are ignored."""
-        if len(s) < 12:
-            return
-        end = 3 + ((s[1] & 15) << 8 | s[2])
-        if end > len(s) or crc_mpeg(s[:end]):
+        """A whole section; wrong CRCs are ignored."""
+        end = len(s)
+        if end < 12 or crc_mpeg(s):
             return
         if pid == 0 and s[0] == 0:
             for i in range(8, end - 4, 4):

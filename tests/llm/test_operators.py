@@ -143,6 +143,19 @@ def test_transport_round_trip_and_errors(docs):
     assert (x.repeats, x.cc_errors, x.lost_bytes) == (1, 0, 4) and b"".join(u[5] for u in x.units) == data
 
 
+def test_tables_of_several_packets():
+    entries = b"".join(bytes([k >> 8, k & 255, 0xE0 | (1000 + k) >> 8, (1000 + k) & 255]) for k in range(1, 81))
+    size = 5 + len(entries) + 4
+    section = bytes([0, 0xB0 | size >> 8, size & 255, 0, 1, 0xC1, 0, 0]) + entries
+    section += transport.crc_mpeg(section).to_bytes(4, "big")
+    body, packets = b"\0" + section, []
+    for k in range(0, len(body), 184):
+        packets.append(bytes([0x47, 0x40 * (k == 0), 0, 0x10 | k // 184]) + body[k : k + 184].ljust(184, b"\xff"))
+    assert len(packets) == 2 and transport.Demuxer(b"".join(packets)).programs == {k: 1000 + k for k in range(1, 81)}
+    assert transport.Demuxer(packets[0] + packets[1][:3] + b"\x13" + packets[1][4:]).programs == {}
+    assert transport.Demuxer(packets[0] + b"x" + packets[1][1:]).programs == {}
+
+
 def test_language_of_held_out_and_mixed_texts(spark):
     en, fr = "the house is on the hill and the river runs by it", "la maison est sur la colline et le fleuve coule tout près"
     m = langid.fit([(en, "en"), (fr, "fr")] * 5)
