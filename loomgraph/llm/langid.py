@@ -213,10 +213,12 @@ def sampled(docs: DataFrame, sample_docs: int, sample_stretches: int) -> DataFra
             df = df.withColumn("salt", F.pmod("h", F.lit(64))).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n)
         return df.drop("salt", "r")
 
-    upto = least(usable.select("lang", "h"), sample_docs, "h").groupBy("lang").agg(F.max("h").alias("upto")).collect()  # a row a language
-    if not upto:
+    # hashes are spread evenly: twice the share that the sample is of a language's documents holds the sample's least hashes
+    per = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()  # a row a language
+    if not per:
         return usable.select("text", "lang").limit(0)
-    bound = F.create_map(*(F.lit(x) for r in upto for x in (r["lang"], r["upto"])))
+    upto = {r["lang"]: max(r["least"], int((1 << 64) * min(1.0, 2 * sample_docs / r["n"])) - (1 << 63) - 1) for r in per}
+    bound = F.create_map(*(F.lit(x) for kv in upto.items() for x in kv))
     few = usable.filter(F.col("h") <= F.element_at(bound, F.col("lang"))).select("lang", "h", "text", F.xxhash64("text").alias("t"))
     few = least(few, sample_docs, "h", "t").withColumn("w", F.split(F.trim("text"), r"\s+"))
     cut = few.select("lang", "h", "t", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / STRETCH).cast("int"))).alias("k"))
