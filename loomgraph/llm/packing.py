@@ -37,7 +37,8 @@ ENCODERS: dict = {}
 
 class WordEncoder:
     """Ids of whole texts. This tokenizer's pieces never cross white space, so a text's ids are its words' ids in
-    a row; words are looked up in a bounded memory and new ones are encoded by the tokenizer itself. Texts with
+    a row, nor the ends of what it cuts a word into; words and what they are cut into are looked up in bounded memories,
+    and what is new is encoded by the tokenizer itself. Texts with
     characters that UNSAFE finds, or with what may be a special token, go to it whole."""
 
     def __init__(self, path: str, most_words: int = 300_000):
@@ -46,6 +47,7 @@ class WordEncoder:
 
         self.tok, self.known, self.most = Tokenizer.from_file(path), {}, most_words
         self.older: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {}
         self.last = np.zeros(self.tok.get_vocab_size() + 1, bool)
         self.last[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
 
@@ -60,6 +62,18 @@ class WordEncoder:
         raw, cut = ids.tobytes(), (ends[count - 1] * 4).tolist()
         return {w: raw[s:e] for w, s, e in zip(new, [0, *cut], cut)}
 
+    def _learn(self, words: list[str]) -> None:
+        cut = [[w] if w.isalpha() else PRE_TOKEN.findall(w) for w in words]
+        tokens = self.tokens
+        new = set().union(*cut).difference(tokens)
+        if len(tokens) + len(new) > self.most:
+            tokens.clear()
+            new = set().union(*cut)
+        new = sorted(new)
+        for i in range(0, len(new), 500):
+            tokens.update(self._ids_of(new[i : i + 500]))
+        self.known.update((w, tokens[c[0]] if len(c) == 1 else b"".join([tokens[p] for p in c])) for w, c in zip(words, cut))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         whole = [bool(t) and (UNSAFE.search(t) is not None or "<|" in t) for t in texts]
@@ -71,8 +85,7 @@ class WordEncoder:
         known, old = self.known, self.older
         known.update((w, old[w]) for w in new.intersection(old))
         new = sorted(new.difference(old))
-        for i in range(0, len(new), 500):
-            known.update(self._ids_of(new[i : i + 500]))
+        self._learn(new)
         return [np.asarray(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if odd else b"".join([known[w] for w in ws]) for t, odd, ws in zip(texts, whole, words)]
 
 

@@ -49,6 +49,16 @@ def test_packing_keeps_every_id_once(docs):
         assert at <= 256
 
 
+def test_words_are_encoded_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), packing.WordEncoder(path, most_words=40)
+    texts = ["Don't you'll he's 'sab a''s !'s '' ***abc*** x1y22 café—naïve", "can't!! ### &&& word%%% word$$$ 12.5 o'clock's", "日本語 text, 'tis 3's", "a b c " * 30 + "z9", "", None, "x'" * 40, "İstanbul ſ ﬁ"]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_best_fit_takes_the_tightest_window():
     seq, off = packing.best_fit([90, 60, 40, 35, 10, 5], 100)
     assert seq == [0, 1, 1, 2, 0, 2] and off == [0, 0, 60, 0, 90, 35]
