@@ -40,7 +40,7 @@ class WordEncoder:
     a row; words are looked up in a bounded memory and new ones are encoded by the tokenizer itself. Texts with
     characters that UNSAFE finds, or with what may be a special token, go to it whole."""
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_words: int = 700_000):
         common.env_single_thread()
         from tokenizers import Tokenizer
 
