@@ -127,41 +127,46 @@ def cell(raw: Column) -> Column:
     return C.bind(C.bind(scientific(dates(C.strip(raw))), lambda t: F.struct(t.alias("t"), decimal_dots(t).alias("n"))), typed)
 
 
-def table_parts(block: Column) -> Column:
-    """N3. A block as struct<head: array<string>, names: array<string>, body: array<array<cell>>>: the first row before the
-    first separator is the header (without a separator, the first row), rows are padded to the widest; names that are blank
-    or taken get the column's number."""
+def table_lines(block: Column) -> Column:
+    """N3. A block as struct<head: array<string>, names: array<string>, lines: array<string>, width>: the first row before the
+    first separator is the header (without a separator, the first row), the other lines but separators are the body, and the
+    widest row gives the width; names that are blank or taken get the column's number."""
     text = lambda c: F.coalesce(c["display"], F.lit(""))
     none = F.expr("cast(array() as array<string>)")
+    width = lambda lines: F.coalesce(F.array_max(F.transform(lines, lambda y: F.size(C.cells(y)))), F.lit(0))
 
     def split(lines):
         at = F.array_position(F.transform(lines, C.is_separator), F.lit(True)).cast("int")
-        rows = lambda x: F.transform(F.filter(x, lambda y: ~C.is_separator(y)), C.cells)
-        head = F.when(at == 1, none).otherwise(C.cells(F.element_at(lines, 1)))
-        body = rows(F.slice(lines, F.greatest(at, F.lit(1)) + 1, F.size(lines)))
-        return F.struct(head.alias("head"), body.alias("body"), F.array_max(F.transform(lines, lambda y: F.size(C.cells(y)))).alias("most"))
+        numbered = F.transform(F.sequence(F.lit(0), width(lines) - 1), lambda k: F.concat(F.lit("col_"), k.cast("string")))
+        head = F.when(at == 1, numbered).otherwise(C.cells(F.element_at(lines, 1)))
+        return F.struct(head.alias("head"), F.filter(F.slice(lines, F.greatest(at, F.lit(1)) + 1, F.size(lines)), lambda y: ~C.is_separator(y)).alias("lines"))
 
     def padded(p):
-        head = F.when(F.size(p["head"]) > 0, p["head"]).otherwise(F.transform(F.sequence(F.lit(0), p["most"] - 1), lambda k: F.concat(F.lit("col_"), k.cast("string"))))
-        return C.bind(F.struct(head.alias("head"), p["body"].alias("body")), lambda x: C.bind(F.greatest(F.size(x["head"]), F.coalesce(F.array_max(F.transform(x["body"], F.size)), F.lit(0))), lambda w: F.struct(
-            F.transform(F.concat(x["head"], F.array_repeat(F.lit(""), w - F.size(x["head"]))), lambda c: text(cell(c))).alias("head"),
-            F.transform(x["body"], lambda r: F.transform(F.concat(r, F.array_repeat(F.lit(""), w - F.size(r))), cell)).alias("body"),
-        )))
+        return C.bind(F.greatest(F.size(p["head"]), width(p["lines"])), lambda w: F.struct(F.transform(_filled(p["head"], w), lambda c: text(cell(c))).alias("head"), p["lines"].alias("lines"), w.alias("width")))
 
     def named(x):
         column = lambda h, k: F.when(h == "", F.concat(F.lit("col_"), k.cast("string"))).otherwise(h)
         pairs = F.transform(x["head"], lambda h, k: F.struct(column(h, k).alias("n"), k.cast("string").alias("k")))
         names = F.aggregate(pairs, none, lambda acc, y: F.concat(acc, F.array(F.when(F.array_contains(acc, y["n"]), F.concat_ws("_", y["n"], y["k"])).otherwise(y["n"]))))
-        return F.struct(x["head"].alias("head"), names.alias("names"), x["body"].alias("body"))
+        return F.struct(x["head"].alias("head"), names.alias("names"), x["lines"].alias("lines"), x["width"].alias("width"))
 
     return C.bind(C.bind(C.bind(F.filter(F.transform(F.split(block, "\n", -1), C.strip), lambda x: x != ""), split), padded), named)
 
 
+def _filled(row: Column, width: Column) -> Column:
+    return F.concat(row, F.array_repeat(F.lit(""), width - F.size(row)))
+
+
+def row_cells(line: Column, width: Column) -> Column:
+    """N3. A line's cells, as many as the table is wide."""
+    return C.bind(C.cells(line), lambda r: F.transform(_filled(r, width), cell))
+
+
 def table_text(block: Column) -> Column:
     """N3. A block as a Markdown table of normalized cells. A pipe in a cell keeps its backslash."""
     line = lambda cells: F.concat(F.lit("| "), F.array_join(F.transform(cells, lambda c: F.replace(c, F.lit("|"), F.lit("\\|"))), " | "), F.lit(" |"))
-    rows = lambda x: F.transform(x["body"], lambda r: line(F.transform(r, lambda c: F.coalesce(c["display"], F.lit("")))))
-    return C.bind(table_parts(block), lambda x: F.array_join(F.concat(F.array(line(x["head"]), line(F.transform(x["head"], lambda _: F.lit("---")))), rows(x)), "\n"))
+    rows = lambda x: F.transform(x["lines"], lambda r: line(F.transform(row_cells(r, x["width"]), lambda c: F.coalesce(c["display"], F.lit("")))))
+    return C.bind(table_lines(block), lambda x: F.array_join(F.concat(F.array(line(x["head"]), line(F.transform(x["head"], lambda _: F.lit("---")))), rows(x)), "\n"))
 
 
 def table_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -178,12 +183,14 @@ def table_blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def table_cells(blocks: DataFrame, id_col: str) -> DataFrame:
     """N3, N17. Long form: id_col, table_index, row, col, name, kind, num, str, unit, formulas back in names and texts; cells
-    that are empty or that a short row lacks have a null kind. Nothing is shuffled."""
-    t = blocks.select(id_col, "table_index", "b", table_parts(F.col("block")).alias("t"))
-    rows = t.select(id_col, "table_index", "b", "t.names", F.posexplode("t.body").alias("row", "cells"))
-    flat = rows.select(id_col, "table_index", "b", "row", F.posexplode(F.arrays_zip("names", "cells")).alias("col", "x"))
-    back = lambda c: C.restore(c, F.col("b"))
-    return flat.select(id_col, "table_index", "row", "col", back(F.col("x.names")).alias("name"), "x.cells.kind", "x.cells.num", back(F.col("x.cells.str")).alias("str"), "x.cells.unit")
+    that are empty or that a short row lacks have a null kind. Nothing is shuffled; a table becomes lines before cells are
+    made, and a line carries its own formulas alone, as a table may have very many of both."""
+    t = blocks.select(id_col, "table_index", "b", table_lines(F.col("block")).alias("t"))
+    names = F.transform("t.names", lambda n: C.restore(n, F.col("b")))
+    rows = t.select(id_col, "table_index", names.alias("names"), "t.width", F.posexplode(F.transform("t.lines", lambda x: C.with_own(x, F.col("b")))).alias("row", "x"))
+    cells = rows.select(id_col, "table_index", "row", "names", "x.held", row_cells(F.col("x.text"), F.col("width")).alias("cells"))
+    flat = cells.select(id_col, "table_index", "row", "held", F.posexplode(F.arrays_zip("names", "cells")).alias("col", "x"))
+    return flat.select(id_col, "table_index", "row", "col", F.col("x.names").alias("name"), "x.cells.kind", "x.cells.num", C.put_back(F.col("x.cells.str"), F.col("held")).alias("str"), "x.cells.unit")
 
 
 def table_columns(cells_df: DataFrame, id_col: str) -> DataFrame:

@@ -6,13 +6,14 @@ import json
 import random
 import re
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.functions import columns as C
 from loomgraph.functions import fixed as V
-from loomgraph.operators import chunk, clean, graph, metrics, normalize, tokenize
+from loomgraph.operators import chunk, clean, graph, metrics, normalize, tokenize, vectorize
 from loomgraph.plans import catalogue, pipeline
 from loomgraph.sources import files
 from loomgraph.streaming import ingest
@@ -421,3 +422,22 @@ def test_documents_as_a_stream(spark, tmp_path):
     q.awaitTermination(60)
     want = chunk.chunks(clean.clean(df, "doc_id"), "doc_id").collect()
     assert sorted(map(tuple, spark.table("chunked").collect())) == sorted(map(tuple, want)) and len(want) > 1
+
+
+def test_a_large_table_is_read_in_linear_time(spark):
+    """Header and width are no part of what is done for each row: 20,000 rows took the square of it."""
+    body = "\n".join(f"| {k} | b{k} |" for k in range(20000))
+    d = spark.createDataFrame([(f"| a | b | c |\n| --- | --- | --- |\n{body}",)], "t string")
+    began = time.time()
+    x = d.select(vectorize.parse_markdown(F.col("t")).alias("x")).select(F.col("x.header").alias("h"), F.size("x.rows").alias("n"), F.element_at("x.rows", -1).alias("last")).first()
+    assert (x["h"], x["n"], x["last"]) == (["a", "b", "c"], 20000, ["19999", "b19999", ""]) and time.time() - began < 60
+
+
+def test_a_row_carries_its_own_formulas_alone(spark):
+    """With a table's formulas in each of its rows and cells, 4,000 rows of long ones were tens of GB."""
+    long = "z" * 1000
+    rows = "\n".join(f"| {k} | $|x{k}|{long}$ and \\(y{k}\\) |" for k in range(4000))
+    d = spark.createDataFrame([(1, f"| k | $|f|$ |\n| --- | --- |\n{rows}\n")], "id long, text string")
+    began = time.time()
+    got = normalize.table_cells(normalize.table_blocks(d, "id", "text"), "id").filter("col = 1").orderBy("row").select("name", "str").collect()
+    assert [tuple(r) for r in got] == [("$|f|$", f"$|x{k}|{long}$ and \\(y{k}\\)") for k in range(4000)] and time.time() - began < 60
