@@ -441,3 +441,16 @@ def test_a_row_carries_its_own_formulas_alone(spark):
     began = time.time()
     got = normalize.table_cells(normalize.table_blocks(d, "id", "text"), "id").filter("col = 1").orderBy("row").select("name", "str").collect()
     assert [tuple(r) for r in got] == [("$|f|$", f"$|x{k}|{long}$ and \\(y{k}\\)") for k in range(4000)] and time.time() - began < 60
+
+
+def test_tokens_are_counted_once(spark):
+    """TF, df, lengths and ids all come from one count; each use made the tokens anew."""
+    d = spark.createDataFrame([("d", 0, ["a", "b", "a"]), ("d", 1, ["b"]), ("e", 0, [])], "source_file string, chunk_index int, tokens array<string>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for ids, reused in ((False, 2), (True, 3)):
+            v = vectorize.sparse(vectorize.unit_tokens(d, "source_file", "chunk_index", F.col("tokens")), ids=ids)
+            assert v._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") >= reused
+            assert sorted((r["chunk_index"], r["token"]) for r in v.collect()) == [(0, "a"), (0, "b"), (1, "b")]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
