@@ -1,12 +1,15 @@
 """The engine's own operators by hand-written cases."""
 
+import collections
 import hashlib
 import http.server
 import json
+import math
 import random
 import re
 import threading
 import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -454,3 +457,14 @@ def test_tokens_are_counted_once(spark):
             assert sorted((r["chunk_index"], r["token"]) for r in v.collect()) == [(0, "a"), (0, "b"), (1, "b")]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hash_vectors_are_spread_by_their_places(spark):
+    """Zeros are laid between a vector's places; each of 384 places was looked up among them."""
+    tokens = [[], ["a"], ["a", "b", "a"], [f"t{k}" for k in range(2000)], None]
+    v = spark.createDataFrame([(t,) for t in tokens], "t array<string>").select(vectorize.hash_vector(F.col("t")).alias("v"))
+    assert "sequence(" not in v._jdf.queryExecution().optimizedPlan().toString()
+    for t, row in zip(tokens, v.collect()):
+        c = collections.Counter(zlib.crc32(x.encode()) % 384 for x in t or [])
+        norm = math.sqrt(sum(n * n for n in c.values()))
+        assert row["v"] == [round(c[k] / norm, 6) if c[k] else 0.0 for k in range(384)]
