@@ -118,6 +118,7 @@ def chunks(df: DataFrame, id_col: str = "source_file", text_col: str = "text", s
     """K1-K6. One row per chunk: id_col, chunk_index, tokens, chars, overlap_prev_tokens, text. Math, tables and quantities
     are whole while splitting. tokenizer: a byte-pair encoder's file, for lengths in its tokens. Documents are independent:
     nothing is shuffled."""
+    C.small_batches(df.sparkSession)
     budget = int(size * overlap)
 
     @F.pandas_udf("array<struct<chunk_index:int,tokens:int,chars:int,overlap_prev_tokens:int,text:string>>")
@@ -165,6 +166,8 @@ def window_chunks(text: str, size: int = 1400, overlap: int = 200) -> list[str]:
 
 
 def char_chunks(df: DataFrame, id_col: str, text_col: str, size: int = 1400, overlap: int = 200) -> DataFrame:
+    C.small_batches(df.sparkSession)
+
     @F.pandas_udf("array<string>")
     def cut(s: pd.Series) -> pd.Series:
         return s.map(lambda x: window_chunks(x or "", size, overlap))

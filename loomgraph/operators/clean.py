@@ -328,6 +328,7 @@ _MARKUP = [("markdown_headings_removed", V.HEADING, ""), ("markdown_blockquotes_
 def clean(df: DataFrame, id_col: str = "source_file", text_col: str = "text", cfg: CleanConfig = CleanConfig(), counts_col: str | None = None) -> DataFrame:
     """All clearing operators in their order; each withColumn ends one run of rewrites, so generated code stays small.
     counts_col, if given: map of what was found and changed in each text, with chars_before and chars_after (A2)."""
+    C.small_batches(df.sparkSession)
     step = lambda d, f: d.withColumn(text_col, f(F.col(text_col)))
     counted: list[tuple[str, Column]] = []
 

@@ -468,3 +468,16 @@ def test_hash_vectors_are_spread_by_their_places(spark):
         c = collections.Counter(zlib.crc32(x.encode()) % 384 for x in t or [])
         norm = math.sqrt(sum(n * n for n in c.values()))
         assert row["v"] == [round(c[k] / norm, 6) if c[k] else 0.0 for k in range(384)]
+
+
+def test_python_gets_batches_of_a_few_megabytes(spark, tmp_path):
+    """Batches were of 10,000 rows, however long their texts."""
+    spark.range(2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 4000).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    @F.pandas_udf("long")
+    def long_together(s):
+        return s.str.len() * 0 + len(s)
+
+    d = catalogue._docs(spark, str(tmp_path)).coalesce(1)
+    assert d.select(long_together("text").alias("n")).agg(F.max("n")).first()[0] < 300
