@@ -225,7 +225,7 @@ def _valid(e: DataFrame, onto: Ontology) -> DataFrame:
     known = kind.isin(list(onto.entity_types))
     e = e.withColumn("node_type", kind if onto.strict_types else F.when(known, kind).otherwise(onto.default_entity_type))
     e = e.filter(F.col("node_type").isin(list(onto.entity_types))) if onto.strict_types else e
-    e = e.withColumn("label", canonical_label(clean_label(F.coalesce("name", F.lit("")))))
+    e = e.withColumn("label", C.bind(clean_label(F.coalesce("name", F.lit(""))), canonical_label))
     e = e.filter(is_label(F.col("label"), onto.allowed_latin) if onto.filter_labels else F.col("label") != "")
     aliases = F.filter(F.transform("aliases", clean_label), lambda a: (a != "") & (label_key(a) != label_key(F.col("label"))))
     return e.select("seq", node_id(F.col("node_type"), F.col("label")).alias("node_id"), "node_type", "label", "description", F.coalesce(aliases, F.expr("cast(array() as array<string>)")).alias("aliases"), "evidence")

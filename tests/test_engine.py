@@ -502,3 +502,10 @@ def test_matches_and_gaps_of_one_pass(spark, text):
 @pytest.mark.parametrize("text", [" a  b ", "a\tb\n\nc", "a \u2003b\u00a0c", "a b c", "", " ", "\u3000x\x1f y\x85", "a \n"])
 def test_squeeze(spark, text):
     assert one(spark, text, C.squeeze) == " ".join(text.split()) and one(spark, text, lambda t: C.same_words(t, F.concat(F.lit("\n"), t)))
+
+
+def test_labels_are_cleaned_once(spark):
+    """Each name was cleaned anew for symbol, Russian name and label, in the filter and in the row."""
+    e = spark.createDataFrame([("f", 0, [("«Nb»", "материал", "", "", [])])], "source_file string, chunk_index int, entities array<struct<name:string,type:string,description:string,evidence:string,aliases:array<string>>>")
+    d = graph.entities(e)
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("^[") <= 6 and [r["label"] for r in d.collect()] == ["Nb"]
