@@ -31,10 +31,8 @@ def dates(t: Column) -> Column:
 
 def scientific(t: Column) -> Column:
     """N10. a·10^b and aEb to plain numbers."""
-    def power(pattern):
-        return lambda m, _: C.number_text(C.number_of(F.regexp_extract(m, pattern, 1)) * F.pow(F.lit(10.0), F.regexp_extract(m, pattern, 2).cast("int")))
-
-    return C.rewrite(C.rewrite(t, C.DIGIT + V.SCIENTIFIC, power(V.SCIENTIFIC)), C.DIGIT + V.SCIENTIFIC_E, power(V.SCIENTIFIC_E))
+    power = lambda a, b: C.number_text(C.number_of(a) * F.pow(F.lit(10.0), b.cast("double")))
+    return C.rewrite_groups(C.rewrite_groups(t, C.DIGIT + V.SCIENTIFIC, 2, power), C.DIGIT + V.SCIENTIFIC_E, 2, power)
 
 
 def decimal_dots(t: Column) -> Column:

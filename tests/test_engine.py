@@ -509,3 +509,17 @@ def test_labels_are_cleaned_once(spark):
     e = spark.createDataFrame([("f", 0, [("«Nb»", "материал", "", "", [])])], "source_file string, chunk_index int, entities array<struct<name:string,type:string,description:string,evidence:string,aliases:array<string>>>")
     d = graph.entities(e)
     assert d._jdf.queryExecution().optimizedPlan().toString().count("^[") <= 6 and [r["label"] for r in d.collect()] == ["Nb"]
+
+
+def plan(spark, f):
+    return spark.createDataFrame([("1",)], "t string").select(f(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbers_are_computed_once(spark):
+    said = plan(spark, normalize.scientific)
+    assert said.count("POWER(") == 2 and "regexp_extract(" not in said
+
+
+@pytest.mark.parametrize(("text", "want"), [("3·10^99999999999", "Infinity"), (f"{C.SIGN}2e-4 5·10^3", f"{C.SIGN}0,0002 5000"), ("2e3·10^4, -1e-30", "2000·10^4, -1,000000e-30"), ("0e5 7x10 15", "0 7,000000e+15")])
+def test_scientific(spark, text, want):
+    assert one(spark, text, normalize.scientific) == want
