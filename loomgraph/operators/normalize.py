@@ -50,13 +50,15 @@ def units(t: Column, safe: bool = False) -> Column:
     SI symbols are their own, so one pass does both, but where a power (`m**2`) stands whose digit may count as a number."""
     alone = r"(?<!\d\s)(?<!\d)" + C.UNIT_ALONE if safe else C.UNIT_ALONE
 
-    def quantity(m):
-        number = F.regexp_extract(m, r"^-?\d+(?:[.,]\d+)?", 0)
-        return C.bind(F.struct(C.number_of(number).alias("n"), C.strip(F.substring(m, F.length(number) + 1, F.length(m))).alias("u")), lambda x: F.concat_ws(" ", C.number_text(F.round(in_si(x["n"], x["u"]), 12)), C.lookup(_SYMBOL, x["u"])))
+    known = {u: F.struct(F.lit(f).alias("factor"), F.lit(_OFFSET[u]).alias("offset"), F.lit(_SYMBOL[u]).alias("symbol")) for u, f in _FACTOR.items()}
 
-    either = lambda m, _: F.when(m.rlike(r"^-?\d"), quantity(m)).otherwise(C.lookup(_SYMBOL, m))
-    twice = lambda x: C.rewrite(C.rewrite(x, C.NUMUNIT, lambda m, _: quantity(m)), alone, lambda m, _: C.lookup(_SYMBOL, m))
-    return C.bind(t, lambda x: F.when(x.contains("**"), twice(x)).otherwise(C.rewrite(x, f"{C.NUMUNIT}|{alone}", either)))
+    def quantity(number, unit):
+        si = lambda n, u: F.concat(C.number_text(F.round(n * u["factor"] + u["offset"], 12)), F.lit(" "), u["symbol"])
+        return C.bind(C.lookup(known, unit), lambda u: si(C.number_of(number), u))
+
+    either = lambda n, u, lone: F.when(n == "", C.lookup(_SYMBOL, lone)).otherwise(quantity(n, u))
+    twice = lambda x: C.rewrite_groups(C.rewrite_groups(x, C.NUMUNIT, 2, quantity), alone, 1, lambda u: C.lookup(_SYMBOL, u))
+    return C.bind(t, lambda x: F.when(x.contains("**"), twice(x)).otherwise(C.rewrite_groups(x, f"{C.NUMUNIT}|{alone}", 3, either)))
 
 
 def abbreviations(t: Column, table: dict[str, str] = V.ABBREVIATIONS) -> Column:

@@ -523,3 +523,20 @@ def test_numbers_are_computed_once(spark):
 @pytest.mark.parametrize(("text", "want"), [("3·10^99999999999", "Infinity"), (f"{C.SIGN}2e-4 5·10^3", f"{C.SIGN}0,0002 5000"), ("2e3·10^4, -1e-30", "2000·10^4, -1,000000e-30"), ("0e5 7x10 15", "0 7,000000e+15")])
 def test_scientific(spark, text, want):
     assert one(spark, text, normalize.scientific) == want
+
+
+def test_unit_patterns_share_beginnings():
+    for words in (V.UNITS, C._ALONE):
+        short, long = (re.compile(f"({f(words)})(?![0-9A-Za-zА-Яа-яЁё])") for f in (C.tree, C.alternation))
+        texts = [a + b for a in words for b in ("", " ", "2", "²", "/с", "**2", "·м", "м")]
+        assert [short.match(t) and short.match(t)[1] for t in texts] == [long.match(t) and long.match(t)[1] for t in texts]
+
+
+def test_unit_is_looked_up_once(spark):
+    said = plan(spark, normalize.units)
+    assert "regexp_extract(" not in said and "rlike" not in said.lower()
+
+
+@pytest.mark.parametrize(("text", "want"), [(f"{C.SIGN}5 МПа; мм", f"{C.SIGN}5000000 kg/m/s**2; m"), ("2 м**2, 3 мм", "2 m**2, 0,003 m"), ("-4 °C мм", "269,15 K m"), ("7 с2", "7 с2")])
+def test_units_by_groups(spark, text, want):
+    assert one(spark, text, normalize.units) == want
