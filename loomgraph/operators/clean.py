@@ -31,7 +31,8 @@ class CleanConfig:
 
 def newlines(t: Column) -> Column:
     """C1."""
-    return F.regexp_replace(F.regexp_replace(t, "^\ufeff", ""), r"\r\n?", "\n")
+    t = C.where(t, ("\ufeff",), lambda x: F.regexp_replace(x, "^\ufeff", ""))
+    return C.where(t, ("\r",), lambda x: F.regexp_replace(x, r"\r\n?", "\n"))
 
 
 def images(t: Column) -> Column:
@@ -65,8 +66,8 @@ def page_numbers(t: Column) -> Column:
 
 
 def inline_markup(t: Column) -> Column:
-    for p in (V.INLINE_CODE, V.BOLD, V.STRIKE, V.ESCAPE):
-        t = F.regexp_replace(t, p, "$1")
+    for p, hint in ((V.INLINE_CODE, "`"), (V.BOLD, "**"), (V.STRIKE, "~~"), (V.ESCAPE, "\\")):
+        t = C.where(t, (hint,), lambda x: F.regexp_replace(x, p, "$1"))  # noqa: B023
     return t
 
 
@@ -111,8 +112,10 @@ expand_tabs = expand_tabs.asNondeterministic()
 def whitespace(t: Column) -> Column:
     """C19, C20. Tabs to stops of four, no-break spaces, line ends, runs of three, blank lines, one final newline."""
     t = F.coalesce(expand_tabs(F.when(t.contains("\t"), t)), t)
-    for pattern, by in ((V.NBSP, " "), (r"(?md)(?<![ \t])[ \t]++$", ""), (r"(?<=\S)[ \t]{3,}", " "), (r"\n{3,}", "\n\n")):
-        t = F.regexp_replace(t, pattern, by)
+    t = C.where(t, ("\u00a0", "\u2007", "\u202f"), lambda x: F.regexp_replace(x, V.NBSP, " "))
+    t = C.bind(t, lambda x: F.when(x.contains(" \n") | x.contains("\t\n") | x.endswith(" ") | x.endswith("\t"), F.regexp_replace(x, r"(?md)(?=[ \t])(?<![ \t])[ \t]++$", "")).otherwise(x))
+    t = C.where(t, ("   ", "\t"), lambda x: F.regexp_replace(x, r"(?=[ \t])(?<=\S)[ \t]{3,}", " "))
+    t = C.where(t, ("\n\n\n",), lambda x: F.regexp_replace(x, r"\n{3,}", "\n\n"))
     return C.bind(C.strip(t), lambda x: F.when(x == "", x).otherwise(F.concat(x, F.lit("\n"))))
 
 
@@ -129,7 +132,7 @@ def nfc(t: Column) -> Column:
 def ocr_fixes(t: Column) -> Column:
     """C21."""
     for wrong, right in V.OCR_FIXES.items():
-        t = F.replace(t, F.lit(wrong), F.lit(right))
+        t = C.where(t, (wrong,), lambda x: F.replace(x, F.lit(wrong), F.lit(right)))  # noqa: B023
     return t
 
 
@@ -284,7 +287,8 @@ def aside(t: Column, cfg: CleanConfig) -> Column:
     """set_aside over a column, for the texts that hold anything for it to do; null for all others."""
     @F.pandas_udf(_ASIDE)
     def run(s: pd.Series) -> pd.DataFrame:
-        rows = [(None, None, None) if x is None else (y, [{"kind": k, "content": c} for k, c in b], n) for x in s for y, b, n in [set_aside(x or "", cfg)]]
+        # a text that nothing was done to does not come back
+        rows = [(None, None, None) if x is None or (y == x and not b and not n) else (y, [{"kind": k, "content": c} for k, c in b], n) for x in s for y, b, n in [set_aside(x or "", cfg)]]
         return pd.DataFrame(rows, columns=["text", "blocks", "found"])
 
     # not to be moved into later expressions, where a Python function cannot be
@@ -320,9 +324,11 @@ def repeated_lines(df: DataFrame, id_col: str, text_col: str, least: int = 6, mo
     return held.withColumn(text_col, F.when(F.size("__often") > 0, F.array_join(F.filter(lines, lambda x: ~F.array_contains(F.col("__often"), C.strip(x))), "\n")).otherwise(F.col(text_col))).drop("__often")
 
 
-#: What one pattern does to a text; counter, pattern, replacement.
-_PLAIN = [("control_chars_removed", V.CONTROL, ""), ("format_chars_removed", V.FORMAT, ""), ("html_comments_removed", V.HTML_COMMENT, " "), ("html_tags_removed", V.HTML_TAG, " "), ("page_numbers_removed", V.PAGE_NUMBER, "")]
-_MARKUP = [("markdown_headings_removed", V.HEADING, ""), ("markdown_blockquotes_removed", V.BLOCKQUOTE, ""), ("markdown_list_markers_removed", V.LIST_ITEM, ""), ("markdown_horizontal_rules_removed", V.RULE, "")]
+#: What one pattern does to a text; counter, pattern, replacement, which is shorter than any match, and what a
+#: text must hold for it ("" where only the pattern tells). Most texts have no match of most of them.
+_FORMAT = rf"(?=[\u00AD\u061C-\uFFFD]){V.FORMAT}"
+_PLAIN = [("control_chars_removed", V.CONTROL, "", ""), ("format_chars_removed", _FORMAT, "", ""), ("html_comments_removed", V.HTML_COMMENT, " ", "<!--"), ("html_tags_removed", V.HTML_TAG, " ", "<"), ("page_numbers_removed", V.PAGE_NUMBER, "", "")]
+_MARKUP = [("markdown_headings_removed", V.HEADING, "", "#"), ("markdown_blockquotes_removed", V.BLOCKQUOTE, "", ">"), ("markdown_list_markers_removed", V.LIST_ITEM, "", ""), ("markdown_horizontal_rules_removed", V.RULE, "", "")]
 
 
 def clean(df: DataFrame, id_col: str = "source_file", text_col: str = "text", cfg: CleanConfig = CleanConfig(), counts_col: str | None = None) -> DataFrame:
@@ -338,19 +344,25 @@ def clean(df: DataFrame, id_col: str = "source_file", text_col: str = "text", cf
             d = d.withColumn(f"__n{len(counted) - 1}", value.cast("int"))
         return d
 
-    t = F.col(text_col)
+    t, new = F.col(text_col), F.col("__new")
+
+    def replaced(d, name, pattern, by, hint):
+        """One pattern's pass; matches are counted in the texts that it changed alone."""
+        d = d.withColumn("__new", F.when(t.contains(hint) if hint else t.rlike(pattern), F.regexp_replace(t, pattern, by)).otherwise(t))
+        return note(d, name, F.when(new == t, 0).otherwise(F.regexp_count(t, F.lit(pattern)))).withColumn(text_col, new).drop("__new")
+
     df = note(df, "chars_before", F.length(F.coalesce(t, F.lit(""))))
-    df = note(df, "line_endings_normalized", F.regexp_count(t, F.lit(r"\r\n?")))
+    df = note(df, "line_endings_normalized", F.when(t.contains("\r"), F.regexp_count(t, F.lit(r"\r\n?"))).otherwise(0))
     df = step(df, lambda t: newlines(F.coalesce(t, F.lit(""))))
     df = df.withColumn("__aside", aside(t, cfg)).withColumn("__blocks", F.coalesce("__aside.blocks", C.no_blocks())).withColumn(text_col, F.coalesce("__aside.text", t))
-    for name, pattern, by in _PLAIN:
-        df = step(note(df, name, F.regexp_count(t, F.lit(pattern))), lambda t: F.regexp_replace(t, pattern, by))
-    before = F.size(F.split(t, "\n", -1))
-    df = df.withColumn("__lines", before) if counts_col else df
+    for p in _PLAIN:
+        df = replaced(df, *p)
+    lines = lambda x: F.size(F.split(x, "\n", -1))
+    df = df.withColumn("__old", t) if counts_col else df
     df = repeated_lines(df, id_col, text_col, cfg.header_min_repeats, cfg.header_max_chars)
-    df = note(df, "header_footer_lines_removed", F.col("__lines") - before).drop("__lines") if counts_col else df
-    for name, pattern, by in _MARKUP:
-        df = step(note(df, name, F.regexp_count(t, F.lit(pattern))), lambda t: F.regexp_replace(t, pattern, by))
+    df = note(df, "header_footer_lines_removed", F.when(F.col("__old") == t, 0).otherwise(lines(F.col("__old")) - lines(t))).drop("__old") if counts_col else df
+    for p in _MARKUP:
+        df = replaced(df, *p)
     df = step(df, inline_markup)
     if cfg.decimal_comma:
         df = step(note(df, "decimal_commas_normalized", F.regexp_count(t, F.lit(r"(?<=\d),(?=\d)"))), decimal_comma)

@@ -540,3 +540,19 @@ def test_unit_is_looked_up_once(spark):
 @pytest.mark.parametrize(("text", "want"), [(f"{C.SIGN}5 МПа; мм", f"{C.SIGN}5000000 kg/m/s**2; m"), ("2 м**2, 3 мм", "2 m**2, 0,003 m"), ("-4 °C мм", "269,15 K m"), ("7 с2", "7 с2")])
 def test_units_by_groups(spark, text, want):
     assert one(spark, text, normalize.units) == want
+
+
+def test_clearing_passes_only_where_something_is(spark):
+    df = spark.createDataFrame([(1, "été plain"), (2, "été $x$")], "id long, text string")
+    got = df.select("id", clean.aside(F.col("text"), clean.CleanConfig()).alias("a")).collect()
+    assert {r["id"]: r["a"]["text"] is None for r in got} == {1: True, 2: False}
+    said = clean.clean(df, "id", counts_col="n")._jdf.queryExecution().optimizedPlan().toString()
+    assert said.count("regexp_count(") == said.count("ELSE regexp_count(") + said.count("THEN regexp_count(")
+
+
+def test_clearing_counts_and_blanks(spark):
+    df = spark.createDataFrame([(1, "a \n\x01\x7f​# h\n> q\n---\nx   y\t\n\n\n\nz  "), (2, "﻿p\rq   r\t")], "id long, text string")
+    got = {r["id"]: r for r in clean.clean(df, "id", counts_col="n").collect()}
+    assert {k: r["text"] for k, r in got.items()} == {1: "a\nh\nq\n\nx y\n\nz\n", 2: "p\nq r\n"}
+    assert {k: v for k, v in got[1]["n"].items() if not k.startswith("chars")} == {"control_chars_removed": 2, "format_chars_removed": 1, "markdown_headings_removed": 1, "markdown_blockquotes_removed": 1, "markdown_horizontal_rules_removed": 1}
+    assert got[2]["n"]["line_endings_normalized"] == 1
